@@ -166,7 +166,7 @@ settled AS (
 # A Jalali calendar by adding up year lengths from 1 Farvardin 1300.
 JALALI = """jyears AS (
   SELECT jy, CASE WHEN jy % 33 IN (1, 5, 9, 13, 17, 22, 26, 30) THEN 366 ELSE 365 END AS len
-  FROM (SELECT CAST(unnest(range(1300, 1500)) AS INTEGER) AS jy)),
+  FROM (SELECT CAST(unnest(range(1300, 2001)) AS INTEGER) AS jy)),
 jstarts AS (
   SELECT jy, len, DATE '1921-03-21' + CAST(coalesce(sum(len) OVER (ORDER BY jy ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS y0
   FROM jyears),

@@ -86,18 +86,20 @@ def jalali_yday(d: Day) -> Number:
 
 
 def jalali_month(d: Day) -> Number:
-    return _month_of(jalali_yday(d))
+    return month_of(jalali_yday(d))
 
 
 def jalali_day(d: Day) -> Number:
-    return _day_of(jalali_yday(d))
+    return day_of(jalali_yday(d))
 
 
-def _month_of(yday: Number) -> Number:
+def month_of(yday: Number) -> Number:
+    """Month of a day of the year counted from 0."""
     return _int(_choose(yday < 186, 1 + _quotient(yday, 31), 7 + _quotient(yday - 186, 30)))
 
 
-def _day_of(yday: Number) -> Number:
+def day_of(yday: Number) -> Number:
+    """Day of the month of a day of the year counted from 0."""
     return _int(_choose(yday < 186, 1 + yday % 31, 1 + (yday - 186) % 30))
 
 

@@ -7,8 +7,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tollbook.functions import calendar as cal
 from tollbook.functions.calendar import Day
@@ -33,32 +34,95 @@ SEASON_DAYS = {"spring": (0, 92), "summer": (93, 185), "fall": (186, 275)}
 HOURLY = {"today": 24, "yesterday": 24}
 
 
-def window_range(name: str, as_of: Day, legacy_year: bool = False, jalali_months: bool = False,
-                 selection: tuple[Day, Day] | None = None) -> tuple[Day, Day]:
+@dataclass(frozen=True)
+class Anchors:
+    """The days that the windows of an as-of date hang on.
+
+    `months` holds the first and last day of the Jalali month reached by stepping back some months.
+    """
+
+    as_of: Day
+    jalali_year: tuple[Day, Day]
+    year: tuple[Day, Day]
+    months: dict[int, tuple[Day, Day]]
+
+
+STEPS = (0, 1, 2, 5, 8, 11)
+
+
+def anchors(as_of: dt.date, legacy_year: bool = False, jalali_months: bool = False) -> Anchors:
+    """The anchors of a known date.
+
+    `legacy_year` bounds the year by the Gregorian year of the date and its leap flag instead of the
+    Jalali year. `jalali_months` steps back on the Jalali calendar instead of the Gregorian one.
+    """
+    jalali_year = (cal.year_start(as_of), cal.year_end(as_of))
+    year = _gregorian_year(as_of) if legacy_year else jalali_year
+    months = {}
+    for n in STEPS:
+        inside = _jalali_month_back(as_of, n) if jalali_months else cal.months_back(as_of, n)
+        months[n] = (cal.month_start(inside), cal.month_end(inside))
+    return Anchors(as_of, jalali_year, year, months)
+
+
+def _jalali_month_back(as_of: dt.date, months: int) -> dt.date:
+    year, month = divmod(cal.jalali_year(as_of) * 12 + cal.jalali_month(as_of) - 1 - months, 12)
+    return cal.jalali_to_date(year, month + 1, 1)
+
+
+def _gregorian_year(as_of: dt.date) -> tuple[dt.date, dt.date]:
+    early = int(cal.is_jalali_leap(cal.jalali_year(as_of)))
+    return dt.date(as_of.year, 3, 21 - early), dt.date(as_of.year + 1, 3, 20 - early)
+
+
+def with_anchors(days: DataFrame, day: str) -> tuple[DataFrame, Anchors]:
+    """The anchors of a column of dates, as columns `_...`.
+
+    They are added in steps, so that each step reads the one before instead of repeating its terms.
+    """
+    days = days.withColumns({f"_in{n}": cal.months_back(F.col(day), n) for n in STEPS})
+    days = days.withColumns({f"_{part}{n}": value for n in STEPS for part, value in {
+        "jy": cal.jalali_year(F.col(f"_in{n}")), "yd": cal.jalali_yday(F.col(f"_in{n}"))}.items()})
+    days = days.withColumns({f"_{part}{n}": value for n in STEPS for part, value in {
+        "jm": cal.month_of(F.col(f"_yd{n}")), "jd": cal.day_of(F.col(f"_yd{n}"))}.items()})
+    months = {}
+    for n in STEPS:
+        length = cal.jalali_month_length(F.col(f"_jy{n}"), F.col(f"_jm{n}"))
+        inside, jd = F.col(f"_in{n}"), F.col(f"_jd{n}")
+        months[n] = (cal.shift(inside, 1 - jd), cal.shift(inside, length - jd))
+    yday = F.col("_yd0")
+    year = (cal.shift(F.col(day), -yday), cal.shift(F.col(day), cal.jalali_year_length(F.col("_jy0")) - 1 - yday))
+    ranges = {"_year": year, **{f"_month{n}": m for n, m in months.items()}}
+    days = days.withColumns({f"{name}_{end}": d for name, pair in ranges.items() for end, d in zip(("lo", "hi"), pair)})
+    column_pair = lambda name: (F.col(f"{name}_lo"), F.col(f"{name}_hi"))
+    year_columns = column_pair("_year")
+    return days, Anchors(F.col(day), year_columns, year_columns, {n: column_pair(f"_month{n}") for n in STEPS})
+
+
+def window_range(name: str, a: Anchors, selection: tuple[Day, Day] | None = None) -> tuple[Day, Day]:
     """First and last day of one window."""
     if name == "today":
-        return as_of, as_of
+        return a.as_of, a.as_of
     if name == "yesterday":
-        return cal.shift(as_of, -1), cal.shift(as_of, -1)
+        return cal.shift(a.as_of, -1), cal.shift(a.as_of, -1)
     if name in LAST_DAYS:
-        return cal.shift(as_of, 1 - LAST_DAYS[name]), as_of
+        return cal.shift(a.as_of, 1 - LAST_DAYS[name]), a.as_of
     if name == "thisweek":
-        saturday = cal.shift(as_of, -cal.sat_weekday(as_of))
+        saturday = cal.shift(a.as_of, -cal.sat_weekday(a.as_of))
         return saturday, cal.shift(saturday, 6)
     if name == "thismonth":
-        return cal.month_start(as_of), cal.month_end(as_of)
+        return a.months[0]
     if name == "lastmonth":
-        inside = cal.shift(cal.month_start(as_of), -1) if jalali_months else cal.months_back(as_of, 1)
-        return cal.month_start(inside), cal.month_end(inside)
+        return a.months[1]
     if name in MONTHS_BACK:
-        return _month_start_back(as_of, MONTHS_BACK[name], jalali_months), cal.month_end(as_of)
+        return a.months[MONTHS_BACK[name]][0], a.months[0][1]
     if name in SEASON_DAYS:
-        start = cal.year_start(as_of)
-        return tuple(cal.shift(start, days) for days in SEASON_DAYS[name])
+        first, last = SEASON_DAYS[name]
+        return cal.shift(a.jalali_year[0], first), cal.shift(a.jalali_year[0], last)
     if name == "winter":
-        return cal.shift(cal.year_start(as_of), SEASON_DAYS["fall"][1] + 1), cal.year_end(as_of)
+        return cal.shift(a.jalali_year[0], SEASON_DAYS["fall"][1] + 1), a.jalali_year[1]
     if name == "thisyear":
-        return _gregorian_year(as_of) if legacy_year else (cal.year_start(as_of), cal.year_end(as_of))
+        return a.year
     if name == "selection":
         if selection is None:
             raise ValueError("the selection window needs its two dates")
@@ -66,58 +130,47 @@ def window_range(name: str, as_of: Day, legacy_year: bool = False, jalali_months
     raise ValueError(f"unknown window {name!r}")
 
 
-def _month_start_back(as_of: Day, months: int, jalali_months: bool) -> Day:
-    if not jalali_months:
-        return cal.month_start(cal.months_back(as_of, months))
-    # A month before this one's first day is at most 31 days back, so step month by month.
-    start = cal.month_start(as_of)
-    for _ in range(months):
-        start = cal.month_start(cal.shift(start, -1))
-    return start
-
-
-def _gregorian_year(as_of: Day) -> tuple[Day, Day]:
-    """The year as bounded by the Gregorian year of the as-of date and its leap flag."""
-    leap = cal.is_jalali_leap(cal.jalali_year(as_of))
-    if isinstance(as_of, dt.date):
-        start, end = dt.date(as_of.year, 3, 21), dt.date(as_of.year + 1, 3, 20)
-        return cal.shift(start, -int(leap)), cal.shift(end, -int(leap))
-    start = F.make_date(F.year(as_of), F.lit(3), F.lit(21))
-    end = F.make_date(F.year(as_of) + 1, F.lit(3), F.lit(20))
-    return cal.shift(start, -leap.cast("int")), cal.shift(end, -leap.cast("int"))
-
-
 def names_for(selection: object = None) -> tuple[str, ...]:
     """All windows; `selection` only counts when its dates are known."""
     return WINDOW_NAMES if selection is not None else WINDOW_NAMES[:-1]
 
 
-def window_struct(name: str, as_of: Day, **options) -> Column:
-    lo, hi = (cal.as_column(d) for d in window_range(name, as_of, **options))
-    days = F.abs(F.datediff(hi, lo)) + 1
-    divisor = F.lit(HOURLY[name]) if name in HOURLY else days
-    return F.struct(F.lit(name).alias("window"), lo.alias("lo"), hi.alias("hi"),
-                    days.alias("days"), divisor.cast("int").alias("divisor"))
+def window_array(as_of: dt.date, names: Sequence[str] | None = None,
+                 selection: tuple[dt.date, dt.date] | None = None, **options) -> Column:
+    """The windows of a known date as one constant array of at most eighteen entries."""
+    known = anchors(as_of, **options)
+    entries = []
+    for name in names or names_for(selection):
+        lo, hi = window_range(name, known, selection)
+        days = abs((hi - lo).days) + 1
+        entries.append(f"named_struct('window', '{name}', 'lo', date'{lo}', 'hi', date'{hi}', 'days', {days},"
+                       f" 'divisor', {HOURLY.get(name, days)})")
+    return F.expr("array(" + ", ".join(entries) + ")")
 
 
-def window_array(as_of: Day, names: Sequence[str] | None = None, **options) -> Column:
-    """All windows as one array; at most eighteen entries, so it travels with the plan."""
-    names = names or names_for(options.get("selection"))
-    if isinstance(as_of, dt.date):
-        return F.expr("array(" + ", ".join(_window_literal(n, as_of, **options) for n in names) + ")")
-    return F.array(*[window_struct(n, as_of, **options) for n in names])
+def window_structs(a: Anchors, names: Sequence[str] | None = None) -> Column:
+    """The windows of a column of dates as an array per row."""
+    structs = []
+    for name in names or names_for():
+        lo, hi = window_range(name, a)
+        days = F.abs(F.datediff(hi, lo)) + 1
+        divisor = F.lit(HOURLY[name]) if name in HOURLY else days
+        structs.append(F.struct(F.lit(name).alias("window"), lo.alias("lo"), hi.alias("hi"),
+                                days.alias("days"), divisor.alias("divisor")))
+    return F.array(*structs)
 
 
-def _window_literal(name: str, as_of: dt.date, **options) -> str:
-    lo, hi = window_range(name, as_of, **options)
-    days = abs((hi - lo).days) + 1
-    return (f"named_struct('window', '{name}', 'lo', date'{lo}', 'hi', date'{hi}', 'days', {days},"
-            f" 'divisor', {HOURLY.get(name, days)})")
+def known_range(name: str, as_of: dt.date, selection: tuple[dt.date, dt.date] | None = None,
+                **options) -> tuple[dt.date, dt.date]:
+    """First and last day of one window of a known date."""
+    return window_range(name, anchors(as_of, **options), selection)
 
 
-def outer_range(as_of: dt.date, names: Sequence[str] | None = None, **options) -> tuple[dt.date, dt.date]:
+def outer_range(as_of: dt.date, names: Sequence[str] | None = None,
+                selection: tuple[dt.date, dt.date] | None = None, **options) -> tuple[dt.date, dt.date]:
     """The smallest range of days that covers all the windows of a known date."""
-    ranges = [window_range(n, as_of, **options) for n in names or names_for(options.get("selection"))]
+    known = anchors(as_of, **options)
+    ranges = [window_range(n, known, selection) for n in names or names_for(selection)]
     return min(lo for lo, _ in ranges), max(hi for _, hi in ranges)
 
 

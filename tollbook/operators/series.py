@@ -25,7 +25,7 @@ def series_carry(leads: DataFrame, name: str, as_of, offset: str | float,
     Days before the first one inside stay empty. The ordered group is the days of one scope, so its
     size is bounded by the calendar and not by the payments.
     """
-    lo, hi = (cal.as_column(d) for d in win.window_range(name, as_of, **options))
+    lo, hi = win.known_range(name, as_of, **options)
     daily = t.bucket_totals(leads, "day", offset, tuple(keys))
     inside = F.when(F.col("local_day").between(lo, hi), F.col("revenue"))
     newest_first = (Window.partitionBy(*keys).orderBy(F.col("local_day").desc())

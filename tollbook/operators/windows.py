@@ -16,9 +16,10 @@ def window_bounds(spark: SparkSession, as_of, names: Sequence[str] | None = None
     return spark.range(1).select(F.inline(win.window_array(as_of, names, **options)))
 
 
-def bounds_of(days: DataFrame, day: str, names: Sequence[str] | None = None, **options) -> DataFrame:
+def bounds_of(days: DataFrame, day: str, names: Sequence[str] | None = None) -> DataFrame:
     """The windows of every date in a column."""
-    return days.select(F.col(day).alias("as_of"), F.inline(win.window_array(F.col(day), names, **options)))
+    anchored, anchors = win.with_anchors(days, day)
+    return anchored.select(F.col(day).alias("as_of"), F.inline(win.window_structs(anchors, names)))
 
 
 def between_days(leads: DataFrame, lo: Day, hi: Day, offset: str | float) -> DataFrame:
@@ -31,7 +32,7 @@ def between_days(leads: DataFrame, lo: Day, hi: Day, offset: str | float) -> Dat
 
 
 def in_window(leads: DataFrame, name: str, as_of, offset: str | float, **options) -> DataFrame:
-    lo, hi = win.window_range(name, as_of, **options)
+    lo, hi = win.known_range(name, as_of, **options)
     return between_days(leads, lo, hi, offset)
 
 

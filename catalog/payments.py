@@ -1 +1,284 @@
-"""Placeholder."""
+"""Requests, settlement, corrections and routing."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog import query
+from catalog.reports import OFFSET
+from catalog.views import (ACTIVE, CALLBACKS, ENTRIES, FEEDS, FORMS, JALALI, LEADS, MATCHED, MESSAGES, META,
+                           ORDER_TOTALS, sql)
+from tollbook.functions import money, status as st
+from tollbook.operators import entries as en, keyed, settle as s
+from tollbook.operators.totals import order_totals
+from tollbook.plans import payments as pay
+from tollbook.session import new_path
+from tollbook.sources import site
+from tollbook.sources.tables import append_batch, read_batches
+
+
+def _totals(spark, folder):
+    return order_totals(site.order_lines(spark, folder))
+
+
+def _started(spark, folder):
+    return pay.start_payments(site.entries(spark, folder), site.feeds(spark, folder), _totals(spark, folder))
+
+
+def _settled(spark, folder):
+    return pay.settle_callbacks(site.callbacks(spark, folder), site.entries(spark, folder),
+                                site.lead_meta(spark, folder), site.feeds(spark, folder), _totals(spark, folder))
+
+
+STARTED = """started AS (
+  SELECT e.id, e.form_id, e.currency, e.input_5_3, e.input_6, e.input_7, a.id AS feed_id, a.type, a.desc_pm, a.mobile_field,
+    e.payment_method, e.payment_status, e.is_fulfilled, e.transaction_type, e.transaction_id, e.payment_amount, e.payment_date,
+    CASE WHEN a.id IS NULL THEN NULL
+      WHEN a.floor_policy IS NOT NULL AND coalesce(total, 0) > 0 AND total < CASE currency WHEN 'IRR' THEN 1000 ELSE 100 END
+        THEN CASE a.floor_policy WHEN 'sadt' THEN CASE currency WHEN 'IRR' THEN 1000 ELSE 100 END ELSE 0 END
+      ELSE coalesce(total, 0) END AS due
+  FROM entries e LEFT JOIN active a ON a.entry_id = e.id LEFT JOIN order_totals o ON o.lead_id = e.id)"""
+
+
+@query("open_requests", sql(LEADS, ENTRIES, FEEDS, ACTIVE, ORDER_TOTALS, STARTED, """
+SELECT id, feed_id, CASE WHEN feed_id IS NULL THEN 'untouched' WHEN due = 0 THEN 'free' ELSE 'pay' END AS path,
+  CAST(due AS DOUBLE) AS amount_due,
+  CASE WHEN feed_id IS NULL THEN payment_method ELSE 'gateway' END AS payment_method,
+  CASE WHEN feed_id IS NULL THEN payment_status ELSE 'Processing' END AS payment_status,
+  CASE WHEN feed_id IS NULL THEN is_fulfilled ELSE 0 END AS is_fulfilled,
+  CASE WHEN feed_id IS NULL THEN transaction_type WHEN type = 'subscription' THEN 2 ELSE 1 END AS transaction_type,
+  CASE WHEN feed_id IS NULL THEN transaction_id END AS transaction_id,
+  CASE WHEN feed_id IS NULL THEN CAST(payment_amount AS DOUBLE) END AS payment_amount,
+  CASE WHEN feed_id IS NULL THEN payment_date END AS payment_date
+FROM started"""))
+def open_requests(spark, folder):
+    return _started(spark, folder).select(
+        "id", F.col("feed.id").alias("feed_id"), "path", F.col("amount_due").cast("double"), "payment_method",
+        "payment_status", "is_fulfilled", "transaction_type", "transaction_id",
+        F.col("payment_amount").cast("double"), "payment_date")
+
+
+@query("open_custom_requests", sql(LEADS, ENTRIES, """
+SELECT (SELECT max(id) FROM entries) + row_number() OVER (ORDER BY id) AS id, id AS from_id, form_id,
+  CAST(input_2 AS DOUBLE) AS amount_due, 'Processing' AS payment_status, 1 AS transaction_type, 0 AS is_fulfilled,
+  'gateway' AS payment_method, CAST(NULL AS TIMESTAMP) AS payment_date
+FROM entries WHERE input_1 = '1-URGENT'"""))
+def open_custom_requests(spark, folder):
+    """Custom payments become new entries, numbered on from the largest id."""
+    entries = site.entries(spark, folder)
+    known = pay.with_meta(entries, site.lead_meta(spark, folder), ("payment_type", "part_price"))
+    opened = s.open_custom_requests(known.where(F.col("payment_type") == "custom"))
+    fresh = keyed.number_rows(opened.withColumnRenamed("id", "from_id"), "from_id", "id", keyed.largest(entries, "id"))
+    return fresh.select("id", "from_id", "form_id", F.col("amount_due").cast("double"), "payment_status",
+                        "transaction_type", "is_fulfilled", "payment_method", "payment_date")
+
+
+@query("unset_projection", sql(LEADS, """
+SELECT id, form_id, payment_method, CAST(NULL AS VARCHAR) AS payment_status, CAST(NULL AS VARCHAR) AS transaction_id,
+  CAST(NULL AS INTEGER) AS transaction_type, CAST(NULL AS INTEGER) AS is_fulfilled, CAST(NULL AS TIMESTAMP) AS payment_date,
+  CAST(NULL AS DOUBLE) AS payment_amount FROM leads"""))
+def unset_projection(spark, folder):
+    cleared = s.clear_payment(site.leads(spark, folder))
+    return cleared.select("id", "form_id", "payment_method", "payment_status", "transaction_id", "transaction_type",
+                          "is_fulfilled", "payment_date", F.col("payment_amount").cast("double"))
+
+
+@query("request_payload", sql(LEADS, ENTRIES, FEEDS, FORMS, ACTIVE, ORDER_TOTALS, STARTED, """
+texts AS (SELECT s.*, replace(replace(replace(desc_pm, '{entry_id}', CAST(s.id AS VARCHAR)), '{form_title}', title),
+    '{form_id}', CAST(form_id AS VARCHAR)) AS filled, CASE WHEN feed_id % 2 = 0 OR input_7 = '0' THEN '' ELSE input_7 END AS said,
+    CASE WHEN mobile_field = '6' THEN input_6 ELSE '' END AS raw
+  FROM started s JOIN forms ON forms.id = form_id WHERE feed_id IS NOT NULL AND due <> 0),
+numbers AS (SELECT *, regexp_replace(raw, '[^0-9]', '', 'g') AS n FROM texts)""", """
+SELECT id, CAST(CASE WHEN currency = 'IRT' THEN due ELSE due / 10 END AS DOUBLE) AS amount,
+  CASE WHEN coalesce(filled, '') <> '' AND said <> '' THEN filled || ' - ' || said WHEN coalesce(filled, '') <> '' THEN filled
+    WHEN said <> '' THEN said ELSE ' ' END AS description,
+  CASE WHEN feed_id % 2 = 1 THEN input_5_3 ELSE '' END AS email,
+  CASE WHEN raw = '' THEN '' WHEN contains(raw, '+') OR contains(raw, '%2B') THEN '+' || n
+    WHEN n[1:2] = '00' THEN '+' || n[3:] WHEN n[1:1] = '0' THEN n ELSE '0' || n END AS mobile
+FROM numbers"""))
+def request_payload(spark, folder):
+    requests = pay.payment_requests(site.entries(spark, folder), site.feeds(spark, folder), site.forms(spark, folder),
+                                    _totals(spark, folder))
+    return requests.withColumn("amount", F.col("amount").cast("double"))
+
+
+@query("request_failure", sql(LEADS, MESSAGES, """
+replies AS (SELECT o_orderkey AS id, CASE o_orderpriority WHEN '1-URGENT' THEN 100 WHEN '2-HIGH' THEN -22
+  WHEN '3-MEDIUM' THEN 100 WHEN '4-NOT SPECIFIED' THEN -2 ELSE 55 END AS reply FROM orders)""", """
+SELECT id, CASE WHEN reply <> 100 THEN 'Failed' ELSE payment_status END AS payment_status,
+  CASE WHEN reply <> 100 THEN coalesce(message, ' ') END AS message,
+  CASE WHEN reply <> 100 THEN 'خطا در اتصال به درگاه رخ داده است : ' || coalesce(message, ' ') END AS note
+FROM leads JOIN replies USING (id) LEFT JOIN messages ON code = reply"""))
+def request_failure(spark, folder):
+    replied = s.apply_replies(site.leads(spark, folder), site.request_replies(spark, folder), "Gateway")
+    return replied.select("id", "payment_status", "message", "note")
+
+
+@query("callback_outcome", sql(CALLBACKS, MESSAGES, """
+SELECT lead_id, event_id, ts, CASE WHEN no_arg = 'true' THEN 'completed'
+    WHEN lower(status_arg) = 'ok' AND result_code = 100 THEN 'completed' WHEN lower(status_arg) = 'ok' THEN 'failed' ELSE 'cancelled' END AS outcome,
+  no_arg = 'true' AS is_free,
+  CASE WHEN no_arg <> 'true' AND lower(status_arg) = 'ok' AND result_code <> 100 THEN coalesce(message, ' ') ELSE '' END AS message
+FROM callbacks LEFT JOIN messages ON code = result_code"""))
+def callback_outcome(spark, folder):
+    return s.with_outcome(site.callbacks(spark, folder), "Gateway").select(
+        "lead_id", "event_id", "ts", "outcome", "is_free", "message")
+
+
+@query("first_settlement", """
+SELECT user_id AS lead_id, event_id, ts FROM events WHERE user_id <> 0
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""")
+def first_settlement(spark, folder):
+    """Events as callbacks: few leads with very many callbacks each."""
+    from tollbook.sources.tables import scan
+
+    calls = site.event_callbacks(scan(spark, folder, "events"))
+    return s.first_callbacks(calls).select("lead_id", "event_id", "ts")
+
+
+@query("callback_enrich", sql(LEADS, ENTRIES, FEEDS, CALLBACKS, """
+SELECT c.event_id, c.lead_id, c.ts, e.form_id, e.payment_status, f.id AS feed_id, f.type AS feed_type
+FROM callbacks c JOIN entries e ON e.id = c.lead_id AND e.payment_method = 'gateway'
+LEFT JOIN feeds f ON f.id = e.form_id * 2 + 1"""))
+def callback_enrich(spark, folder):
+    joined = pay.enrich_callbacks(site.callbacks(spark, folder), site.entries(spark, folder),
+                                  site.lead_meta(spark, folder), site.feeds(spark, folder))
+    return joined.select("event_id", "lead_id", "ts", "form_id", "payment_status", F.col("feed.id").alias("feed_id"),
+                         F.col("feed.meta.type").alias("feed_type"))
+
+
+BASE = (LEADS, ENTRIES, FEEDS, ORDER_TOTALS, CALLBACKS, MESSAGES, MATCHED)
+
+
+@query("settle", sql(*BASE, """
+SELECT lead_id, outcome, is_free, ts AS payment_date, payment_status AS before, new_status, CAST(new_amount AS DOUBLE) AS new_amount,
+  new_fulfilled, new_method, new_transaction_id, new_transaction_type, message FROM settled"""))
+def settle(spark, folder):
+    return _settled(spark, folder).select(
+        "lead_id", "outcome", "is_free", F.col("ts").alias("payment_date"), F.col("payment_status").alias("before"),
+        "new_status", F.col("new_amount").cast("double"), "new_fulfilled", "new_method", "new_transaction_id",
+        "new_transaction_type", "message")
+
+
+@query("settled_entries", sql(*BASE, """
+SELECT e.id, CASE WHEN s.lead_id IS NULL THEN e.payment_status ELSE new_status END AS payment_status,
+  CAST(CASE WHEN s.lead_id IS NULL THEN e.payment_amount ELSE new_amount END AS DOUBLE) AS payment_amount,
+  CASE WHEN s.lead_id IS NULL THEN e.is_fulfilled ELSE new_fulfilled END AS is_fulfilled,
+  CASE WHEN s.lead_id IS NULL THEN e.payment_date ELSE s.ts END AS payment_date,
+  CASE WHEN s.lead_id IS NULL THEN e.transaction_id ELSE new_transaction_id END AS transaction_id
+FROM entries e LEFT JOIN settled s ON s.lead_id = e.id"""))
+def settled_entries(spark, folder):
+    after = pay.settled_entries(site.entries(spark, folder), _settled(spark, folder))
+    return after.select("id", "payment_status", F.col("payment_amount").cast("double"), "is_fulfilled",
+                        "payment_date", "transaction_id")
+
+
+@query("settle_notes", sql(*BASE, """
+money AS (SELECT *, format('{:,.2f}', CAST(total AS DOUBLE)) || ' ' || currency AS due,
+  new_transaction_type = 2 AND outcome = 'completed' AS activated FROM settled),
+notes AS (SELECT lead_id, activated, CASE WHEN is_free THEN 'وضعیت پرداخت : رایگان - بدون نیاز به درگاه پرداخت'
+    WHEN outcome = 'completed' THEN 'وضعیت پرداخت : موفق - مبلغ پرداختی : ' || due || ' - کد تراکنش : ' || new_transaction_id
+    WHEN outcome = 'cancelled' THEN 'وضعیت پرداخت : منصرف شده - مبلغ قابل پرداخت : ' || due || ' - کد تراکنش : ' || new_transaction_id
+    ELSE 'وضعیت پرداخت : ناموفق - مبلغ قابل پرداخت : ' || due || ' - کد تراکنش : ' || new_transaction_id || ' - علت خطا : ' || message END AS text
+  FROM money)""", """
+SELECT lead_id, CASE WHEN activated THEN 1 ELSE 0 END AS position, text FROM notes
+UNION ALL SELECT lead_id, 0, 'تغییرات اطلاعات فیلدها فقط در همین پیام ورودی اعمال خواهد شد و بر روی وضعیت کاربر تاثیری نخواهد داشت .'
+FROM notes WHERE activated"""))
+def settle_notes(spark, folder):
+    return s.settlement_notes(_settled(spark, folder))
+
+
+@query("transition_summary", sql(*BASE, """
+SELECT payment_status AS before, new_status AS after, count(*) AS payments, CAST(sum(new_amount) AS DOUBLE) AS amount
+FROM settled GROUP BY ALL"""))
+def transition_summary(spark, folder):
+    return s.transition_summary(_settled(spark, folder))
+
+
+@query("notify_route", sql(*BASE, """
+SELECT lead_id, n AS notification_id FROM settled, (VALUES ('n1'), ('n2'), ('n3')) v(n)
+WHERE NOT custom AND list_contains(CASE outcome WHEN 'completed' THEN notif_2 WHEN 'failed' THEN notif_3 ELSE notif_4 END, n)"""))
+def notify_route(spark, folder):
+    return pay.route_notifications(_settled(spark, folder), site.forms(spark, folder))
+
+
+@query("confirmation_route", sql(*BASE, """
+chosen AS (SELECT lead_id, outcome, input_1, CAST(input_2 AS DOUBLE) AS input_2, c_mktsegment, c_acctbal,
+    CASE outcome WHEN 'completed' THEN conf_1 WHEN 'failed' THEN conf_2 ELSE conf_3 END AS picked
+  FROM settled JOIN customer ON c_custkey = form_id WHERE NOT custom)""", """
+SELECT lead_id, outcome, CASE WHEN c_acctbal < 1000 THEN 'c1'
+  WHEN list_contains(picked, 'c2') AND c_mktsegment <> 'BUILDING' AND input_2 > 200000 THEN 'c2'
+  WHEN list_contains(picked, 'c3') AND contains(lower(input_1), 'h') THEN 'c3' ELSE 'c1' END AS confirmation_id
+FROM chosen"""))
+def confirmation_route(spark, folder):
+    return pay.route_confirmations(_settled(spark, folder), site.forms(spark, folder))
+
+
+@query("post_status_update", sql(*BASE, FORMS, """
+decided AS (SELECT post_id, CASE WHEN update_post_action1 IN ('publish', 'draft', 'pending', 'private') THEN update_post_action1
+    ELSE post_status END AS new_status
+  FROM settled JOIN forms ON forms.id = form_id WHERE outcome = 'completed' AND NOT custom AND post_id IS NOT NULL),
+posts AS (SELECT o_orderkey AS id, CASE o_orderpriority WHEN '1-URGENT' THEN 'pending' WHEN '2-HIGH' THEN 'publish'
+  WHEN '3-MEDIUM' THEN 'draft' WHEN '4-NOT SPECIFIED' THEN 'private' ELSE 'publish' END AS status FROM orders)""", """
+SELECT id, coalesce(new_status, status) AS post_status, coalesce(new_status <> status, FALSE) AS changed
+FROM posts LEFT JOIN decided ON post_id = id"""))
+def post_status_update(spark, folder):
+    decided = pay.decide_post_status(_settled(spark, folder), site.forms(spark, folder))
+    return en.update_post_status(site.posts(spark, folder), decided)
+
+
+@query("entry_detail", sql(LEADS, ENTRIES, ORDER_TOTALS, JALALI, """
+shown AS (SELECT e.id, payment_status, payment_date + INTERVAL '210 minutes' AS local, transaction_id, currency,
+    CASE WHEN payment_amount = 0 THEN coalesce(total, 0) ELSE payment_amount END AS amount
+  FROM entries e LEFT JOIN order_totals o ON o.lead_id = e.id WHERE payment_method = 'gateway')""", """
+SELECT id, CASE payment_status WHEN 'Cancelled' THEN 'منصرف شده' WHEN 'Failed' THEN 'ناموفق' WHEN 'Processing' THEN 'معلق' ELSE 'موفق' END AS status_label,
+  CASE WHEN local IS NULL THEN NULL ELSE jy || '-' || lpad(CAST(jm AS VARCHAR), 2, '0') || '-' || lpad(CAST(jd AS VARCHAR), 2, '0')
+    || ' ' || strftime(local, '%H:%M:%S') END AS local_date,
+  format('{:,.2f}', CAST(amount AS DOUBLE)) || ' ' || currency AS amount_text, transaction_id
+FROM shown LEFT JOIN jcal ON d = CAST(local AS DATE)"""))
+def entry_detail(spark, folder):
+    return en.entry_detail(site.entries(spark, folder), _totals(spark, folder), OFFSET)
+
+
+CORRECTED = """corrections AS (
+  SELECT c_custkey AS cid, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Paid' WHEN 'BUILDING' THEN 'Cancelled' WHEN 'FURNITURE' THEN ''
+      WHEN 'HOUSEHOLD' THEN 'Active' ELSE 'Failed' END AS new_status, CAST(c_acctbal AS DECIMAL(19,2)) AS new_amount,
+    'M' || c_custkey AS new_txn, c_mktsegment <> 'HOUSEHOLD' AS dated, c_nationkey AS n FROM customer),
+merged AS (
+  SELECT e.*, cid IS NOT NULL AND payment_method = 'gateway' AS corrected, new_amount, new_txn,
+    CASE WHEN new_status = '' THEN payment_status ELSE new_status END AS status2,
+    CASE WHEN dated THEN d + to_hours(CAST(n % 24 AS INTEGER)) + INTERVAL '15 minutes 30 seconds' - INTERVAL '210 minutes'
+      ELSE coalesce(payment_date, date_created) END AS date2
+  FROM entries e LEFT JOIN corrections ON cid = e.id LEFT JOIN jcal ON jy = 1380 AND jm = 1 + n % 12 AND jd = 1 + n)"""
+
+
+def _corrected(spark, folder):
+    return s.correct_payments(site.entries(spark, folder), site.corrections(spark, folder), OFFSET)
+
+
+@query("apply_corrections", sql(LEADS, ENTRIES, JALALI, CORRECTED, """
+SELECT id, corrected, CASE WHEN corrected THEN status2 ELSE payment_status END AS payment_status,
+  CAST(CASE WHEN corrected THEN new_amount ELSE payment_amount END AS DOUBLE) AS payment_amount,
+  CASE WHEN corrected THEN new_txn ELSE transaction_id END AS transaction_id,
+  CASE WHEN corrected THEN date2 ELSE payment_date END AS payment_date,
+  CASE WHEN corrected THEN CASE WHEN status2 IN ('Paid', 'Active') THEN 1 ELSE 0 END ELSE is_fulfilled END AS is_fulfilled
+FROM merged"""))
+def apply_corrections(spark, folder):
+    return _corrected(spark, folder).select(
+        "id", "corrected", "payment_status", F.col("payment_amount").cast("double"), "transaction_id", "payment_date",
+        "is_fulfilled")
+
+
+@query("append_notes", sql(LEADS, ENTRIES, JALALI, CORRECTED, """
+SELECT id AS lead_id, 'اطلاعات تراکنش به صورت دستی ویرایش شد . وضعیت : ' ||
+  CASE status2 WHEN 'Cancelled' THEN 'منصرف شده' WHEN 'Failed' THEN 'ناموفق' WHEN 'Processing' THEN 'معلق' ELSE 'موفق' END
+  || ' - مبلغ : ' || format('{:,.2f}', CAST(new_amount AS DOUBLE)) || ' ' || currency || ' - کد رهگیری : ' || new_txn
+  || ' - تاریخ : ' || strftime(date2, '%Y-%m-%d %H:%M:%S') AS text
+FROM merged WHERE corrected"""))
+def append_notes(spark, folder):
+    """Notes of the corrections, appended to a note table twice: the replay must not double them."""
+    path = new_path(spark, "notes")
+    notes = s.correction_notes(_corrected(spark, folder))
+    for _ in range(2):
+        append_batch(notes, path, 0)
+    return read_batches(spark, path, "lead_id bigint, text string").drop("batch")

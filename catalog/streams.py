@@ -1 +1,51 @@
-"""Placeholder."""
+"""The streaming jobs, run to the end of what is there."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog import query
+from catalog.views import HOURLY, MESSAGES, PAID, sql
+from tollbook.session import new_path
+from tollbook.sources import site
+from tollbook.sources.tables import scan
+from tollbook.streaming import settlement, totals
+
+
+def _stream(spark, folder):
+    schema = scan(spark, folder, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+
+
+def _stream_totals(grain):
+    def run(spark, folder):
+        path, checkpoint = new_path(spark, "totals"), new_path(spark, "totals-checkpoint")
+        leads = site.event_leads(_stream(spark, folder))
+        totals.start_totals(leads, path, checkpoint, grain, "+03:30").awaitTermination()
+        return totals.read_totals(spark, path)
+    return run
+
+
+def _sums(grain):
+    return sql(HOURLY, PAID, f"""
+SELECT form_id, payment_method, CAST(date_trunc('{grain}', payment_date + INTERVAL '210 minutes') AS TIMESTAMP) AS bucket,
+  CAST(sum(payment_amount) AS DOUBLE) AS revenue, count(id) AS transactions FROM paid GROUP BY ALL""")
+
+
+query("stream_totals", _sums("hour"))(_stream_totals("hour"))
+query("stream_daily_totals", _sums("day"))(_stream_totals("day"))
+
+
+@query("stream_settle", sql(MESSAGES, """
+firsts AS (SELECT * FROM events WHERE user_id <> 0 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1),
+coded AS (SELECT *, CASE event_type WHEN 'purchase' THEN 100 WHEN 'error' THEN
+    CASE event_id % 4 WHEN 0 THEN -1 WHEN 1 THEN -22 WHEN 2 THEN -33 ELSE 7 END END AS reply FROM firsts)""", """
+SELECT user_id AS lead_id, event_id, ts,
+  CASE event_type WHEN 'signup' THEN 'completed' WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' ELSE 'cancelled' END AS outcome,
+  event_type = 'signup' AS is_free, CASE WHEN event_type = 'error' THEN coalesce(message, ' ') ELSE '' END AS message
+FROM coded LEFT JOIN messages ON code = reply"""))
+def stream_settle(spark, folder):
+    path, checkpoint = new_path(spark, "settled"), new_path(spark, "settled-checkpoint")
+    calls = site.event_callbacks(_stream(spark, folder))
+    settlement.start_settlement(calls, path, checkpoint).awaitTermination()
+    return settlement.read_settled(spark, path).select("lead_id", "event_id", "ts", "outcome", "is_free", "message")

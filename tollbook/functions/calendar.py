@@ -129,14 +129,13 @@ def jalali_to_date(year: Number, month: Number, day: Number) -> Day:
 
 def jalali_text(d: Column) -> Column:
     """`YYYY-MM-DD` on the Jalali calendar."""
-    return F.concat_ws("-", jalali_year(d).cast("string"),
-                       F.lpad(jalali_month(d).cast("string"), 2, "0"),
-                       F.lpad(jalali_day(d).cast("string"), 2, "0"))
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    return F.concat(jalali_year(d).cast("string"), F.lit("-"), two(jalali_month(d)), F.lit("-"), two(jalali_day(d)))
 
 
 def jalali_datetime_text(ts: Column) -> Column:
     """`YYYY-MM-DD HH:mm:ss` with the date on the Jalali calendar."""
-    return F.concat_ws(" ", jalali_text(F.to_date(ts)), F.date_format(ts, "HH:mm:ss"))
+    return F.concat(jalali_text(F.to_date(ts)), F.lit(" "), F.date_format(ts, "HH:mm:ss"))
 
 
 def month_start(d: Day) -> Day:

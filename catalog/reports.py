@@ -107,13 +107,15 @@ DAILY = f"""daily AS (
   FROM paid GROUP BY ALL)"""
 
 
+def _covered(spark, folder):
+    return w.covered_facts(site.leads(spark, folder), AS_OF, OFFSET, selection=SELECTION)
+
+
 @query("window_range_join", sql(LEADS, PAID, DAILY, WINDOWS_2001, """
 SELECT w AS "window", form_id, payment_method, local_day, CAST(revenue AS DOUBLE) AS revenue, transactions
 FROM daily JOIN windows ON local_day BETWEEN lo AND hi"""))
 def window_range_join(spark, folder):
-    daily = t.bucket_facts(w.covered(site.leads(spark, folder), AS_OF, OFFSET, selection=SELECTION), "day", OFFSET,
-                           ("form_id", "payment_method"))
-    joined = w.to_windows(daily, AS_OF, selection=SELECTION)
+    joined = w.to_windows(_covered(spark, folder), AS_OF, selection=SELECTION)
     return t.money_as_double(
         joined.select("window", "form_id", "payment_method", "local_day", "revenue", "transactions"), "revenue")
 
@@ -122,7 +124,7 @@ def window_range_join(spark, folder):
 SELECT w AS "window", divisor, CAST(sum(revenue) AS DOUBLE) AS revenue, CAST(sum(transactions) AS BIGINT) AS transactions
 FROM daily JOIN windows ON local_day BETWEEN lo AND hi GROUP BY ALL"""))
 def window_summary(spark, folder):
-    return w.window_summary(site.leads(spark, folder), AS_OF, OFFSET, selection=SELECTION)
+    return w.window_summary(_covered(spark, folder), AS_OF, selection=SELECTION)
 
 
 @query("window_average", sql(LEADS, PAID, DAILY, WINDOWS_2001, """
@@ -130,7 +132,7 @@ SELECT w AS "window", CAST(sum(revenue) AS DOUBLE) / divisor AS avg_revenue,
   CAST(sum(transactions) AS DOUBLE) / divisor AS avg_transactions
 FROM daily JOIN windows ON local_day BETWEEN lo AND hi GROUP BY w, divisor"""))
 def window_average(spark, folder):
-    summary = w.window_summary(site.leads(spark, folder), AS_OF, OFFSET, selection=SELECTION)
+    summary = w.window_summary(_covered(spark, folder), AS_OF, selection=SELECTION)
     return w.with_averages(summary).select("window", "avg_revenue", "avg_transactions")
 
 
@@ -146,7 +148,7 @@ JOIN windows ON local_day BETWEEN lo AND hi GROUP BY ALL"""
 
 @query("all_windows_cube", sql(LEADS, PAID, DAILY, WINDOWS_2001, CUBE))
 def all_windows_cube(spark, folder):
-    return w.all_windows_cube(site.leads(spark, folder), AS_OF, OFFSET, selection=SELECTION)
+    return w.all_windows_cube(_covered(spark, folder), AS_OF, selection=SELECTION)
 
 
 REPORT = sql(LEADS, PAID, FORMS, DAILY, WINDOWS_2001, """

@@ -135,6 +135,15 @@ def names_for(selection: object = None) -> tuple[str, ...]:
     return WINDOW_NAMES if selection is not None else WINDOW_NAMES[:-1]
 
 
+def day_count(lo: dt.date, hi: dt.date) -> int:
+    return abs((hi - lo).days) + 1
+
+
+def divisor(name: str, lo: dt.date, hi: dt.date) -> int:
+    """What the sums of a window are averaged over: its days, or the hours of a one-day window."""
+    return HOURLY.get(name, day_count(lo, hi))
+
+
 def window_array(as_of: dt.date, names: Sequence[str] | None = None,
                  selection: tuple[dt.date, dt.date] | None = None, **options) -> Column:
     """The windows of a known date as one constant array of at most eighteen entries."""
@@ -142,9 +151,8 @@ def window_array(as_of: dt.date, names: Sequence[str] | None = None,
     entries = []
     for name in names or names_for(selection):
         lo, hi = window_range(name, known, selection)
-        days = abs((hi - lo).days) + 1
-        entries.append(f"named_struct('window', '{name}', 'lo', date'{lo}', 'hi', date'{hi}', 'days', {days},"
-                       f" 'divisor', {HOURLY.get(name, days)})")
+        entries.append(f"named_struct('window', '{name}', 'lo', date'{lo}', 'hi', date'{hi}',"
+                       f" 'days', {day_count(lo, hi)}, 'divisor', {divisor(name, lo, hi)})")
     return F.expr("array(" + ", ".join(entries) + ")")
 
 

@@ -23,7 +23,7 @@ def entry_detail(entries: DataFrame, order_totals: DataFrame, offset: str | floa
 
 def latest_per_key(rows: DataFrame, key: str, order: str, tiebreak: str) -> DataFrame:
     """The newest row of each key."""
-    return first_per_key(rows, [key], [F.col(order), F.col(tiebreak)], last=True)
+    return first_per_key(rows, [key], [order, tiebreak], last=True)
 
 
 def latest_one(rows: DataFrame, key: str, value, order: str, tiebreak: str) -> DataFrame:

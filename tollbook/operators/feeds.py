@@ -69,7 +69,7 @@ def feed_list(feeds: DataFrame, forms: DataFrame) -> DataFrame:
 
 def first_feeds(feeds: DataFrame) -> DataFrame:
     """The first active feed of each form, by id."""
-    return first_per_key(feeds_by_form(feeds, only_active=True), ["form_id"], [F.col("id")])
+    return first_per_key(feeds_by_form(feeds, only_active=True), ["form_id"], ["id"])
 
 
 def compare(value: Column, operator: Column, target: Column) -> Column:

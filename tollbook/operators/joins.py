@@ -48,20 +48,14 @@ def hot_key_join(rows: DataFrame, table: DataFrame, on: str, how: str = "left",
     return salted_rows.join(salted_table, [on, "_salt"], how).drop("_salt")
 
 
-def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], *,
-                  last: bool = False) -> DataFrame:
-    """The first (or last) row of each key.
+def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str], *, last: bool = False) -> DataFrame:
+    """The first (or last) row of each key by the `order` columns.
 
-    An aggregate rather than a sorted window: every map task keeps one row per key before the
-    shuffle, so a key with most of the rows costs no more than any other.
+    The smallest whole row, the order columns leading, as an aggregate rather than a sorted window:
+    every map task keeps one row per key before the shuffle, so a key with most of the rows costs no
+    more than any other. The remaining columns break ties, so equal orders still give one answer.
     """
-    values = [c for c in rows.columns if c not in keys]
-    pick = F.max_by if last else F.min_by
-    # The whole row breaks ties, so equal orders still give one answer.
-    by = F.struct(*order, *[F.col(c) for c in values if _orderable(rows, c)])
-    picked = rows.groupBy(*keys).agg(pick(F.struct(*values), by).alias("_row"))
+    columns = [*order, *[c for c in rows.columns if c not in keys and c not in order]]
+    pick = F.max if last else F.min
+    picked = rows.groupBy(*keys).agg(pick(F.struct(*columns)).alias("_row"))
     return picked.select(*keys, "_row.*").select(*rows.columns)
-
-
-def _orderable(rows: DataFrame, column: str) -> bool:
-    return "map<" not in rows.schema[column].dataType.simpleString()

@@ -17,7 +17,7 @@ def upsert(base: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame
     return kept.unionByName(changes.select(*base.columns))
 
 
-def latest_changes(changes: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def latest_changes(changes: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One change per key, the last one."""
     return first_per_key(changes, key, order, last=True)
 
@@ -41,7 +41,7 @@ def number_rows(rows: DataFrame, order: str, name: str, after: Column, block: in
     The order is cut into blocks of its value range. Rows are ranked inside a block, which holds at
     most `block` rows, and the blocks before it are added from a table of block sizes.
     """
-    blocked = rows.withColumn("_block", F.floor(F.col(order) / block))
+    blocked = rows.withColumn("_block", F.call_function("div", F.col(order), F.lit(block)))
     sizes = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_size"))
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_block", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
@@ -56,11 +56,14 @@ def largest(base: DataFrame, column: str) -> Column:
 
 
 def upsert_with_ids(base: DataFrame, changes: DataFrame, key: str, order: str) -> DataFrame:
-    """Upsert where key 0 asks for a new one, numbered on from the largest in the table."""
+    """Upsert where key 0 asks for a new one, numbered on from the largest in the table.
+
+    New numbers are above every one in use, so only the changes of known keys replace base rows.
+    """
     fresh = number_rows(changes.where(F.col(key) == 0).drop(key), order, key, largest(base, key))
     fresh = fresh.withColumn(key, F.col(key).cast(base.schema[key].dataType))
-    known = latest_changes(changes.where(F.col(key) != 0), [key], [F.col(order)])
-    return upsert(base, known.select(*base.columns).unionByName(fresh.select(*base.columns)), [key])
+    known = latest_changes(changes.where(F.col(key) != 0), [key], [order])
+    return upsert(base, known, [key]).unionByName(fresh.select(*base.columns))
 
 
 def pivot_meta(meta: DataFrame, keys: Sequence[str]) -> DataFrame:

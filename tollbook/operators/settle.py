@@ -131,7 +131,7 @@ def with_outcome(callbacks: DataFrame, gateway_name: str) -> DataFrame:
 def first_callbacks(callbacks: DataFrame) -> DataFrame:
     """The first callback of each entry; later ones are ignored for good."""
     valid = callbacks.where(~is_empty_number(F.col("lead_id")))
-    return first_per_key(valid, ["lead_id"], [F.col("ts"), F.col("event_id")])
+    return first_per_key(valid, ["lead_id"], ["ts", "event_id"])
 
 
 def settle(matched: DataFrame) -> DataFrame:

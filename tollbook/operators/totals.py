@@ -41,16 +41,8 @@ def scope_rows(leads: DataFrame, gateway: str = GATEWAY) -> DataFrame:
     return paid(leads).withColumn("scope", F.explode(scopes))
 
 
-def _sums(amount: Column, payments: Column) -> list[Column]:
-    return [F.sum(amount).alias("revenue"), payments.alias("transactions")]
-
-
 def _counted() -> list[Column]:
-    return _sums(F.col("payment_amount"), F.count("id"))
-
-
-def _summed() -> list[Column]:
-    return _sums(F.col("revenue"), F.sum("transactions"))
+    return [F.sum("payment_amount").alias("revenue"), F.count("id").alias("transactions")]
 
 
 def money_as_double(df: DataFrame, *columns: str) -> DataFrame:
@@ -69,11 +61,15 @@ def totals(leads: DataFrame, scope: str, form_id: int | None = None, gateway: st
 
 
 def scope_rollup(facts: DataFrame, *extra: str) -> DataFrame:
-    """Roll (form, method) sums up to the four scopes, apart for each value of `extra`."""
-    extra = list(extra)
-    sets = [["form_id", "payment_method"], ["form_id"], ["payment_method"], []]
-    rolled = facts.groupingSets([[*extra, *s] for s in sets], *extra, "form_id", "payment_method").agg(
-        F.grouping("form_id").alias("_any_form"), F.grouping("payment_method").alias("_any_method"), *_summed())
+    """Roll (form, method) sums up to the four scopes, apart for each value of `extra`.
+
+    Every other column is a sum and is summed on.
+    """
+    keys = ["form_id", "payment_method"]
+    sets = [[*extra, *s] for s in (keys, keys[:1], keys[1:], [])]
+    summed = [F.sum(c).alias(c) for c in facts.columns if c not in keys and c not in extra]
+    rolled = facts.groupingSets(sets, *extra, *keys).agg(
+        F.grouping("form_id").alias("_any_form"), F.grouping("payment_method").alias("_any_method"), *summed)
     # The grouping flags tell a rolled-up key from a key that is null in the data.
     scope = (F.when((F.col("_any_form") == 0) & (F.col("_any_method") == 0), "form_method")
              .when(F.col("_any_form") == 0, "form").when(F.col("_any_method") == 0, "method").otherwise("site"))
@@ -111,6 +107,14 @@ def bucket_facts(leads: DataFrame, grain: str, offset: str | float, keys: tuple[
     return paid(leads).withColumns(buckets).groupBy(*keys, *buckets).agg(*_counted())
 
 
+def daily_facts(leads: DataFrame, offset: str | float) -> DataFrame:
+    """Paid sums per (form, method, local day): what every window and report is made from.
+
+    Kept as a table it spares a report the payments themselves.
+    """
+    return bucket_facts(leads, "day", offset, ("form_id", "payment_method"))
+
+
 def bucket_totals(leads: DataFrame, grain: str, offset: str | float, keys: tuple[str, ...] = ()) -> DataFrame:
     return money_as_double(bucket_facts(leads, grain, offset, keys), "revenue")
 

@@ -57,29 +57,28 @@ def average(value: Column, divisor: Column) -> Column:
     return value / F.nullif(divisor, F.lit(0))
 
 
-def window_facts(leads: DataFrame, as_of, offset: str | float, names: Sequence[str] | None = None,
-                 **options) -> DataFrame:
+def covered_facts(leads: DataFrame, as_of, offset: str | float, names: Sequence[str] | None = None,
+                  **options) -> DataFrame:
+    """Daily facts of no more days than the windows reach."""
+    return t.daily_facts(covered(leads, as_of, offset, names, **options), offset)
+
+
+def window_facts(daily: DataFrame, as_of, names: Sequence[str] | None = None, **options) -> DataFrame:
     """Sums per (window, form, method), revenue still a decimal."""
-    daily = t.bucket_facts(covered(leads, as_of, offset, names, **options), "day", offset,
-                           ("form_id", "payment_method"))
     return (to_windows(daily, as_of, names, **options)
-            .groupBy("window", "divisor", "form_id", "payment_method")
+            .groupBy("window", "form_id", "payment_method")
             .agg(F.sum("revenue").alias("revenue"), F.sum("transactions").alias("transactions")))
 
 
-def all_windows_cube(leads: DataFrame, as_of, offset: str | float, names: Sequence[str] | None = None,
-                     **options) -> DataFrame:
+def all_windows_cube(daily: DataFrame, as_of, names: Sequence[str] | None = None, **options) -> DataFrame:
     """Sums of every window in every scope: days first, then windows, then scopes."""
-    facts = window_facts(leads, as_of, offset, names, **options)
-    rolled = t.scope_rollup(facts, "window", "divisor")
+    rolled = t.scope_rollup(window_facts(daily, as_of, names, **options), "window")
     return t.money_as_double(
         rolled.select("window", "scope", "form_id", "payment_method", "revenue", "transactions"), "revenue")
 
 
-def window_summary(leads: DataFrame, as_of, offset: str | float, names: Sequence[str] | None = None,
-                   **options) -> DataFrame:
+def window_summary(daily: DataFrame, as_of, names: Sequence[str] | None = None, **options) -> DataFrame:
     """Revenue and transactions of each window over all forms and methods."""
-    daily = t.bucket_facts(covered(leads, as_of, offset, names, **options), "day", offset)
     summed = (to_windows(daily, as_of, names, **options).groupBy("window", "divisor")
               .agg(F.sum("revenue").alias("revenue"), F.sum("transactions").alias("transactions")))
     return t.money_as_double(summed, "revenue")

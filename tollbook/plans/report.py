@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -11,55 +12,44 @@ from tollbook.operators import totals as t, windows as w
 from tollbook.operators.totals import GATEWAY
 
 ALL_TIME = "all"
-FACTS = ("window", "form_id", "payment_method", "revenue", "transactions")
+SUMS = {"revenue": "DOUBLE", "transactions": "BIGINT"}
 
 
-def report(leads: DataFrame, forms: DataFrame, as_of, offset: str | float, names: Sequence[str] | None = None,
-           gateway: str = GATEWAY, **options) -> DataFrame:
+def report(leads: DataFrame, forms: DataFrame, as_of: dt.date, offset: str | float, **options) -> DataFrame:
+    return report_from_daily(t.daily_facts(leads, offset), forms, as_of, **options)
+
+
+def report_from_daily(daily: DataFrame, forms: DataFrame, as_of: dt.date, names: Sequence[str] | None = None,
+                      gateway: str = GATEWAY, selection: tuple[dt.date, dt.date] | None = None,
+                      **options) -> DataFrame:
     """All-time and window revenue, payments and averages, zero where nothing was paid.
 
-    Payments are summed to days, days to windows (all time being one more), windows to scopes. A
-    form without payments enters as a row of zeros, so no join with the forms is needed.
+    The days of a (form, method) are summed into one wide row, two sums per window, and those rows
+    are rolled up to the scopes; no row is repeated per window before the end. A form without
+    payments enters as an empty row, so no join with the forms is needed.
     """
-    daily = t.bucket_facts(leads, "day", offset, ("form_id", "payment_method"))
-    windows = win.window_array(as_of, names, **options)
-    paired = daily.select("*", F.inline(F.concat(F.array(_all_time()), windows)))
-    # All time needs no date, a window does.
-    inside = (F.col("window") == ALL_TIME) | F.col("local_day").between(F.col("lo"), F.col("hi"))
-    facts = (paired.where(inside)
-             .groupBy("window", "form_id", "payment_method")
-             .agg(F.sum("revenue").alias("revenue"), F.sum("transactions").alias("transactions")))
-    rolled = t.scope_rollup(facts.select(*FACTS).unionByName(_zeros(forms, facts, gateway)), "window")
+    names = list(names or win.names_for(selection))
+    ranges = {n: win.known_range(n, as_of, selection, **options) for n in names}
+    sums = {_name(c, ALL_TIME): f"sum({c})" for c in SUMS}
+    for name, (lo, hi) in ranges.items():
+        inside = f"local_day BETWEEN date'{lo}' AND date'{hi}'"
+        sums.update({_name(c, name): f"sum(CASE WHEN {inside} THEN {c} END)" for c in SUMS})
+    facts = daily.groupBy("form_id", "payment_method").agg(*[F.expr(s).alias(n) for n, s in sums.items()])
+    empty = forms.select(F.col("id").cast(daily.schema["form_id"].dataType).alias("form_id"),
+                         F.lit(gateway).alias("payment_method"))
+    rolled = t.scope_rollup(facts.unionByName(empty, allowMissingColumns=True))
     own = rolled.where(F.col("payment_method").eqNullSafe(gateway) | F.col("scope").isin("form", "site"))
-    # At most one entry per window and scope: the map is bounded by the eighteen windows.
-    sums = F.struct("revenue", "transactions")
-    per_scope = own.groupBy("scope", "form_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("window", sums))).alias("sums"))
-    return _tiles(per_scope, windows)
-
-
-def _all_time():
-    no_day = F.lit(None).cast("date")
-    return F.struct(F.lit(ALL_TIME).alias("window"), no_day.alias("lo"), no_day.alias("hi"),
-                    F.lit(0).alias("days"), F.lit(0).alias("divisor"))
+    return _tiles(own, {n: win.divisor(n, *r) for n, r in ranges.items()})
 
 
-def _zeros(forms: DataFrame, facts: DataFrame, gateway: str) -> DataFrame:
-    types = {f.name: f.dataType for f in facts.schema.fields}
-    values = {"window": F.lit(ALL_TIME), "form_id": F.col("id"), "payment_method": F.lit(gateway),
-              "revenue": F.lit(0), "transactions": F.lit(0)}
-    return forms.select(*[v.cast(types[c]).alias(c) for c, v in values.items()])
+def _name(column: str, window: str) -> str:
+    return f"{column}_{window}"
 
 
-def _tiles(per_scope: DataFrame, windows) -> DataFrame:
-    rows = per_scope.select("scope", "form_id", "sums", F.explode(windows).alias("w"))
-    all_time = F.try_element_at("sums", F.lit(ALL_TIME))
-    inside = F.try_element_at("sums", F.col("w.window"))
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    tiles = rows.select(
-        "scope", "form_id", F.col("w.window").alias("window"), F.col("w.divisor").alias("divisor"),
-        zero(all_time["revenue"]).cast("double").alias("total_revenue"),
-        zero(all_time["transactions"]).cast("bigint").alias("total_transactions"),
-        zero(inside["revenue"]).cast("double").alias("revenue"),
-        zero(inside["transactions"]).cast("bigint").alias("transactions"))
-    return w.with_averages(tiles).drop("divisor")
+def _tiles(scopes: DataFrame, divisors: dict[str, int]) -> DataFrame:
+    value = lambda c, window: f"CAST(coalesce({_name(c, window)}, 0) AS {SUMS[c]})"
+    tiles = ", ".join(f"struct('{n}' AS window, {d} AS divisor, {value('revenue', n)} AS revenue,"
+                      f" {value('transactions', n)} AS transactions)" for n, d in divisors.items())
+    rows = scopes.selectExpr("scope", "form_id", *[f"{value(c, ALL_TIME)} AS total_{c}" for c in SUMS],
+                             f"inline(array({tiles}))")
+    return w.with_averages(rows).drop("divisor")

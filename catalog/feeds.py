@@ -49,7 +49,7 @@ def lead_feed(spark, folder):
     leads = pay.with_meta(site.leads(spark, folder).select("id"), site.lead_meta(spark, folder), ("feed_id",))
     known = leads.withColumn("feed_id", F.col("feed_id").try_cast("bigint"))
     return fd.with_own_feed(known, site.feeds(spark, folder)).select(
-        "id", F.col("feed.id").alias("feed_id"), F.col("feed.meta.type").alias("type"))
+        "id", F.col("feed.id").alias("feed_id"), F.col("feed.type").alias("type"))
 
 
 @query("first_feed", sql(FEEDS, """
@@ -62,10 +62,8 @@ def first_feed(spark, folder):
 @query("rule_match", sql(LEADS, ENTRIES, FEEDS, ACTIVE, """
 SELECT t.entry_id AS id, t.id AS feed_id, a.entry_id IS NOT NULL AS passes FROM tested t LEFT JOIN active a USING (entry_id)"""))
 def rule_match(spark, folder):
-    first = fd.decode_meta(fd.first_feeds(site.feeds(spark, folder))).select(
-        "form_id", F.struct("id", "meta").alias("feed"))
-    joined = lookup_join(site.entries(spark, folder), first, "form_id", "inner", spread_by=["id"])
-    return joined.select("id", F.col("feed.id").alias("feed_id"), fd.feed_rule_passes("feed").alias("passes"))
+    joined = fd.with_first_feed(site.entries(spark, folder), site.feeds(spark, folder), "inner")
+    return fd.with_rule_result(joined, "passes").select("id", F.col("feed.id").alias("feed_id"), "passes")
 
 
 @query("active_feed", sql(LEADS, ENTRIES, FEEDS, ACTIVE, """

@@ -25,9 +25,10 @@ def _started(spark, folder):
     return pay.start_payments(site.entries(spark, folder), site.feeds(spark, folder), _totals(spark, folder))
 
 
-def _settled(spark, folder):
+def _settled(spark, folder, settings=pay.AMOUNT_SETTINGS):
     return pay.settle_callbacks(site.callbacks(spark, folder), site.entries(spark, folder),
-                                site.lead_meta(spark, folder), site.feeds(spark, folder), _totals(spark, folder))
+                                site.lead_meta(spark, folder), site.feeds(spark, folder), _totals(spark, folder),
+                                settings=settings)
 
 
 STARTED = """started AS (
@@ -144,7 +145,7 @@ def callback_enrich(spark, folder):
     joined = pay.enrich_callbacks(site.callbacks(spark, folder), site.entries(spark, folder),
                                   site.lead_meta(spark, folder), site.feeds(spark, folder))
     return joined.select("event_id", "lead_id", "ts", "form_id", "payment_status", F.col("feed.id").alias("feed_id"),
-                         F.col("feed.meta.type").alias("feed_type"))
+                         F.col("feed.type").alias("feed_type"))
 
 
 BASE = (LEADS, ENTRIES, FEEDS, ORDER_TOTALS, CALLBACKS, MESSAGES, MATCHED)
@@ -199,7 +200,7 @@ def transition_summary(spark, folder):
 SELECT lead_id, n AS notification_id FROM settled, (VALUES ('n1'), ('n2'), ('n3')) v(n)
 WHERE NOT custom AND list_contains(CASE outcome WHEN 'completed' THEN notif_2 WHEN 'failed' THEN notif_3 ELSE notif_4 END, n)"""))
 def notify_route(spark, folder):
-    return pay.route_notifications(_settled(spark, folder), site.forms(spark, folder))
+    return pay.route_notifications(_settled(spark, folder, pay.NOTIFICATION_SETTINGS), site.forms(spark, folder))
 
 
 @query("confirmation_route", sql(*BASE, """
@@ -211,7 +212,7 @@ SELECT lead_id, outcome, CASE WHEN c_acctbal < 1000 THEN 'c1'
   WHEN list_contains(picked, 'c3') AND contains(lower(input_1), 'h') THEN 'c3' ELSE 'c1' END AS confirmation_id
 FROM chosen"""))
 def confirmation_route(spark, folder):
-    return pay.route_confirmations(_settled(spark, folder), site.forms(spark, folder))
+    return pay.route_confirmations(_settled(spark, folder, pay.CONFIRMATION_SETTINGS), site.forms(spark, folder))
 
 
 @query("post_status_update", sql(*BASE, FORMS, """
@@ -223,7 +224,7 @@ posts AS (SELECT o_orderkey AS id, CASE o_orderpriority WHEN '1-URGENT' THEN 'pe
 SELECT id, coalesce(new_status, status) AS post_status, coalesce(new_status <> status, FALSE) AS changed
 FROM posts LEFT JOIN decided ON post_id = id"""))
 def post_status_update(spark, folder):
-    decided = pay.decide_post_status(_settled(spark, folder), site.forms(spark, folder))
+    decided = pay.decide_post_status(_settled(spark, folder, pay.POST_SETTINGS), site.forms(spark, folder))
     return en.update_post_status(site.posts(spark, folder), decided)
 
 

@@ -28,7 +28,7 @@ def is_blank_text(col: Column) -> Column:
 
 
 def text_or_none(col: Column) -> Column:
-    return F.when(~is_empty_text(col), col)
+    return F.when(~col.isin("", "0"), col)
 
 
 def map_path(col: Column, path: str) -> Column:

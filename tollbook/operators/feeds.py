@@ -6,6 +6,8 @@ what was submitted by `input_<field>`, and `hidden`, the field ids that were not
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tollbook.functions import status as st
@@ -90,33 +92,60 @@ def compare(value: Column, operator: Column, target: Column) -> Column:
 
 
 def rule_passes(enabled: Column, field_id: Column, operator: Column, target: Column,
-                answers: Column, hidden: Column) -> Column:
+                submitted: Column, hidden: Column) -> Column:
     """A rule that is off or names no field passes; otherwise its field must be shown and match."""
     unused = is_empty_text(enabled) | is_empty_text(field_id)
     shown = ~F.coalesce(F.array_contains(hidden, field_id), F.lit(False))
-    return unused | (shown & compare(answer(answers, field_id), operator, target))
+    return unused | (shown & compare(submitted, operator, target))
+
+
+def _setting_struct(settings: Sequence[str], name: str) -> Column:
+    fields = [F.col("meta")[s].alias(s) for s in settings]
+    return F.struct(F.col("id").alias("id"), *fields).alias(name)
+
+
+RULE_SETTINGS = ("conditional_enabled", "conditional_field_id", "conditional_operator", "conditional_value")
+
 
+def with_rule_result(entries: DataFrame, name: str, rule: str = "_rule") -> DataFrame:
+    """Whether a rule (a struct column, consumed) passes, from the entry's `answers` and `hidden` fields."""
+    enabled, field_id, operator, target = (F.col(rule)[s] for s in RULE_SETTINGS)
+    # The answer is a column of its own, so that it is looked up once and not per operator.
+    looked_up = entries.withColumn("_submitted", answer(F.col("answers"), field_id))
+    passes = rule_passes(enabled, field_id, operator, target, F.col("_submitted"), F.col("hidden"))
+    return looked_up.withColumn(name, passes).drop("_submitted", rule)
 
-def feed_rule_passes(feed: str, answers: str = "answers", hidden: str = "hidden") -> Column:
-    meta = F.col(feed)["meta"]
-    return rule_passes(meta["conditional_enabled"], meta["conditional_field_id"], meta["conditional_operator"],
-                       meta["conditional_value"], F.col(answers), F.col(hidden))
 
+def with_first_feed(entries: DataFrame, feeds: DataFrame, how: str = "left",
+                    settings: Sequence[str] = ("type",)) -> DataFrame:
+    """Entries with `feed`, the first active feed of their form, and its rule in `_rule`.
 
-def with_active_feed(entries: DataFrame, feeds: DataFrame) -> DataFrame:
+    Only the named settings are decoded and carried along.
+    """
+    first = decode_meta(first_feeds(feeds)).select(
+        "form_id", _setting_struct(settings, "feed"), _setting_struct(RULE_SETTINGS, "_rule"))
+    return lookup_join(entries, first, "form_id", how, spread_by=["id"], source=feeds)
+
+
+def with_active_feed(entries: DataFrame, feeds: DataFrame, settings: Sequence[str] = ("type",)) -> DataFrame:
     """Entries with `feed`, the first active feed of their form if its rule passes, else null.
 
     When the first feed's rule fails no later feed is tried.
     """
-    first = decode_meta(first_feeds(feeds)).select("form_id", F.struct("id", "meta").alias("feed"))
-    joined = lookup_join(entries, first, "form_id", spread_by=["id"])
-    return joined.withColumn("feed", F.when(F.col("feed").isNotNull() & feed_rule_passes("feed"), F.col("feed")))
+    tested = with_rule_result(with_first_feed(entries, feeds, settings=settings), "_passes")
+    return tested.withColumn("feed", F.when(F.col("feed").isNotNull() & F.col("_passes"), F.col("feed"))).drop("_passes")
+
+
+def with_passing_feed(entries: DataFrame, feeds: DataFrame, settings: Sequence[str] = ("type",)) -> DataFrame:
+    """Only the entries whose form has an active feed with a passing rule, with that `feed`."""
+    return with_rule_result(with_first_feed(entries, feeds, "inner", settings), "_passes").where("_passes").drop("_passes")
 
 
-def with_own_feed(entries: DataFrame, feeds: DataFrame, feed_id: str = "feed_id") -> DataFrame:
+def with_own_feed(entries: DataFrame, feeds: DataFrame, feed_id: str = "feed_id",
+                  settings: Sequence[str] = ("type",)) -> DataFrame:
     """Entries with `feed`, the one recorded for them as an attribute, else null."""
-    table = decode_meta(feeds).select(F.col("id").alias(feed_id), F.struct("id", "meta").alias("feed"))
-    return lookup_join(entries, table, feed_id, spread_by=["id"])
+    table = decode_meta(feeds).select(F.col("id").alias(feed_id), _setting_struct(settings, "feed"))
+    return lookup_join(entries, table, feed_id, spread_by=["id"], source=feeds)
 
 
 def is_rule_field(field_type: Column, input_type: Column) -> Column:
@@ -132,8 +161,8 @@ def with_defer_flags(entries: DataFrame, feeds: DataFrame, slugs: tuple[str, ...
     that the feed does not cover keeps the flag in `is_delayed`. The add-on state is read from the
     columns `<slug>_is_fulfilled` and `processed_feeds` (JSON).
     """
-    matched = with_active_feed(entries, feeds)
-    meta = F.col("feed")["meta"]
+    matched = with_active_feed(entries, feeds, ("type", "addon"))
+    meta = F.col("feed")
     found = F.col("feed").isNotNull()
     subscription = found & F.coalesce(meta["type"] == "subscription", F.lit(False))
     covers_addons = found & F.coalesce(meta["addon"] == "true", F.lit(False))

@@ -1,9 +1,4 @@
-"""Equi joins that stay even when one key holds a large part of the rows.
-
-Neither data side is hinted: Spark broadcasts one only while its measured size is under its
-threshold and otherwise shuffles both. The shuffled case is where a hot key hurts, and both joins
-below split it.
-"""
+"""Equi joins that stay even when one key holds a large part of the rows."""
 
 from __future__ import annotations
 
@@ -13,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 SALTS = 16
 HOT_ROWS = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def _salt(spread_by: Sequence[str], salts: int) -> Column:
@@ -20,12 +16,25 @@ def _salt(spread_by: Sequence[str], salts: int) -> Column:
     return F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
 
 
-def lookup_join(rows: DataFrame, table: DataFrame, on: str, how: str = "left", *,
-                spread_by: Sequence[str], salts: int = SALTS) -> DataFrame:
+def measured_bytes(table: DataFrame) -> int:
+    """The size of a table, by adding up the length of its values in one distributed pass."""
+    value = lambda c: F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8
+    row = sum((value(c) for c in table.columns), F.lit(16))
+    return table.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+
+
+def lookup_join(rows: DataFrame, table: DataFrame, on: str, how: str = "left", *, spread_by: Sequence[str],
+                source: DataFrame | None = None, salts: int = SALTS,
+                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join many rows to a far smaller table that has one row per key.
 
-    Rows of one key are spread over `salts` partitions and the table is repeated for each.
+    The table is measured first (or its `source`, the table it was made from row by row). Up to
+    `broadcast_bytes` it is broadcast, and the many rows stay where they are. Beyond that both sides
+    are shuffled, with the rows of one key spread over `salts` partitions and the table repeated for
+    each.
     """
+    if measured_bytes(table if source is None else source) <= broadcast_bytes:
+        return rows.join(F.broadcast(table), on, how)
     salted_rows = rows.withColumn("_salt", _salt(spread_by, salts))
     salted_table = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_rows.join(salted_table, [on, "_salt"], how).drop("_salt")

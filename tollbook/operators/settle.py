@@ -41,14 +41,14 @@ def open_requests(entries: DataFrame, gateway: str = GATEWAY) -> DataFrame:
     `path` tells what happens next: `untouched` without a feed, `free` when nothing is due, else `pay`.
     """
     found = F.col("feed").isNotNull()
-    meta = F.col("feed")["meta"]
-    due = money.minimum_charge(F.col("order_total"), F.col("currency"), meta["floor_policy"])
+    feed = F.col("feed")
+    due = money.minimum_charge(F.col("order_total"), F.col("currency"), feed["floor_policy"])
     opened = {
         "payment_status": F.lit("Processing"),
         "payment_amount": F.lit(None),
         "payment_date": F.lit(None),
         "transaction_id": F.lit(None),
-        "transaction_type": st.transaction_type(meta["type"]),
+        "transaction_type": st.transaction_type(feed["type"]),
         "is_fulfilled": F.lit(0),
         "payment_method": F.lit(gateway),
     }
@@ -74,20 +74,28 @@ def open_custom_requests(entries: DataFrame, gateway: str = GATEWAY) -> DataFram
     })
 
 
+def payable(matched: DataFrame) -> DataFrame:
+    """Entries with their `feed` that have something to pay, with `amount_due` and `path`."""
+    due = money.minimum_charge(F.col("order_total"), F.col("currency"), F.col("feed")["floor_policy"])
+    return matched.withColumns({"amount_due": due, "path": F.lit("pay")}).where(F.col("amount_due") > 0)
+
+
 def request_payload(opened: DataFrame) -> DataFrame:
-    """What is sent to the gateway for each entry that has something to pay."""
-    meta = F.col("feed")["meta"]
-    answers = F.col("answers")
-    template = fill_template(F.coalesce(meta["desc_pm"], F.lit("")), entry_id=F.col("id"),
+    """What is sent to the gateway for entries that have something to pay."""
+    feed, answers = F.col("feed"), F.col("answers")
+    template = fill_template(F.coalesce(feed["desc_pm"], F.lit("")), entry_id=F.col("id"),
                              form_title=F.col("form_title"), form_id=F.col("form_id"))
-    custom = F.col("path") == "custom"
-    return opened.where(F.col("path").isin("pay", "custom")).select(
-        "id",
-        money.base_units(F.col("amount_due"), F.col("currency"), custom).alias("amount"),
-        join_description(template, answer(answers, meta["customer_fields_desc"])).alias("description"),
-        answer(answers, meta["customer_fields_email"]).alias("email"),
-        phone(answer(answers, meta["customer_fields_mobile"])).alias("mobile"),
-    )
+    # Answers are columns of their own, so that each is looked up once.
+    texts = opened.withColumns({
+        "_template": template,
+        "_said": answer(answers, feed["customer_fields_desc"]),
+        "_email": answer(answers, feed["customer_fields_email"]),
+        "_mobile": answer(answers, feed["customer_fields_mobile"]),
+    })
+    return texts.select(
+        "id", money.base_units(F.col("amount_due"), F.col("currency"), F.col("path") == "custom").alias("amount"),
+        join_description(F.col("_template"), F.col("_said")).alias("description"), F.col("_email").alias("email"),
+        phone(F.col("_mobile")).alias("mobile"))
 
 
 def apply_replies(entries: DataFrame, replies: DataFrame, gateway_name: str) -> DataFrame:
@@ -141,11 +149,11 @@ def settle(matched: DataFrame) -> DataFrame:
     A free payment is settled without status, amount and method.
     """
     custom = F.col("custom")
-    meta = F.col("feed")["meta"]
-    ordered = money.minimum_charge(F.coalesce(F.col("order_total"), F.lit(0)), F.col("currency"), meta["floor_policy"])
+    feed = F.col("feed")
+    ordered = money.minimum_charge(F.coalesce(F.col("order_total"), F.lit(0)), F.col("currency"), feed["floor_policy"])
     total = F.when(custom, F.col("custom_price")).otherwise(ordered)
     done, free = F.col("outcome") == "completed", F.col("is_free")
-    txn_type = F.when(custom, F.lit(st.PRODUCT_TYPE)).otherwise(st.transaction_type(meta["type"]))
+    txn_type = F.when(custom, F.lit(st.PRODUCT_TYPE)).otherwise(st.transaction_type(feed["type"]))
     reference = F.when(is_empty_text(F.col("ref_id")), F.lit(NO_REFERENCE)).otherwise(F.col("ref_id"))
     status = (F.when(done, st.paid_status(txn_type)).when(F.col("outcome") == "cancelled", F.lit("Cancelled"))
               .otherwise(F.lit("Failed")))
@@ -215,11 +223,11 @@ def notifications_to_send(settled: DataFrame, status: str = "outcome") -> DataFr
 
     Needs `notifications` (the ids the form triggers) and `feed`.
     """
-    meta = F.col("feed")["meta"]
+    feed = F.col("feed")
     lists = {"submit": "notif_1", "completed": "notif_2", "failed": "notif_3", "cancelled": "notif_4"}
     chosen = F.lit(None).cast("array<string>")
     for name, column in lists.items():
-        chosen = F.when(F.lower(F.col(status)) == name, meta[column]).otherwise(chosen)
+        chosen = F.when(F.lower(F.col(status)) == name, feed[column]).otherwise(chosen)
     wanted = F.filter("notifications", lambda n: F.array_contains(chosen, n))
     return settled.select("lead_id", F.explode(wanted).alias("notification_id"))
 

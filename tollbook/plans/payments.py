@@ -16,6 +16,14 @@ from tollbook.operators.totals import GATEWAY
 
 SETTLEMENT_KEYS = ("feed_id", "payment_type", "part_price")
 
+# The feed settings each step needs; no others are decoded or carried along.
+AMOUNT_SETTINGS = ("type", "floor_policy")
+REQUEST_SETTINGS = (*AMOUNT_SETTINGS, "desc_pm", "customer_fields_desc", "customer_fields_email",
+                    "customer_fields_mobile")
+CONFIRMATION_SETTINGS = (*AMOUNT_SETTINGS, "conf_1", "conf_2", "conf_3")
+NOTIFICATION_SETTINGS = (*AMOUNT_SETTINGS, "notif_1", "notif_2", "notif_3", "notif_4")
+POST_SETTINGS = (*AMOUNT_SETTINGS, "update_post_action1")
+
 
 def with_meta(entries: DataFrame, meta: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     wide = pivot_meta(meta, keys).withColumnRenamed("lead_id", "id")
@@ -36,15 +44,21 @@ def with_form(entries: DataFrame, forms: DataFrame, *columns: str) -> DataFrame:
 
 def start_payments(entries: DataFrame, feeds: DataFrame, order_totals: DataFrame,
                    gateway: str = GATEWAY) -> DataFrame:
-    """Entries with their feed, amount due and path."""
-    return s.open_requests(with_order_total(fd.with_active_feed(entries, feeds), order_totals), gateway)
+    """Entries with their feed, amount due and path.
 
+    Totals are joined before feeds, so that the shuffle by entry does not carry the feed settings.
+    """
+    return s.open_requests(fd.with_active_feed(with_order_total(entries, order_totals), feeds, AMOUNT_SETTINGS), gateway)
 
-def payment_requests(entries: DataFrame, feeds: DataFrame, forms: DataFrame, order_totals: DataFrame,
-                     gateway: str = GATEWAY) -> DataFrame:
-    """The request rows of all entries that have something to pay."""
-    opened = start_payments(entries, feeds, order_totals, gateway)
-    return s.request_payload(with_form(opened, forms, "title"))
+
+def payment_requests(entries: DataFrame, feeds: DataFrame, forms: DataFrame,
+                     order_totals: DataFrame) -> DataFrame:
+    """The request rows of all entries that have something to pay.
+
+    Entries without a passing feed or without an amount are dropped as early as each is known.
+    """
+    matched = fd.with_passing_feed(with_order_total(entries, order_totals), feeds, REQUEST_SETTINGS)
+    return s.request_payload(with_form(s.payable(matched), forms, "title"))
 
 
 def enrich_callbacks(callbacks: DataFrame, entries: DataFrame, meta: DataFrame, feeds: DataFrame,
@@ -61,7 +75,8 @@ def enrich_callbacks(callbacks: DataFrame, entries: DataFrame, meta: DataFrame,
 
 
 def match_callbacks(callbacks: DataFrame, entries: DataFrame, meta: DataFrame, feeds: DataFrame,
-                    order_totals: DataFrame, gateway: str = GATEWAY, gateway_name: str = "Gateway") -> DataFrame:
+                    order_totals: DataFrame, gateway: str = GATEWAY, gateway_name: str = "Gateway",
+                    settings: tuple[str, ...] = AMOUNT_SETTINGS) -> DataFrame:
     """First callbacks of open entries, with everything that settling them needs.
 
     An entry that is not the gateway's, is already settled, or has neither a feed nor a custom
@@ -78,14 +93,14 @@ def match_callbacks(callbacks: DataFrame, entries: DataFrame, meta: DataFrame, f
     })
     # A custom payment has no feed of its own.
     known = known.withColumn("feed_id", F.when(~F.col("custom"), F.col("feed_id")))
-    matched = fd.with_own_feed(known, feeds).where(F.col("custom") | F.col("feed").isNotNull())
+    matched = fd.with_own_feed(known, feeds, settings=settings).where(F.col("custom") | F.col("feed").isNotNull())
     return s.with_outcome(matched.withColumnRenamed("id", "lead_id"), gateway_name)
 
 
 def settle_callbacks(callbacks: DataFrame, entries: DataFrame, meta: DataFrame, feeds: DataFrame,
-                     order_totals: DataFrame, **names: str) -> DataFrame:
+                     order_totals: DataFrame, **options) -> DataFrame:
     """Settled payments, one row per entry that a callback settles."""
-    return s.settle(match_callbacks(callbacks, entries, meta, feeds, order_totals, **names))
+    return s.settle(match_callbacks(callbacks, entries, meta, feeds, order_totals, **options))
 
 
 def settled_entries(entries: DataFrame, settled: DataFrame) -> DataFrame:
@@ -104,9 +119,9 @@ def settled_entries(entries: DataFrame, settled: DataFrame) -> DataFrame:
 
 def route_confirmations(settled: DataFrame, forms: DataFrame) -> DataFrame:
     """The confirmation each settled entry is shown; custom payments are routed elsewhere."""
-    meta = F.col("feed")["meta"]
-    selected = (F.when(F.col("outcome") == "completed", meta["conf_1"])
-                .when(F.col("outcome") == "failed", meta["conf_2"]).otherwise(meta["conf_3"]))
+    feed = F.col("feed")
+    selected = (F.when(F.col("outcome") == "completed", feed["conf_1"])
+                .when(F.col("outcome") == "failed", feed["conf_2"]).otherwise(feed["conf_3"]))
     own = settled.where(~F.col("custom")).withColumn("id", F.col("lead_id"))
     joined = with_form(own, forms, "confirmations")
     picked = fm.pick_confirmation(F.col("confirmations"), selected, F.col("answers"))
@@ -122,5 +137,5 @@ def decide_post_status(settled: DataFrame, forms: DataFrame) -> DataFrame:
     """The post status that each completed payment asks for."""
     done = settled.where((F.col("outcome") == "completed") & ~F.col("custom") & F.col("post_id").isNotNull())
     joined = with_form(done.withColumn("id", F.col("lead_id")), forms, "post_status")
-    asked = st.post_status_after_payment(F.col("feed")["meta"]["update_post_action1"], F.col("form_post_status"))
+    asked = st.post_status_after_payment(F.col("feed")["update_post_action1"], F.col("form_post_status"))
     return joined.select(F.col("post_id").alias("id"), asked.alias("new_status"))

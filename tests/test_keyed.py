@@ -3,7 +3,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tollbook.operators import keyed
-from tollbook.sources.tables import append_batch, read_batches, read_version, write_version
+from conftest import plan_of
+from tollbook.operators.totals import order_totals
+from tollbook.sources import site
+from tollbook.sources.tables import append_batch, read_batches, read_version, write_bucketed, write_version
 
 
 def _set(df):
@@ -62,3 +65,19 @@ def test_versions_and_batches(spark, tmp_path):
     for batch in (0, 1, 1):
         append_batch(notes, log, batch)
     assert _set(read_batches(spark, log, "lead_id long, text string")) == [(1, "n", 0), (1, "n", 1)]
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark, folder, tmp_path):
+    entries = site.entries(spark, folder).drop("answers", "hidden")
+    lines = order_totals(site.order_lines(spark, folder)).withColumnRenamed("lead_id", "id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, df in {"bucketed_entries": entries, "bucketed_totals": lines}.items():
+            write_bucketed(df, name, str(tmp_path / name), "id", 8)
+        joined = spark.table("bucketed_entries").join(spark.table("bucketed_totals"), "id", "left")
+        assert "Exchange" not in plan_of(joined)
+        assert joined.count() == entries.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("bucketed_entries", "bucketed_totals"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

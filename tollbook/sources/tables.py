@@ -31,3 +31,12 @@ def append_batch(df: DataFrame, path: str, batch: int) -> None:
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All appended batches, with their number in `batch`."""
     return spark.read.schema(f"{schema}, batch int").parquet(path)
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> None:
+    """Keep a table bucketed and sorted by a key, so that joins on the key need not shuffle it.
+
+    Tables that meet on a key want the same number of buckets, a few hundred megabytes each.
+    """
+    (df.write.bucketBy(buckets, key).sortBy(key).option("path", path).mode("overwrite")
+     .format("parquet").saveAsTable(name))

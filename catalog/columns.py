@@ -9,6 +9,7 @@ from catalog.views import FEEDS, FORMS, LEADS, MESSAGES, sql
 from tollbook.functions import money, status as st, text as tx, values as v
 from tollbook.operators import hooks
 from tollbook.operators.totals import paid
+from tollbook.plans import payments as pay
 from tollbook.sources import site
 from tollbook.sources.tables import scan
 
@@ -99,11 +100,11 @@ SELECT f.id, CASE WHEN update_post_action1 IN ('publish', 'draft', 'pending', 'p
     WHEN update_post_action2 IN ('publish', 'draft', 'private') THEN update_post_action2 ELSE 'pending' END AS at_request
 FROM feeds f JOIN forms ON forms.id = form_id"""))
 def post_status_map(spark, folder):
-    forms = site.forms(spark, folder).select(F.col("id").alias("form_id"), "post_status")
-    feeds = site.feeds(spark, folder).join(forms, "form_id")
+    feeds = pay.with_form(site.feeds(spark, folder), site.forms(spark, folder), "post_status", how="inner")
     action = lambda n: v.json_path(F.col("meta"), f"update_post_action{n}")
-    return feeds.select("id", st.post_status_after_payment(action(1), F.col("post_status")).alias("after_payment"),
-                        st.post_status_at_request(action(2), F.col("post_status")).alias("at_request"))
+    own = F.col("form_post_status")
+    return feeds.select("id", st.post_status_after_payment(action(1), own).alias("after_payment"),
+                        st.post_status_at_request(action(2), own).alias("at_request"))
 
 
 @query("map_path", """
@@ -137,10 +138,10 @@ def emptiness(spark, folder):
 SELECT o_orderkey AS id, 'Entry ' || o_orderkey || ' of ' || title || ' (' || o_custkey || ') for ' || title AS description
 FROM orders JOIN forms ON forms.id = o_custkey"""))
 def fill_template(spark, folder):
-    forms = site.forms(spark, folder).select(F.col("id").alias("form_id"), "title")
+    leads = pay.with_form(site.leads(spark, folder), site.forms(spark, folder), "title", how="inner")
     template = F.lit("Entry {entry_id} of {form_title} ({form_id}) for {form_title}")
-    filled = tx.fill_template(template, entry_id=F.col("id"), form_title=F.col("title"), form_id=F.col("form_id"))
-    return site.leads(spark, folder).join(forms, "form_id").select("id", filled.alias("description"))
+    filled = tx.fill_template(template, entry_id=F.col("id"), form_title=F.col("form_title"), form_id=F.col("form_id"))
+    return leads.select("id", filled.alias("description"))
 
 
 @query("join_desc", """

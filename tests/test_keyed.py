@@ -61,6 +61,8 @@ def test_versions_and_batches(spark, tmp_path):
     write_version(_base(spark).where("id > 1"), path, 2)
     write_version(_base(spark).where("id > 1"), path, 2)
     assert read_version(spark, path).count() == 2 and read_version(spark, path, 1).count() == 3
+    write_version(_base(spark).limit(0), path, 3)
+    assert read_version(spark, path).count() == 0 and read_version(spark, path).columns == ["id", "name", "is_active"]
     notes, log = spark.createDataFrame([(1, "n")], "lead_id long, text string"), str(tmp_path / "notes")
     for batch in (0, 1, 1):
         append_batch(notes, log, batch)

@@ -16,10 +16,6 @@ BASE_CURRENCY = "IRT"
 UNITS_PER_BASE = 10
 
 
-def positive_or_zero(total: Column) -> Column:
-    return F.when(total > 0, total).otherwise(F.lit(0).cast(MONEY)).cast(MONEY)
-
-
 def minimum_charge(total: Column, currency: Column, policy: Column) -> Column:
     """A positive amount under the minimum is lifted to it or waived, as the policy says.
 
@@ -28,10 +24,10 @@ def minimum_charge(total: Column, currency: Column, policy: Column) -> Column:
     floor = F.lit(None).cast("int")
     for code, least in MINIMUM.items():
         floor = F.when(currency == code, F.lit(least)).otherwise(floor)
-    total = positive_or_zero(total)
-    too_small = policy.isNotNull() & (total > 0) & (total < floor)
-    replaced = F.when(policy == LIFT_POLICY, floor).otherwise(F.lit(0)).cast(MONEY)
-    return F.when(too_small, replaced).otherwise(total)
+    enough = policy.isNull() | floor.isNull() | (total >= floor)
+    charged = (F.when(F.coalesce(total, F.lit(0)) <= 0, F.lit(0)).when(enough, total)
+               .when(policy == LIFT_POLICY, floor).otherwise(F.lit(0)))
+    return charged.cast(MONEY)
 
 
 def base_units(amount: Column, currency: Column, custom: Column) -> Column:

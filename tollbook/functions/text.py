@@ -50,7 +50,8 @@ def join_description(first: Column, second: Column) -> Column:
 def answer(answers: Column, field_id: Column) -> Column:
     """What was submitted for a field; no text when the field is not mapped or was left out."""
     key = F.concat(F.lit("input_"), F.replace(field_id, F.lit("."), F.lit("_")))
-    return F.coalesce(text_or_none(F.try_element_at(answers, key)), F.lit(""))
+    # A lone zero counts as nothing said.
+    return F.regexp_replace(F.coalesce(F.try_element_at(answers, key), F.lit("")), r"\A0\z", "")
 
 
 def shorten_middle(col: Column, limit: int) -> Column:

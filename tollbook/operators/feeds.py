@@ -60,7 +60,7 @@ def feeds_by_form(feeds: DataFrame, form_id: int | None = None, only_active: boo
 def feeds_with_form(feeds: DataFrame, forms: DataFrame) -> DataFrame:
     """Feeds with the title of their form; a feed of a missing form is left out."""
     titles = forms.select(F.col("id").alias("form_id"), F.col("title").alias("form_title"))
-    return feeds.join(titles, "form_id")
+    return lookup_join(feeds, titles, "form_id", "inner", spread_by=["id"])
 
 
 def feed_list(feeds: DataFrame, forms: DataFrame) -> DataFrame:
@@ -79,16 +79,22 @@ def compare(value: Column, operator: Column, target: Column) -> Column:
 
     Texts are compared trimmed and without case, sizes as numbers; what is no number never matches.
     """
-    left, right = (F.lower(F.trim(F.coalesce(c, F.lit("")))) for c in (value, target))
-    left_number, right_number = left.try_cast("double"), right.try_cast("double")
-    result = (F.when(operator == "is", left == right)
-              .when(operator == "isnot", left != right)
-              .when(operator == ">", left_number > right_number)
-              .when(operator == "<", left_number < right_number)
-              .when(operator == "contains", F.contains(left, right))
-              .when(operator == "starts_with", F.startswith(left, right))
-              .when(operator == "ends_with", F.endswith(left, right)))
-    return F.coalesce(result, F.lit(False))
+    plain = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
+
+    def holds(pair: Column) -> Column:
+        op, left, right = pair["op"], pair["left"], pair["right"]
+        return (F.when(op == "is", left == right)
+                .when(op == "isnot", left != right)
+                .when(op == ">", left.try_cast("double") > right.try_cast("double"))
+                .when(op == "<", left.try_cast("double") < right.try_cast("double"))
+                .when(op == "contains", F.contains(left, right))
+                .when(op == "starts_with", F.startswith(left, right))
+                .when(op == "ends_with", F.endswith(left, right)))
+
+    # As the one element of an array both sides are worked out once, whatever they are made from, and
+    # not again in each branch.
+    pair = F.struct(operator.alias("op"), plain(value).alias("left"), plain(target).alias("right"))
+    return F.coalesce(F.exists(F.array(pair), holds), F.lit(False))
 
 
 def rule_passes(enabled: Column, field_id: Column, operator: Column, target: Column,

@@ -60,4 +60,4 @@ def pick_confirmation(confirmations: Column, selected: Column, answers: Column,
 
 def selected_only(triggered: DataFrame, selected: DataFrame) -> DataFrame:
     """The triggered ids that the feed has selected."""
-    return triggered.join(selected, selected.columns, "left_semi")
+    return triggered.join(selected.distinct(), selected.columns, "left_semi")

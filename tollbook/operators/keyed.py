@@ -12,7 +12,7 @@ ID_BLOCK = 1_000_000
 
 
 def upsert(base: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of `changes` replace the base rows of their key or are added."""
+    """Rows of `changes`, one per key, replace the base rows of their key or are added."""
     kept = base.join(changes.select(*key), list(key), "left_anti")
     return kept.unionByName(changes.select(*base.columns))
 
@@ -24,11 +24,11 @@ def latest_changes(changes: DataFrame, key: Sequence[str], order: Sequence[str])
 
 def delete_keys(base: DataFrame, keys: DataFrame) -> DataFrame:
     """Drop the base rows whose key is listed."""
-    return base.join(keys, keys.columns, "left_anti")
+    return base.join(keys.distinct(), keys.columns, "left_anti")
 
 
 def set_columns(base: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Overwrite only the columns that `changes` has, and only where it has a value."""
+    """Overwrite only the columns that `changes` (one row per key) has, and only where it has a value."""
     columns = [c for c in changes.columns if c != key]
     renamed = changes.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = base.join(renamed, key, "left")

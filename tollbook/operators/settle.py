@@ -187,7 +187,7 @@ def settlement_notes(settled: DataFrame) -> DataFrame:
 
 def correct_payments(leads: DataFrame, corrections: DataFrame, offset: str | float,
                      gateway: str = GATEWAY) -> DataFrame:
-    """Manual corrections (id, status, amount, transaction_id, date_text) over the gateway's leads.
+    """Manual corrections (id, status, amount, transaction_id, date_text), one per lead, of the gateway's leads.
 
     Amount and transaction id are overwritten. No status keeps the old one. A date is Jalali local
     text; without one the old date stays, or else the creation date is taken.

@@ -10,16 +10,20 @@ def scan(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def write_version(df: DataFrame, path: str, version: int) -> None:
-    """Write one version of a table; writing the same version again replaces it."""
-    (df.withColumn("version", F.lit(version)).write.partitionBy("version")
-     .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
+    """Write one version of a table, then publish its number.
+
+    Readers see a version only once it is complete; writing the same version again replaces it.
+    """
+    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    published = df.sparkSession.range(1).select(F.lit(version).alias("version"))
+    published.write.mode("append").parquet(f"{path}-versions")
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """One version of a table, the newest unless named. Only that version's files are read."""
-    table = spark.read.parquet(path)
-    wanted = table.agg(F.max("version")).scalar() if version is None else F.lit(version)
-    return table.where(F.col("version") == wanted).drop("version")
+    """One version of a table, the newest published unless named."""
+    if version is None:
+        version = spark.read.parquet(f"{path}-versions").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{path}/version={version}")
 
 
 def append_batch(df: DataFrame, path: str, batch: int) -> None:

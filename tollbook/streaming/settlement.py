@@ -51,7 +51,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def start_settlement(callbacks: DataFrame, path: str, checkpoint: str, gateway_name: str = "Gateway",
                      actions: Iterable[Callable[[DataFrame, int], None]] = (), **trigger) -> StreamingQuery:
-    """Settle callbacks as they arrive; `actions` are called with each batch of settled rows."""
+    """Settle callbacks as they arrive.
+
+    `actions` are called with each batch of settled rows, again if the batch is replayed. Batches are
+    numbered by the checkpoint, so a path must keep the checkpoint it was started with.
+    """
     spark = callbacks.sparkSession
     return (callbacks.writeStream.option("checkpointLocation", checkpoint)
             .foreachBatch(lambda df, batch: settle_batch(spark, df, batch, path, gateway_name, actions))

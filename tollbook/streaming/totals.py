@@ -12,6 +12,8 @@ from tollbook.sources.tables import append_batch, read_batches
 SCHEMA = ("form_id bigint, payment_method string, bucket timestamp_ntz, revenue decimal(29,2),"
           " transactions bigint")
 
+UTC_ZONES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Universal", "Zulu")
+
 
 def windowed_totals(leads: DataFrame, grain: str, offset: str | float, late: str) -> DataFrame:
     """Paid sums per (form, method) and tumbling hour or day of local time.
@@ -19,6 +21,9 @@ def windowed_totals(leads: DataFrame, grain: str, offset: str | float, late: str
     The state of a bucket is dropped once the watermark has passed it; rows later than `late` behind
     the newest are ignored. Event time must carry a zone, so the session's has to be UTC.
     """
+    zone = leads.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_ZONES:
+        raise ValueError(f"windows of local time need a UTC session, not {zone}")
     local = cal.to_local(F.col("payment_date"), offset).cast("timestamp")
     buckets = t.paid(leads).withColumn("event_time", local).withWatermark("event_time", late)
     sums = buckets.groupBy("form_id", "payment_method", F.window("event_time", f"1 {grain}")).agg(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog import query
 from catalog.views import ACTIVE, ENTRIES, FEEDS, FORMS, LEADS, META, sql
 from tollbook.functions.values import json_path
-from tollbook.operators import feeds as fd, forms as fm, keyed
+from tollbook.operators import feeds as fd, forms as fm
 from tollbook.operators.joins import lookup_join
 from tollbook.plans import payments as pay
 from tollbook.sources import site

@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.reports import OFFSET
-from catalog.views import (ACTIVE, CALLBACKS, ENTRIES, FEEDS, FORMS, JALALI, LEADS, MATCHED, MESSAGES, META,
+from catalog.views import (ACTIVE, CALLBACKS, ENTRIES, FEEDS, FORMS, JALALI, LEADS, MATCHED, MESSAGES,
                            ORDER_TOTALS, sql)
-from tollbook.functions import money, status as st
 from tollbook.operators import entries as en, keyed, settle as s
 from tollbook.operators.totals import order_totals
 from tollbook.plans import payments as pay

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from catalog import query
 from catalog.views import HOURLY, MESSAGES, PAID, sql
 from tollbook.session import new_path

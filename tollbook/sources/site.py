@@ -16,22 +16,26 @@ LEAD_META_KEYS = ("payment_gateway", "feed_id", "payment_type", "part_price", "c
                   "user_registration_is_fulfilled", "processed_feeds")
 
 
-def _by(col: Column, otherwise=None, **values) -> Column:
-    result = F.lit(otherwise)
-    for key, value in values.items():
-        result = F.when(col == key, value if isinstance(value, Column) else F.lit(value)).otherwise(result)
-    return result
+def _case(column: str, values: dict) -> Column:
+    """A value by the value of a column, null for any other."""
+    if any(isinstance(v, Column) for v in values.values()):
+        result = F.lit(None)
+        for key, value in values.items():
+            result = F.when(F.col(column) == key, value).otherwise(result)
+        return result
+    literal = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+    whens = " ".join(f"WHEN '{k}' THEN {literal(v)}" for k, v in values.items())
+    return F.expr(f"CASE {column} {whens} END")
 
 
 def _by_priority(urgent, high, medium, unspecified, low) -> Column:
-    p = F.col("o_orderpriority")
-    values = {"1-URGENT": urgent, "2-HIGH": high, "3-MEDIUM": medium, "4-NOT SPECIFIED": unspecified, "5-LOW": low}
-    return _by(p, **values)
+    return _case("o_orderpriority", {"1-URGENT": urgent, "2-HIGH": high, "3-MEDIUM": medium,
+                                     "4-NOT SPECIFIED": unspecified, "5-LOW": low})
 
 
 def _by_segment(automobile, building, furniture, household, machinery) -> Column:
-    return _by(F.col("c_mktsegment"), AUTOMOBILE=automobile, BUILDING=building, FURNITURE=furniture,
-               HOUSEHOLD=household, MACHINERY=machinery)
+    return _case("c_mktsegment", {"AUTOMOBILE": automobile, "BUILDING": building, "FURNITURE": furniture,
+                                  "HOUSEHOLD": household, "MACHINERY": machinery})
 
 
 def _lead_columns() -> dict[str, Column]:
@@ -43,9 +47,9 @@ def _lead_columns() -> dict[str, Column]:
         "status": F.when(F.col("o_orderkey") % 20 == 0, "spam").otherwise("active"),
         "is_fulfilled": (F.col("o_orderstatus") == "F").cast("int"),
         "payment_method": F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "gateway").otherwise("other"),
-        "payment_status": _by(F.col("o_orderstatus"),
-                              F=F.when(subscription, "Active").otherwise("Paid"), O="Processing",
-                              P=F.when(F.col("o_orderpriority") == "1-URGENT", "Cancelled").otherwise("Failed")),
+        "payment_status": F.expr("""CASE o_orderstatus
+            WHEN 'F' THEN CASE WHEN o_custkey % 2 = 0 THEN 'Active' ELSE 'Paid' END WHEN 'O' THEN 'Processing'
+            WHEN 'P' THEN CASE WHEN o_orderpriority = '1-URGENT' THEN 'Cancelled' ELSE 'Failed' END END"""),
         "transaction_type": F.when(subscription, 2).otherwise(1),
         "transaction_id": F.concat(F.lit("T"), F.col("o_orderkey").cast("string")),
         "currency": F.when(F.col("o_orderkey") % 3 == 0, "IRT").otherwise("IRR"),
@@ -120,10 +124,10 @@ def feeds(spark: SparkSession, folder: str) -> DataFrame:
     rules = [("is", "1", " 1-urgent "), ("isnot", "1", "5-LOW"), (">", "2", "250000"), ("<", "2", "100000.5"),
              ("contains", "1", "MED"), ("starts_with", "1", "4-"), ("ends_with", "3", "f")]
     nation = F.col("c_nationkey")
-    rule = F.element_at(F.array(*[F.struct(F.lit(o).alias("operator"), F.lit(f).alias("field"),
-                                           F.lit(v).alias("value")) for o, f, v in rules]), nation % 7 + 1)
+    listed = ", ".join(f"struct('{o}' AS operator, '{f}' AS field, '{v}' AS value)" for o, f, v in rules)
+    rule = F.expr(f"element_at(array({listed}), c_nationkey % 7 + 1)")
     key = F.col("c_custkey")
-    text_list = lambda *ids: F.array(*[F.lit(i) for i in ids]) if ids else F.array().cast("array<string>")
+    text_list = lambda *ids: F.split(F.lit(",".join(ids)), ",") if ids else F.array().cast("array<string>")
     first = F.to_json(F.struct(
         _by_segment("subscription", "subscription", "product", "product", "product").alias("type"),
         _by_segment("true", "", "true", "", "").alias("addon"),
@@ -197,9 +201,7 @@ def forms(spark: SparkSession, folder: str) -> DataFrame:
 def callbacks(spark: SparkSession, folder: str) -> DataFrame:
     """Gateway callbacks, several per lead; only the first of a lead may count."""
     flag = F.col("l_returnflag")
-    failed = F.lit(None).cast("int")
-    for line, code in {1: -1, 2: -2, 3: -11, 4: -22, 5: -33, 6: 7, 7: 101}.items():
-        failed = F.when(F.col("l_linenumber") == line, code).otherwise(failed)
+    failed = F.expr("element_at(array(-1, -2, -11, -22, -33, 7, 101), l_linenumber)")
     rejected = (flag == "A") & (F.col("l_linestatus") == "F")
     return scan(spark, folder, "lineitem").select(
         (F.col("l_partkey") * 8 + F.col("l_linenumber")).alias("event_id"), F.col("l_shipdate").alias("ts"),
@@ -260,7 +262,7 @@ def amounts(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_id").alias("id"),
         F.element_at(F.array(F.lit("IRR"), F.lit("IRT"), F.lit("USD")), (F.col("user_id") % 3 + 1).cast("int"))
         .alias("currency"),
-        _by(kind, purchase="sadt", signup="raygan", error=None, view="sadt", click="raygan").alias("policy"),
+        _case("event_type", {"purchase": "sadt", "signup": "raygan", "view": "sadt", "click": "raygan"}).alias("policy"),
         (kind == "error").alias("custom"),
         F.when(kind == "view", -value).when(kind == "purchase", value * 4).otherwise(value).cast(MONEY).alias("total"))
 
@@ -271,7 +273,7 @@ def date_texts(spark: SparkSession, folder: str) -> DataFrame:
     gregorian = F.concat_ws("-", F.year("o_orderdate"), F.month("o_orderdate"), F.dayofmonth("o_orderdate"))
     jalali = F.concat_ws("-", 1370 + key % 40, 1 + key % 12, 1 + key % 29)
     return scan(spark, folder, "orders").select(
-        key.alias("id"), _by(F.col("o_orderstatus"), F=gregorian, O=jalali, P=F.lit("n/a")).alias("txt"))
+        key.alias("id"), _case("o_orderstatus", {"F": gregorian, "O": jalali, "P": F.lit("n/a")}).alias("txt"))
 
 
 def corrections(spark: SparkSession, folder: str) -> DataFrame:

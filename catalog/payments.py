@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.reports import OFFSET
-from catalog.views import (ACTIVE, CALLBACKS, ENTRIES, FEEDS, FORMS, JALALI, LEADS, MATCHED, MESSAGES,
+from catalog.views import (ACTIVE, CALLBACKS, ENTRIES, FEEDS, FORMS, JALALI, LEADS, MATCHED, MESSAGES, META,
                            ORDER_TOTALS, sql)
 from tollbook.operators import entries as en, keyed, settle as s
 from tollbook.operators.totals import order_totals
@@ -58,6 +58,18 @@ def open_requests(spark, folder):
         F.col("payment_amount").cast("double"), "payment_date")
 
 
+@query("request_attributes", sql(LEADS, ENTRIES, META, FEEDS, ACTIVE, """
+fresh AS (SELECT entry_id AS lead_id, 'feed_id' AS meta_key, CAST(id AS VARCHAR) AS meta_value FROM active
+  UNION ALL SELECT entry_id, 'payment_type', 'form' FROM active
+  UNION ALL SELECT entry_id, 'payment_gateway', 'Gateway' FROM active)""", """
+SELECT m.* FROM lead_meta m WHERE NOT EXISTS (SELECT 1 FROM fresh f WHERE f.lead_id = m.lead_id AND f.meta_key = m.meta_key)
+UNION ALL SELECT * FROM fresh"""))
+def request_attributes(spark, folder):
+    """The attribute table after all payments were started."""
+    fresh = s.request_attributes(_started(spark, folder), "Gateway")
+    return keyed.upsert_meta(site.lead_meta(spark, folder), fresh)
+
+
 @query("open_custom_requests", sql(LEADS, ENTRIES, """
 SELECT (SELECT max(id) FROM entries) + row_number() OVER (ORDER BY id) AS id, id AS from_id, form_id,
   CAST(input_2 AS DOUBLE) AS amount_due, 'Processing' AS payment_status, 1 AS transaction_type, 0 AS is_fulfilled,
@@ -173,6 +185,15 @@ def settled_entries(spark, folder):
                         "payment_date", "transaction_id")
 
 
+@query("settled_attributes", sql(*BASE, META, """
+SELECT m.* FROM lead_meta m LEFT JOIN settled s ON s.lead_id = m.lead_id
+WHERE s.lead_id IS NULL OR NOT (m.meta_key = 'payment_type' OR (m.meta_key = 'payment_gateway' AND s.is_free))"""))
+def settled_attributes(spark, folder):
+    """The attribute table after settlement."""
+    gone = s.settled_attribute_keys(_settled(spark, folder))
+    return keyed.delete_meta(site.lead_meta(spark, folder), gone)
+
+
 @query("settle_notes", sql(*BASE, """
 money AS (SELECT *, format('{:,.2f}', CAST(total AS DOUBLE)) || ' ' || currency AS due,
   new_transaction_type = 2 AND outcome = 'completed' AS activated FROM settled),

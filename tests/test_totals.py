@@ -3,9 +3,11 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+
 from conftest import plan_of
 from tollbook.operators import series, totals as t, windows as w
-from tollbook.plans.report import report, report_from_daily
+from tollbook.plans.report import form_report, report, report_from_daily
 from tollbook.sources import site
 from tollbook.sources.tables import read_version, write_version
 
@@ -60,6 +62,15 @@ def test_report_from_stored_daily_facts(spark, folder, tmp_path):
         map(tuple, report(leads, forms, AS_OF, OFFSET).collect()), key=str)
 
 
+def test_report_of_one_form(spark, folder):
+    leads, forms = site.leads(spark, folder), site.forms(spark, folder)
+    whole = report(leads, forms, AS_OF, OFFSET).where("form_id = 7 OR form_id IS NULL")
+    one = form_report(leads, forms, 7, AS_OF, OFFSET)
+    assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    with pytest.raises(ValueError):
+        form_report(leads, forms, -1, AS_OF, OFFSET)
+
+
 def test_report_of_no_payments_is_zero(spark, folder):
     leads = site.leads(spark, folder).limit(0)
     rows = report(leads, site.forms(spark, folder), AS_OF, OFFSET).collect()

@@ -206,6 +206,12 @@ def parse_any_date(text: Column) -> Column:
     return F.when(y < 2000, jalali_to_date(y, m, d)).otherwise(gregorian)
 
 
+def parse_known_date(text: str) -> dt.date:
+    """The same for a text that is known when the query is written, such as a chosen range."""
+    y, m, d = (int(part) for part in text.strip().split("-"))
+    return jalali_to_date(y, m, d) if y < 2000 else dt.date(y, m, d)
+
+
 def parse_jalali_datetime(text: Column) -> Column:
     """A Jalali `Y-m-d H:M:S` text as a local time; missing clock parts are zero."""
     numbers = F.regexp_extract_all(text, F.lit("[0-9]+"), 0)

@@ -58,6 +58,21 @@ def open_requests(entries: DataFrame, gateway: str = GATEWAY) -> DataFrame:
     return entries.withColumns({**changed, "amount_due": F.when(found, due), "path": path})
 
 
+def request_attributes(opened: DataFrame, gateway_name: str) -> DataFrame:
+    """The attributes recorded for every entry whose payment was started."""
+    pairs = {"feed_id": F.col("feed")["id"].cast("string"), "payment_type": F.lit("form"),
+             "payment_gateway": F.lit(gateway_name)}
+    rows = F.array(*[F.struct(F.lit(k).alias("meta_key"), v.alias("meta_value")) for k, v in pairs.items()])
+    return opened.where(F.col("path") != "untouched").select(F.col("id").alias("lead_id"), F.inline(rows))
+
+
+def settled_attribute_keys(settled: DataFrame) -> DataFrame:
+    """The attributes that settling removes: the payment type, and the gateway of a free payment."""
+    keys = F.filter(F.array(F.lit("payment_type"), F.when(F.col("is_free"), F.lit("payment_gateway"))),
+                    lambda k: k.isNotNull())
+    return settled.select("lead_id", F.explode(keys).alias("meta_key"))
+
+
 def open_custom_requests(entries: DataFrame, gateway: str = GATEWAY) -> DataFrame:
     """Start custom payments: the amount is the one recorded for the entry, the type always product.
 

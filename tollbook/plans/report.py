@@ -19,6 +19,16 @@ def report(leads: DataFrame, forms: DataFrame, as_of: dt.date, offset: str | flo
     return report_from_daily(t.daily_facts(leads, offset), forms, as_of, **options)
 
 
+def form_report(leads: DataFrame, forms: DataFrame, form_id: int, as_of: dt.date, offset: str | float,
+                **options) -> DataFrame:
+    """The report of one form, next to the scopes of all forms. An unknown form is an error."""
+    own = forms.where(F.col("id") == form_id)
+    if own.isEmpty():
+        raise ValueError(f"there is no form {form_id}")
+    rows = report(leads, own, as_of, offset, **options)
+    return rows.where((F.col("form_id") == form_id) | F.col("scope").isin("method", "site"))
+
+
 def report_from_daily(daily: DataFrame, forms: DataFrame, as_of: dt.date, names: Sequence[str] | None = None,
                       gateway: str = GATEWAY, selection: tuple[dt.date, dt.date] | None = None,
                       **options) -> DataFrame:

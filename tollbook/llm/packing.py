@@ -1,7 +1,8 @@
 """Packing of documents into windows of equal length by Karmarkar-Karp multiway differencing.
 
-A document is its ids with an end id. Full windows are cut off its front; the rest is cut into pieces of at most
-PIECE ids, and the pieces of a block of documents are spread over windows so that the windows are nearly equal.
+A document is its ids with an end id. Full windows are cut off its front; the rest is cut into pieces of PIECE ids and then
+halves of that, down to LEAST, as pieces of many sizes balance better than equal ones. The pieces of a block of documents
+are spread over windows so that the windows are nearly equal.
 If the fullest window is over capacity, the block gets one window more.
 
 Null texts count as empty: one piece that is the end id alone. Rows that repeat are packed each time. Blocks follow
@@ -23,6 +24,7 @@ from tollbook.llm.tokenization import byte_encoder
 
 CAPACITY = 2048
 PIECE = 256
+LEAST = 64
 #: Ids of a block, about BLOCK / CAPACITY windows.
 BLOCK = 1 << 19
 
@@ -30,6 +32,19 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "ids binary")
 
 
+def cut(n: int, piece: int = PIECE, least: int = LEAST) -> list[int]:
+    """Sizes of the pieces of n ids."""
+    out, size = [], piece
+    while n:
+        while size > n and size > least:
+            size //= 2
+        if size <= least or n < 2 * least:
+            size = n if n <= piece else piece
+        out.append(size)
+        n -= size
+    return out
+
+
 def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
     """The window of each piece: partial partitions are merged, those of the largest difference first, the fullest
     window of one with the emptiest of the other."""
@@ -115,10 +130,10 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPAC
                     full.append((doc_id, at, own[4 * at : 4 * (at + capacity)], n))
                     at += capacity
                 if at < n:
-                    parts = -(-(n - at) // piece)
-                    edges = [at + (n - at) * k // parts for k in range(parts + 1)]
-                    rest += [(doc_id, a, own[4 * a : 4 * b], n) for a, b in zip(edges, edges[1:])]
                     held += n - at
+                    for size in cut(n - at, piece):
+                        rest.append((doc_id, at, own[4 * at : 4 * (at + size)], n))
+                        at += size
                 if held >= block:
                     yield from spread()
                     rest.clear()

@@ -7,16 +7,20 @@ expanding only the symbols that cover it.
 
 Null texts count as empty and hold the end id alone. Null ids come first. Repeated rows are written each time; rows of one
 doc_id are ordered by their text.
+
+A shard knows how many ids of its part are before it; adding up the parts, whose number is the number of partitions, is all
+that is done on the driver.
 """
 
 from __future__ import annotations
 
 import zlib
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollbook.llm.common import chunks, id_and_text
@@ -32,7 +36,7 @@ LEAST_COUNT = 8
 CELL_BITS = 20
 LEAST_GAIN = 0.03
 
-SHARDS = ("part int, shard int, n_tokens long, doc_ids array<long>, doc_tokens array<long>, body binary, "
+SHARDS = ("part int, shard int, first long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, body binary, "
           "rules binary, rule_tokens binary")
 
 
@@ -118,14 +122,15 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0) -> No
 
     def run(batches):
         encoder, end = byte_encoder(tokenizer), np.array([end_id], "<u4").tobytes()
-        part, shard, ids, owns, held = TaskContext.get().partitionId(), 0, [], [], 0
+        part, shard, first, ids, owns, held = TaskContext.get().partitionId(), 0, 0, [], [], 0
 
         def row():
             flat = np.frombuffer(b"".join(owns), "<u4")
             body, rules, tokens = compress(flat)
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "shard": pa.array([shard], pa.int32()),
-                "n_tokens": pa.array([len(flat)], pa.int64()), "doc_ids": pa.array([ids], pa.list_(pa.int64())),
+                "first": pa.array([first], pa.int64()), "n_tokens": pa.array([len(flat)], pa.int64()),
+                "doc_ids": pa.array([ids], pa.list_(pa.int64())),
                 "doc_tokens": pa.array([[len(x) // 4 for x in owns]], pa.list_(pa.int64())),
                 "body": [body.astype("<u4").tobytes()], "rules": [rules.astype("<u4").tobytes()],
                 "rule_tokens": [tokens.astype("<u4").tobytes()]})
@@ -134,7 +139,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0) -> No
             for doc_id, own in zip(chunk, encoder.encode(texts)):
                 if owns and held + len(own) // 4 + 1 > SHARD:
                     yield row()
-                    shard, ids, owns, held = shard + 1, [], [], 0
+                    shard, first, ids, owns, held = shard + 1, first + held, [], [], 0
                 ids.append(doc_id)
                 owns.append(own + end)
                 held += len(own) // 4 + 1
@@ -144,20 +149,16 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0) -> No
     ordered.mapInArrow(run, SHARDS).write.parquet(path)
 
 
-def shard_starts(shards: DataFrame) -> DataFrame:
-    """part, shard and the number of ids before the shard. Sums by part come first, so the one ordered list of all is
-    as short as the number of parts."""
-    sizes = shards.select("part", "shard", "n_tokens")
-    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn(
-        "before", F.sum("n").over(Window.orderBy("part")) - F.col("n"))
-    inside = F.sum("n_tokens").over(Window.partitionBy("part").orderBy("shard")) - F.col("n_tokens")
-    return sizes.withColumn("inside", inside).join(parts.select("part", "before"), "part").select(
-        "part", "shard", (F.col("before") + F.col("inside")).alias("first"))
+def part_starts(shards: DataFrame) -> dict[int, int]:
+    """The number of ids before each part; as many rows as the table was written with partitions."""
+    sizes = sorted((r.part, r.n) for r in shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
+    return dict(zip((p for p, _ in sizes), accumulate((n for _, n in sizes), initial=0)))
 
 
 def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 (and ids) of every document, decoded from the shards."""
     shards = spark.read.parquet(path)
+    starts = part_starts(shards)
     out = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
 
     def run(batches):
@@ -167,14 +168,15 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
                 ids = expand(np.frombuffer(r["body"], "<u4").copy(), rules).astype("<u4")
                 ends = np.cumsum(r["doc_tokens"])
                 owns = [ids[e - n : e].tobytes() for e, n in zip(ends, r["doc_tokens"])]
+                first = starts[r["part"]] + r["first"]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array(r["doc_ids"], pa.int64()),
-                    "start": pa.array(r["first"] + ends - np.array(r["doc_tokens"]), pa.int64()),
+                    "start": pa.array(first + ends - np.array(r["doc_tokens"]), pa.int64()),
                     "n_tokens": pa.array(r["doc_tokens"], pa.int64()),
                     "ids_crc32": pa.array([zlib.crc32(x) for x in owns], pa.int64())} | (
                         {"ids": pa.array(owns, pa.binary())} if with_ids else {}))
 
-    return shards.join(shard_starts(shards), ["part", "shard"]).mapInArrow(run, out)
+    return shards.drop("n_tokens", "rule_tokens").mapInArrow(run, out)
 
 
 def read_range(spark: SparkSession, path: str, part: int, shard: int, start: int, stop: int) -> list[int]:

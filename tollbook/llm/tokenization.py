@@ -12,8 +12,8 @@ from array import array
 
 import numpy as np
 
-#: Words remembered per worker; beyond, the memory starts anew.
-WORDS = 500_000
+#: Words, and pre-tokens, remembered per worker; beyond, the memory starts anew.
+WORDS = 600_000
 
 #: Fixed values of byte-level vocabularies: bytes that stand for themselves; the others stand at 256 and on, in order.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -77,17 +77,24 @@ class ByteEncoder:
             parts.append(words)
         if len(self.known) > WORDS:
             self.known.clear()
+        if len(self.pretokens) > WORDS:
             self.pretokens.clear()
-        new = [w for w in met.difference(self.known)]
-        odd = {w for w in new if not w.strip() or w[-1].isspace() or w.removeprefix(" ")[0].isspace()}
-        hard = []
-        for w in new:
-            if w not in odd:
+        odd, hard, get = set(), [], self.pretokens.get
+        for w in met.difference(self.known):
+            letters = w.rstrip(",.;:!?#$%&*|")
+            if letters.isalpha():  # the usual word, with a space before it
+                ids = get(" " + letters) or self.one(" " + letters)
+                if len(letters) < len(w):
+                    ids += get(w[len(letters) :]) or self.one(w[len(letters) :])
+            elif not w.strip() or w[-1].isspace() or w.removeprefix(" ")[0].isspace():
+                odd.add(w)
+                continue
+            else:
                 ids = self.word(w[1:] if w[0] == " " else " " + w)
                 if ids is None:
                     hard.append(w)
-                else:
-                    self.known[w] = ids
+                    continue
+            self.known[w] = ids
         self.known.update(zip(hard, self.whole([w[1:] if w[0] == " " else " " + w for w in hard])))
         if odd:
             parts = [None if words is None or not odd.isdisjoint(words) else words for words in parts]

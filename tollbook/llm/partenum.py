@@ -7,12 +7,16 @@ are equal; the signature of a part is a hash of all that the set holds there. Th
 
 A part with fewer than HEAVY shingles says little, so a set leaves such parts out, unless it has so many of them that
 all its equal parts might be among them. Whether a part is light depends on what it holds alone, so equal parts are left out
-on both sides or on none, and no link is lost.
+on both sides or on none, and no link is lost. Signatures that more than BUCKET sets share are left out in the same way: there are
+some parts more than needed (SLACK), and a set that misses no more than these still meets its partners elsewhere. Only
+the sets that miss more are compared inside such large buckets.
 
-Sets that are equal are one node from the start (a 64-bit hash of the set). Sets that share a signature are compared with the
-first of their bucket; buckets whose sets are all in one component are done; the others go on with further sets of the
-bucket as leaders, eight times as many each turn, against sets of other components only. So a large group of near
-copies costs a star and not all its pairs, and still no pair that could join two components stays unseen.
+Sets that are equal are one node from the start (a 63-bit hash of the set). All pairs of a bucket of at most BUCKET sets are
+candidates. In a large bucket, sets are compared with its first one; buckets whose sets are all in one component are done;
+the others go on with further sets of the bucket as leaders, eight times as many each turn, against sets of other
+components only. So a large group of near copies costs a star and not all its pairs, and still no pair that could join
+two components stays unseen. A candidate pair is first held against a byte per part, as linked sets differ in no more
+parts than they may differ in shingles, and what is left against the whole sets.
 
 A text with fewer words than a shingle has its whole sequence as its one shingle. A text without words, or null, has no
 shingle and is linked with nothing. Repeated rows are equal sets. Rows of one doc_id are one document if their texts are
@@ -25,13 +29,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollbook.llm.common import id_and_text, kept_table, map_chunks
 from tollbook.llm.components import components
 
-HEAVY = 3
+HEAVY = 2
+BUCKET = 8
+#: One part in so many is there only to be left out.
+SLACK = 4
 #: Words whose hash a worker remembers.
 WORDS = 500_000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -69,8 +76,8 @@ def shingles(text: str, width: int) -> np.ndarray:
 
 
 def node_of(found: np.ndarray) -> int:
-    """One number for a set."""
-    return xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63)
+    """One even number for a set; odd ones stand for the set as the smaller one of the next band."""
+    return (xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63)) & ~1
 
 
 def bands(percent: int, largest: int) -> np.ndarray:
@@ -82,102 +89,175 @@ def bands(percent: int, largest: int) -> np.ndarray:
     return np.array(ends)
 
 
-def signatures(found: np.ndarray, percent: int, ends: np.ndarray) -> np.ndarray:
-    """Signatures of a set: as a member of its band, and as the smaller set of the next one."""
-    out = []
-    mixed = np.cumsum(mix(found + _A), dtype=np.uint64)
+def parts_of(found: np.ndarray, percent: int, ends: np.ndarray):
+    """As a member of its band and as the smaller set of the next one: signatures of a set's parts, which of them it
+    gives, and how many more it may leave out (-1: it gives even light ones)."""
+    mixed = np.r_[np.zeros(1, np.uint64), np.cumsum(mix(found + _A), dtype=np.uint64)]
     own = int(np.searchsorted(ends, len(found)))
     for band in (own, own + 1):
         differ = 2 * int(ends[band]) * (100 - percent) // (100 + percent)
-        parts = differ + 1 + -(-differ // 8)
+        parts = differ + 1 + -(-differ // SLACK)
         part = ((found >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)  # ascending, as the hashes are
         held = np.bincount(part.astype(np.int64), minlength=parts)
         stop = np.cumsum(held)
-        sums = np.r_[np.zeros(1, np.uint64), mixed]
-        total = sums[stop] - sums[stop - held]
-        chosen = held >= HEAVY
-        if parts - int(chosen.sum()) >= parts - differ:
-            chosen[:] = True
-        at = np.flatnonzero(chosen).astype(np.uint64)
-        place = mix(at + np.uint64((band * int(_A) + int(_C)) % (1 << 64)))
-        out.append(mix(total[chosen] ^ place))
-    return np.concatenate(out).view(np.int64)
+        place = mix(np.arange(parts, dtype=np.uint64) + np.uint64((band * int(_A) + int(_C)) % (1 << 64)))
+        sigs = mix((mixed[stop] - mixed[stop - held]) ^ place)
+        given = held >= HEAVY
+        spare = int(given.sum()) - differ - 1
+        if spare < 0:
+            given, spare = np.ones(parts, bool), -1
+        yield sigs, given, spare
 
 
-def node_rows(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles and node (null for an empty set) of every row."""
+class Bands:
+    """Band ends for sets of any size."""
+
+    def __init__(self, percent: int):
+        self.percent, self.ends = percent, bands(percent, 1 << 16)
+
+    def of(self, size: int) -> np.ndarray:
+        if 2 * size > self.ends[-1]:
+            self.ends = bands(self.percent, 4 * size)
+        return self.ends
+
+
+NODES = ("doc_id long, n_shingles long, node long, spare_own int, spare_next int, own binary, next binary")
+
+
+def node_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles and node (null for an empty set) of every row, with a byte for each part in both bands."""
 
     def make():
+        known = Bands(percent)
+
         def fn(ids, texts):
-            sets = [shingles(t, width) for t in texts]
-            return {"doc_id": pa.array(ids, pa.int64()), "n_shingles": pa.array(map(len, sets), pa.int64()),
-                    "node": pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())}
+            rows = []
+            for text in texts:
+                found = shingles(text, width)
+                if not len(found):
+                    rows.append((0, None, None, None, None, None))
+                    continue
+                both = list(parts_of(found, percent, known.of(len(found))))
+                rows.append((len(found), node_of(found), *(x[2] for x in both),
+                             *((x[0] >> np.uint64(56)).astype(np.uint8).tobytes() for x in both)))
+            n, node, own_spare, next_spare, own, next_ = zip(*rows)
+            return {"doc_id": pa.array(ids, pa.int64()), "n_shingles": pa.array(n, pa.int64()),
+                    "node": pa.array(node, pa.int64()), "spare_own": pa.array(own_spare, pa.int32()),
+                    "spare_next": pa.array(next_spare, pa.int32()), "own": pa.array(own, pa.binary()),
+                    "next": pa.array(next_, pa.binary())}
 
         return fn
 
-    return map_chunks(docs, make, "doc_id long, n_shingles long, node long")
+    return map_chunks(docs, make, NODES)
 
 
 def signature_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """sig, node: of each set once per task."""
+    """sig and member (the node, odd for its second band): of each set once per task."""
 
     def make():
         met: set[int] = set()
-        known = {"ends": bands(percent, 1 << 16)}
+        known = Bands(percent)
 
         def fn(ids, texts):
-            sigs, nodes, n = [], [], []
+            sigs, members, n = [], [], []
             for text in texts:
                 found = shingles(text, width)
                 if not len(found) or (node := node_of(found)) in met:
                     continue
                 met.add(node)
-                if 2 * len(found) > known["ends"][-1]:
-                    known["ends"] = bands(percent, 4 * len(found))
-                sigs.append(signatures(found, percent, known["ends"]))
-                nodes.append(node)
-                n.append(len(sigs[-1]))
+                for i, (all_, given, _) in enumerate(parts_of(found, percent, known.of(len(found)))):
+                    sigs.append(all_[given])
+                    members.append(node | i)
+                    n.append(len(sigs[-1]))
             if not sigs:
                 return None
-            return {"sig": pa.array(np.concatenate(sigs)),
-                    "node": pa.array(np.repeat(np.array(nodes, np.int64), np.array(n)))}
+            return {"sig": pa.array(np.concatenate(sigs).view(np.int64)),
+                    "member": pa.array(np.repeat(np.array(members, np.int64), np.array(n)))}
 
         return fn
 
-    return map_chunks(docs, make, "sig long, node long")
+    return map_chunks(docs, make, "sig long, member long")
 
 
 def buckets(sigs: DataFrame) -> DataFrame:
-    """sig, node, place (from 0) and size: the signatures that two or more nodes share, each node once."""
+    """Pairs a < b of members (sig is null) from buckets of two to BUCKET, and the rows (sig, a) of larger ones."""
 
     def run(batches):
         left = (np.zeros(0, np.int64),) * 2
 
-        def grouped(sig, node):
-            fresh = np.r_[True, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])]
-            sig, node = sig[fresh], node[fresh]
-            new = np.r_[True, sig[1:] != sig[:-1]]
-            start = np.flatnonzero(new)
+        def grouped(sig, member):
+            fresh = np.r_[True, (sig[1:] != sig[:-1]) | (member[1:] != member[:-1])]
+            sig, member = sig[fresh], member[fresh]
+            start = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
             size = np.diff(np.r_[start, len(sig)])
-            group = np.cumsum(new) - 1
-            keep = size[group] > 1
-            if keep.any():
+            pairs = []
+            for n in range(2, BUCKET + 1):
+                of = member[start[size == n][:, None] + np.arange(n)]
+                pairs += [of[:, [i, j]] for i in range(n) for j in range(i + 1, n)]
+            pairs = np.unique(np.concatenate(pairs) & ~1, axis=0)
+            if len(pairs):
+                yield pa.RecordBatch.from_pydict({
+                    "sig": pa.nulls(len(pairs), pa.int64()), "a": pa.array(np.ascontiguousarray(pairs[:, 0])),
+                    "b": pa.array(np.ascontiguousarray(pairs[:, 1]))})
+            large = np.repeat(size > BUCKET, size)
+            if large.any():
                 yield pa.RecordBatch.from_pydict({
-                    "sig": pa.array(sig[keep]), "node": pa.array(node[keep]),
-                    "place": pa.array((np.arange(len(sig)) - start[group])[keep]), "size": pa.array(size[group][keep])})
+                    "sig": pa.array(sig[large]), "a": pa.array(member[large]),
+                    "b": pa.nulls(int(large.sum()), pa.int64())})
 
         for batch in batches:
             sig = np.concatenate([left[0], batch.column(0).to_numpy()])
-            node = np.concatenate([left[1], batch.column(1).to_numpy()])
+            member = np.concatenate([left[1], batch.column(1).to_numpy()])
             cut = int(np.searchsorted(sig, sig[-1])) if len(sig) else 0  # the last group may go on
             if cut:
-                yield from grouped(sig[:cut], node[:cut])
-            left = (sig[cut:], node[cut:])
+                yield from grouped(sig[:cut], member[:cut])
+            left = (sig[cut:], member[cut:])
         if len(left[0]):
             yield from grouped(*left)
 
-    return (sigs.repartition("sig").sortWithinPartitions("sig", "node")
-            .mapInArrow(run, "sig long, node long, place long, size long"))
+    return (sigs.repartition("sig").sortWithinPartitions("sig", "member")
+            .mapInArrow(run, "sig long, a long, b long"))
+
+
+def large_buckets(shared: DataFrame, parts: DataFrame) -> DataFrame:
+    """sig, node, place (from 0) and size: the rows of large buckets that still have to be compared there."""
+    rows = shared.filter("sig is not null").select("sig", F.col("a").alias("member"))
+    even = F.col("member").bitwiseAND(F.lit(-2))
+    left_out = rows.groupBy("member").agg(F.count("*").alias("n")).withColumn("node", even).join(parts, "node")
+    spare = F.when(F.col("member") == F.col("node"), F.col("spare_own")).otherwise(F.col("spare_next"))
+    short = left_out.filter(F.col("n") > spare).select("member")
+    rows = rows.join(short, "member", "left_semi").select("sig", even.alias("node"))
+    sizes = rows.groupBy("sig").agg(F.count("*").alias("size")).filter("size > 1")
+    place = F.row_number().over(Window.partitionBy("sig").orderBy("node")) - 1
+    return rows.join(sizes, "sig").select("sig", "node", place.cast("long").alias("place"), "size")
+
+
+def possible(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """The pairs that differ in no more parts than linked sets may."""
+
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(c) for c in ("size_a", "size_b", "own_a", "own_b", "next_a", "next_b")]
+            keep = []
+            ends = bands(percent, 1 << 16)
+            for n, m, *bytes_ in zip(*columns):
+                n, m = n.as_py(), m.as_py()
+                if 100 * min(n, m) < percent * max(n, m):
+                    keep.append(False)
+                    continue
+                if 2 * max(n, m) > ends[-1]:
+                    ends = bands(percent, 4 * max(n, m))
+                x, y = (int(np.searchsorted(ends, size)) for size in (n, m))
+                of = (bytes_[0] if x >= y else bytes_[2]), (bytes_[1] if y >= x else bytes_[3])
+                p, q = (np.frombuffer(v.as_buffer(), np.uint8) for v in of)
+                differ = 2 * int(ends[max(x, y)]) * (100 - percent) // (100 + percent)
+                keep.append(int((p != q).sum()) <= differ)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    of = lambda c: parts.select(F.col("node").alias(c), *(
+        F.col(x).alias(f"{y}_{c}") for x, y in (("n_shingles", "size"), ("own", "own"), ("next", "next"))))
+    return pairs.join(of("a"), "a").join(of("b"), "b").select(
+        "a", "b", "size_a", "size_b", "own_a", "own_b", "next_a", "next_b").mapInArrow(run, "a long, b long")
 
 
 def set_rows(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -221,36 +301,41 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of every row of docs."""
-    nodes = kept_table(node_rows(docs, width), "nodes")
+    nodes = kept_table(node_rows(docs, width, percent), "nodes")
+    parts = nodes.filter("node is not null").drop("doc_id").dropDuplicates(["node"])
     shared = kept_table(buckets(signature_rows(docs, width, percent)), "buckets")
-    sets = kept_table(set_rows(docs, nodes, shared.select("node").distinct(), width), "sets")
-    links = tested = roots = None
-    low, high = 0, 1
+    large = kept_table(large_buckets(shared, parts), "large")
+
+    def check(pairs: DataFrame) -> DataFrame:
+        near = kept_table(possible(pairs, parts, percent), "pairs")
+        wanted = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+        return kept_table(linked(near, set_rows(docs, nodes, wanted, width), percent), "links")
+
+    first = large.filter("place = 0").select("sig", F.col("node").alias("a"))
+    star = large.filter("place > 0").join(first, "sig").select("a", F.col("node").alias("b"))
+    tested = shared.filter("sig is null").select("a", "b").unionByName(star).distinct()
+    links = check(tested)
+    roots = kept_table(components(links), "roots")
+    low, high = 1, 8
     while True:
-        members = shared.filter(F.col("size") > low + 1)
-        if roots is not None:
-            members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            open_ = members.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-            members = kept_table(members.join(open_.select("sig"), "sig", "left_semi"), "members")
+        members = large.filter(F.col("size") > low + 1).join(roots, "node", "left").withColumn(
+            "root", F.coalesce("root", "node"))
+        open_ = members.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+        members = kept_table(members.join(open_.select("sig"), "sig", "left_semi"), "members")
         if members.isEmpty():
             break
-        group = members.withColumn("root", F.lit(None).cast("long")) if roots is None else members
-        leaders = group.filter((F.col("place") >= low) & (F.col("place") < high)).select(
+        leaders = members.filter((F.col("place") >= low) & (F.col("place") < high)).select(
             "sig", F.col("node").alias("a"), F.col("place").alias("at"), F.col("root").alias("root_a"))
-        pairs = group.join(leaders, "sig").filter("place > at and (root is null or root <> root_a)").select(
+        pairs = members.join(leaders, "sig").filter("place > at and root <> root_a").select(
             "a", F.col("node").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = kept_table(pairs, "pairs")
-        found = kept_table(linked(pairs, sets, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        roots = kept_table(components(links), "roots")
+        pairs = kept_table(pairs.join(tested, ["a", "b"], "left_anti"), "more")
+        found = check(pairs)
+        tested = tested.unionByName(pairs)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            roots = kept_table(components(links), "roots")
         low, high = high, 8 * high + 1
-    if roots is None:
-        named = nodes.withColumn("root", F.col("node"))
-    else:
-        named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return named.join(least, "root", "left").select(
         "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))

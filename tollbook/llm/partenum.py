@@ -13,8 +13,8 @@ the sets that miss more are compared inside such large buckets.
 
 Sets that are equal are one node from the start (a 63-bit hash of the set). All pairs of a bucket of at most BUCKET sets are
 candidates. In a large bucket, sets are compared with its first one; buckets whose sets are all in one component are done;
-the others go on with further sets of the bucket as leaders, eight times as many each turn, against sets of other
-components only. So a large group of near copies costs a star and not all its pairs, and still no pair that could join
+the others go on with further sets of the bucket as leaders, four times as many each turn, against sets of other
+components only. Sets that are in the most buckets come first, as they are in the middle of a group. So a large group of near copies costs a star and not all its pairs, and still no pair that could join
 two components stays unseen. A candidate pair is first held against a byte per part, as linked sets differ in no more
 parts than they may differ in shingles, and what is left against the whole sets.
 
@@ -225,10 +225,11 @@ def large_buckets(shared: DataFrame, parts: DataFrame) -> DataFrame:
     even = F.col("member").bitwiseAND(F.lit(-2))
     left_out = rows.groupBy("member").agg(F.count("*").alias("n")).withColumn("node", even).join(parts, "node")
     spare = F.when(F.col("member") == F.col("node"), F.col("spare_own")).otherwise(F.col("spare_next"))
-    short = left_out.filter(F.col("n") > spare).select("member")
-    rows = rows.join(short, "member", "left_semi").select("sig", even.alias("node"))
+    short = left_out.filter(F.col("n") > spare).select("member", "n")
+    rows = rows.join(short, "member").select("sig", even.alias("node"), "n")
     sizes = rows.groupBy("sig").agg(F.count("*").alias("size")).filter("size > 1")
-    place = F.row_number().over(Window.partitionBy("sig").orderBy("node")) - 1
+    # Sets of the most buckets lead: those in the middle of a group, and the same ones in all its buckets.
+    place = F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("n"), "node")) - 1
     return rows.join(sizes, "sig").select("sig", "node", place.cast("long").alias("place"), "size")
 
 
@@ -312,11 +313,12 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         return kept_table(linked(near, set_rows(docs, nodes, wanted, width), percent), "links")
 
     first = large.filter("place = 0").select("sig", F.col("node").alias("a"))
-    star = large.filter("place > 0").join(first, "sig").select("a", F.col("node").alias("b"))
+    ordered = lambda: (F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+    star = large.filter("place > 0").join(first, "sig").select(*ordered())
     tested = shared.filter("sig is null").select("a", "b").unionByName(star).distinct()
     links = check(tested)
     roots = kept_table(components(links), "roots")
-    low, high = 1, 8
+    low, high = 1, 4
     while True:
         members = large.filter(F.col("size") > low + 1).join(roots, "node", "left").withColumn(
             "root", F.coalesce("root", "node"))
@@ -327,14 +329,14 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         leaders = members.filter((F.col("place") >= low) & (F.col("place") < high)).select(
             "sig", F.col("node").alias("a"), F.col("place").alias("at"), F.col("root").alias("root_a"))
         pairs = members.join(leaders, "sig").filter("place > at and root <> root_a").select(
-            "a", F.col("node").alias("b")).distinct()
+            *ordered()).distinct()
         pairs = kept_table(pairs.join(tested, ["a", "b"], "left_anti"), "more")
         found = check(pairs)
         tested = tested.unionByName(pairs)
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = kept_table(components(links), "roots")
-        low, high = high, 8 * high + 1
+        low, high = high, 4 * high
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return named.join(least, "root", "left").select(

@@ -138,7 +138,8 @@ def _variety_labeler(kind, s, before, after):
 
 
 def _shape_labeler(kind, s, before, after):
-    return _vote(kind in BASE, bool(_LETTERS.search(s)) or s.count("-") + s.count("=") + s.count("_") > len(s) // 3)
+    strokes = s.count("-") + s.count("=") + s.count("_")
+    return _vote(False, kind not in BASE and (bool(_LETTERS.search(s)) or strokes > len(s) // 3))
 
 
 LABELERS = (_pattern_labeler, _gazetteer_labeler, _context_labeler, _variety_labeler, _shape_labeler)

@@ -69,7 +69,7 @@ def estimate(patterns: list[str], counts: list[int], rounds: int = 100) -> tuple
     The start believes a document in the measure in which its rules agree; each rule's rates are smoothed by the
     belief that it is right nine times of ten when it votes, so classes cannot change places.
     """
-    votes_ = np.array([["+0-".index(v) for v in p] for p in patterns], int).reshape(len(patterns), -1)
+    votes_ = np.array([["+0-".index(v) for v in p] for p in patterns], int).reshape(len(patterns), len(RULES))
     n = np.array(counts, float)
     seen = np.eye(3)[votes_]  # pattern, rule, vote
     bad = (votes_ == 2).sum(1)

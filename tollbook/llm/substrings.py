@@ -6,7 +6,7 @@ a number of windows. Runs whose key occurs once in the whole table hold no repea
 are dealt out by key; a shard of them is one text whose suffixes are sorted in two stages, and neighbours with a common
 prefix of LENGTH bytes are equal windows. Of equal windows the first by (doc_id, start) stays.
 
-A segment that recurs as a whole is kept once per task before it is sent and once per shard after, with its first place;
+A text that an earlier row has as a whole loses all its bytes and is not looked at further. A segment that recurs is kept once per task before it is sent and once per shard after, with its first place;
 the other places are removed there and then. So a passage in a third of all documents meets as one row per task. Keys that recur
 inside a task are known as repeated there and are not sent to the key's own partition either. A key with more than GROUP bytes of different
 segments is cut into pieces, and what is left of each is compared by an aggregation over whole windows.
@@ -146,8 +146,7 @@ SEGMENTS = "key long, seg binary, pos long, place long"
 
 def segments(found: DataFrame, docs: DataFrame) -> DataFrame:
     """The bytes of repeated runs, each different segment once per task; rows without bytes are removed windows."""
-    listed = found.select("pos", F.shiftright("place", 1).bitwiseAND(0xFFFF).alias("check"), "key", "place").groupBy(
-        "pos", "check").agg(F.collect_set(F.struct("key", "place")).alias("runs"))
+    listed = found.groupBy("pos", "check").agg(F.collect_set(F.struct("key", "place")).alias("runs"))
 
     def run(batches):
         first: dict[tuple[int, bytes], tuple[int, int]] = {}
@@ -170,11 +169,11 @@ def segments(found: DataFrame, docs: DataFrame) -> DataFrame:
                     a, n = start_of(r["place"]), windows_of(r["place"])
                     of, at = (r["key"], data[a : a + n + LENGTH - 1]), (pos, r["place"])
                     known = first.setdefault(of, at)
-                    if known is not at:
+                    if known is at:
+                        size += len(of[1])
+                    elif known != at:
                         gone.append(max(known, at))
                         first[of] = min(known, at)
-                    else:
-                        size += len(of[1])
                 if size >= 4 * SHARD:
                     yield from flush()
                     size = 0
@@ -241,7 +240,8 @@ def removed_windows(rows: DataFrame) -> DataFrame:
             """The group of a key is complete: a single segment has no partner and no repeat of its own."""
             nonlocal shard, size
             if cut:
-                yield from solve(group, rest=True)
+                if group:
+                    yield from solve(group, rest=True)
             elif len(group) > 1:
                 shard += group
                 size += held
@@ -289,9 +289,17 @@ def compared(rows: DataFrame) -> DataFrame:
     return done.unionByName(rest.join(first, "win").filter("at > first").select("pos", "place"))
 
 
+def copies(docs: DataFrame) -> DataFrame:
+    """pos and check of texts that an earlier row has as a whole: all of their windows are repeats."""
+    whole = placed(docs).select("pos", "check", F.unhex(F.sha2("text", 256)).alias("sha"))
+    first = whole.groupBy("sha").agg(F.min("pos").alias("first"))
+    return whole.join(first, "sha").filter("pos > first").select("pos", "check").distinct()
+
+
 def removals(docs: DataFrame) -> DataFrame:
-    """pos, check and spans (start, windows) of what goes, for the texts that lose bytes."""
-    found = removed_windows(segments(repeated_runs(run_rows(docs)), docs))
+    """pos, check and spans (start, windows) of what goes, for the texts that lose bytes and are no whole copies."""
+    rows = repeated_runs(run_rows(docs)).withColumn("check", F.shiftright("place", 1).bitwiseAND(0xFFFF))
+    found = removed_windows(segments(rows.join(copies(docs), ["pos", "check"], "left_anti"), docs))
     return compared(found).groupBy("pos", F.shiftright("place", 1).bitwiseAND(0xFFFF).alias("check")).agg(
         F.collect_list(F.shiftright("place", 17)).alias("gone"))
 
@@ -302,10 +310,13 @@ def clean(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows: dict[str, list] = {"doc_id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
-            for pos, text, gone in zip(batch.column("pos").to_pylist(), batch.column("text"), batch.column("gone")):
+            columns = batch.column("pos").to_pylist(), batch.column("text"), batch.column("gone"), batch.column("copy")
+            for pos, text, gone, copy in zip(*columns):
                 data = text.as_py().encode("utf-8", "surrogatepass")
                 kept, removed, spans = data, 0, 0
-                if gone.is_valid:
+                if copy.is_valid and len(data) >= LENGTH:
+                    kept, removed, spans = b"", len(data), 1
+                elif gone.is_valid:
                     g = gone.values.to_numpy()
                     edge = np.zeros(len(data) + 1, np.int32)
                     np.add.at(edge, g >> 8, 1)
@@ -319,8 +330,9 @@ def clean(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 n: pa.array(v, pa.binary() if n == "kept" else pa.int64()) for n, v in rows.items()})
 
-    return (placed(docs).join(removals(docs), ["pos", "check"], "left").select("pos", "text", "gone")
-            .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
+    return (placed(docs).join(removals(docs), ["pos", "check"], "left")
+            .join(copies(docs).withColumn("copy", F.lit(True)), ["pos", "check"], "left")
+            .select("pos", "text", "gone", "copy").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
 
 
 def sha256(data: bytes) -> str:

@@ -37,7 +37,7 @@ def feed_title_lookup(spark, folder):
         "lead_id", F.col("meta_value").try_cast("bigint").alias("feed_id"))
     titles = fd.feeds_with_form(site.feeds(spark, folder), site.forms(spark, folder)).select(
         F.col("id").alias("feed_id"), "form_title")
-    return lookup_join(recorded, titles, "feed_id", "inner", spread_by=["lead_id"]).select(
+    return lookup_join(recorded, titles, "feed_id", "inner").select(
         "lead_id", "feed_id", "form_title")
 
 
@@ -74,8 +74,8 @@ def active_feed(spark, folder):
 
 
 @query("defer_flag", sql(LEADS, ENTRIES, FEEDS, ACTIVE, """
-SELECT e.id, a.id IS NOT NULL AS defer_post, a.id IS NOT NULL AS defer_notification,
-  coalesce(a.type = 'subscription', FALSE) AS defer_registration
+SELECT e.id, a.id IS NOT NULL OR is_delayed AS defer_post, a.id IS NOT NULL OR is_delayed AS defer_notification,
+  coalesce(a.type = 'subscription', FALSE) OR is_delayed AS defer_registration
 FROM entries e LEFT JOIN active a ON a.entry_id = e.id"""))
 def defer_flag(spark, folder):
     flagged = fd.with_defer_flags(site.entries(spark, folder), site.feeds(spark, folder))

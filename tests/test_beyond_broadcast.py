@@ -14,10 +14,11 @@ QUERIES = ("feed_list", "feed_title_lookup", "lead_feed", "rule_match", "active_
 
 @pytest.fixture()
 def no_broadcast(spark, monkeypatch):
-    monkeypatch.setitem(joins.lookup_join.__kwdefaults__, "broadcast_bytes", -1)
     monkeypatch.setitem(joins.hot_key_join.__kwdefaults__, "hot_rows", 6)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     yield
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 

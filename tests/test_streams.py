@@ -35,7 +35,7 @@ def test_totals_equal_batch(spark, folder, files, tmp_path, grain):
     path, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     for _ in range(2):  # a restart finds nothing new
         leads = site.event_leads(_stream(spark, folder, files))
-        totals.start_totals(leads, path, checkpoint, grain, "+03:30", late="60 days").awaitTermination()
+        totals.start_totals(leads, path, checkpoint, grain, "+03:30").awaitTermination()
     batches = spark.read.parquet(path).select("batch").distinct().count()
     assert batches >= 4
     batch = t.bucket_totals(site.hourly_leads(spark, folder), grain, "+03:30", ("form_id", "payment_method"))
@@ -73,3 +73,26 @@ def test_an_empty_batch_writes_nothing(spark, folder, tmp_path):
     calls = site.event_callbacks(scan(spark, folder, "events")).limit(0)
     settlement.settle_batch(spark, calls, 0, str(tmp_path / "none"), "Gateway")
     assert not (tmp_path / "none").exists()
+
+
+def test_a_new_checkpoint_on_an_old_path(spark, folder, files, tmp_path):
+    path = str(tmp_path / "settled")
+    calls = site.event_callbacks(scan(spark, folder, "events"))
+    old, new = calls.where("event_id % 2 = 0"), calls
+    settlement.settle_batch(spark, old, 0, path, "Gateway", stream="one")
+    before = _rows(settlement.read_settled(spark, path))
+    settlement.settle_batch(spark, new, 0, path, "Gateway", stream="two")
+    settled = settlement.read_settled(spark, path)
+    assert set(before) <= set(_rows(settled))
+    assert settled.count() == settled.select("lead_id").distinct().count()
+    assert settled.count() == new.where("lead_id <> 0").select("lead_id").distinct().count()
+
+
+def test_totals_refuse_a_path_of_another_stream(spark, folder, files, tmp_path):
+    path = str(tmp_path / "out")
+    leads = lambda: site.event_leads(_stream(spark, folder, files))
+    totals.start_totals(leads(), path, str(tmp_path / "one"), "day").awaitTermination()
+    with pytest.raises(ValueError):
+        totals.start_totals(leads(), path, str(tmp_path / "two"), "day")
+    scopes = {r.scope for r in totals.read_scope_totals(spark, path).collect()}
+    assert scopes == {"form_method", "form", "method", "site"}

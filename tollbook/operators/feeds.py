@@ -43,6 +43,11 @@ def decode_meta(feeds: DataFrame, column: str = "meta") -> DataFrame:
     return feeds.withColumn(column, F.from_json(F.col(column), META_SCHEMA))
 
 
+def has_settings(text: Column) -> Column:
+    """Whether a settings text can be read and holds anything."""
+    return F.coalesce(~F.get_json_object(text, "$").isin("{}", "[]", "null", "", "0", "false"), F.lit(False))
+
+
 def encode_meta(feeds: DataFrame, column: str = "meta") -> DataFrame:
     return feeds.withColumn(column, F.to_json(column))
 
@@ -60,7 +65,7 @@ def feeds_by_form(feeds: DataFrame, form_id: int | None = None, only_active: boo
 def feeds_with_form(feeds: DataFrame, forms: DataFrame) -> DataFrame:
     """Feeds with the title of their form; a feed of a missing form is left out."""
     titles = forms.select(F.col("id").alias("form_id"), F.col("title").alias("form_title"))
-    return lookup_join(feeds, titles, "form_id", "inner", spread_by=["id"])
+    return lookup_join(feeds, titles, "form_id", "inner")
 
 
 def feed_list(feeds: DataFrame, forms: DataFrame) -> DataFrame:
@@ -98,9 +103,12 @@ def compare(value: Column, operator: Column, target: Column) -> Column:
 
 
 def rule_passes(enabled: Column, field_id: Column, operator: Column, target: Column,
-                submitted: Column, hidden: Column) -> Column:
-    """A rule that is off or names no field passes; otherwise its field must be shown and match."""
+                submitted: Column, hidden: Column, known: Column | None = None) -> Column:
+    """A rule that is off, names no field, or names one that is not among the form's `known` ones passes;
+    otherwise its field must be shown and match."""
     unused = is_empty_text(enabled) | is_empty_text(field_id)
+    if known is not None:
+        unused = unused | ~F.coalesce(F.array_contains(known, field_id), F.lit(True))
     shown = ~F.coalesce(F.array_contains(hidden, field_id), F.lit(False))
     return unused | (shown & compare(submitted, operator, target))
 
@@ -114,12 +122,16 @@ RULE_SETTINGS = ("conditional_enabled", "conditional_field_id", "conditional_ope
 
 
 def with_rule_result(entries: DataFrame, name: str, rule: str = "_rule") -> DataFrame:
-    """Whether a rule (a struct column, consumed) passes, from the entry's `answers` and `hidden` fields."""
+    """Whether a rule (a struct column, consumed) passes, from the entry's `answers` and `hidden` fields.
+
+    A feed without readable settings never passes. With a column `form_field_ids`, rules on other fields do.
+    """
     enabled, field_id, operator, target = (F.col(rule)[s] for s in RULE_SETTINGS)
     # The answer is a column of its own, so that it is looked up once and not per operator.
     looked_up = entries.withColumn("_submitted", answer(F.col("answers"), field_id))
-    passes = rule_passes(enabled, field_id, operator, target, F.col("_submitted"), F.col("hidden"))
-    return looked_up.withColumn(name, passes).drop("_submitted", rule)
+    known = F.col("form_field_ids") if "form_field_ids" in entries.columns else None
+    passes = rule_passes(enabled, field_id, operator, target, F.col("_submitted"), F.col("hidden"), known)
+    return looked_up.withColumn(name, F.coalesce(F.col(rule)["has_settings"], F.lit(True)) & passes).drop("_submitted", rule)
 
 
 def with_first_feed(entries: DataFrame, feeds: DataFrame, how: str = "left",
@@ -128,9 +140,10 @@ def with_first_feed(entries: DataFrame, feeds: DataFrame, how: str = "left",
 
     Only the named settings are decoded and carried along.
     """
-    first = decode_meta(first_feeds(feeds)).select(
-        "form_id", _setting_struct(settings, "feed"), _setting_struct(RULE_SETTINGS, "_rule"))
-    return lookup_join(entries, first, "form_id", how, spread_by=["id"], source=feeds)
+    first = decode_meta(first_feeds(feeds).withColumn("_has", has_settings(F.col("meta")))).select(
+        "form_id", _setting_struct(settings, "feed"),
+        _setting_struct(RULE_SETTINGS, "_rule").withField("has_settings", F.col("_has")).alias("_rule"))
+    return lookup_join(entries, first, "form_id", how)
 
 
 def with_active_feed(entries: DataFrame, feeds: DataFrame, settings: Sequence[str] = ("type",)) -> DataFrame:
@@ -151,7 +164,7 @@ def with_own_feed(entries: DataFrame, feeds: DataFrame, feed_id: str = "feed_id"
                   settings: Sequence[str] = ("type",)) -> DataFrame:
     """Entries with `feed`, the one recorded for them as an attribute, else null."""
     table = decode_meta(feeds).select(F.col("id").alias(feed_id), _setting_struct(settings, "feed"))
-    return lookup_join(entries, table, feed_id, spread_by=["id"], source=feeds)
+    return lookup_join(entries, table, feed_id)
 
 
 def is_rule_field(field_type: Column, input_type: Column) -> Column:
@@ -162,6 +175,8 @@ def is_rule_field(field_type: Column, input_type: Column) -> Column:
 def with_defer_flags(entries: DataFrame, feeds: DataFrame, slugs: tuple[str, ...] = ()) -> DataFrame:
     """Whether an entry's follow-ups wait for the payment.
 
+    An entry whose `is_delayed` is already set keeps waiting.
+
     Posts and notifications wait for any active feed, registration only for a subscription. An
     add-on waits as long as it is neither fulfilled nor processed, if the feed covers add-ons; one
     that the feed does not cover keeps the flag in `is_delayed`. The add-on state is read from the
@@ -172,7 +187,9 @@ def with_defer_flags(entries: DataFrame, feeds: DataFrame, slugs: tuple[str, ...
     found = F.col("feed").isNotNull()
     subscription = found & F.coalesce(meta["type"] == "subscription", F.lit(False))
     covers_addons = found & F.coalesce(meta["addon"] == "true", F.lit(False))
-    flags = {"defer_post": found, "defer_notification": found, "defer_registration": subscription}
+    before = ~is_empty_flag(F.col("is_delayed")) if "is_delayed" in entries.columns else F.lit(False)
+    flags = {"defer_post": found | before, "defer_notification": found | before,
+             "defer_registration": subscription | before}
     for slug in slugs:
         waiting = (is_empty_text(F.col(f"{slug}_is_fulfilled"))
                    & is_empty_text(json_path(F.col("processed_feeds"), slug)))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tollbook.functions.values import is_empty_list
 from tollbook.operators.feeds import compare
 from tollbook.functions.text import answer
 
@@ -15,11 +14,11 @@ CHARGEABLE_TYPES = ("product", "shipping")
 def form_fields(forms: DataFrame) -> DataFrame:
     """One row per mappable field: each input of a field that has inputs, else the field itself.
 
-    A field without inputs that is for display only is left out.
+    A field without inputs that is for display only is left out, and so is one whose list of inputs is empty.
     """
     field = F.explode("fields").alias("f")
     own = F.array(F.struct(F.col("f.id").alias("id"), F.col("f.label").alias("label")))
-    targets = (F.when(~is_empty_list(F.col("f.inputs")), F.col("f.inputs"))
+    targets = (F.when(F.col("f.inputs").isNotNull(), F.col("f.inputs"))
                .when(~F.coalesce(F.col("f.display_only"), F.lit(False)), own))
     exploded = forms.select(F.col("id").alias("form_id"), field).select("form_id", F.explode(targets).alias("t"))
     return exploded.select("form_id", F.col("t.id").alias("field_id"), F.col("t.label").alias("label"))

@@ -4,56 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-SALTS = 16
 HOT_ROWS = 1_000_000
-BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def _salt(spread_by: Sequence[str], salts: int) -> Column:
-    # A hash of the row's own columns, so that a retried task lands on the same salt.
-    return F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+def lookup_join(rows: DataFrame, table: DataFrame, on: str, how: str = "left") -> DataFrame:
+    """Join many rows to a smaller table that has one row per key.
 
-
-def measured_bytes(table: DataFrame) -> int:
-    """The size of a table, by adding up the length of its values in one distributed pass."""
-    value = lambda c: F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8
-    row = sum((value(c) for c in table.columns), F.lit(16))
-    return table.agg(F.sum(row.cast("bigint"))).first()[0] or 0
-
-
-def lookup_join(rows: DataFrame, table: DataFrame, on: str, how: str = "left", *, spread_by: Sequence[str],
-                source: DataFrame | None = None, salts: int = SALTS,
-                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Join many rows to a far smaller table that has one row per key.
-
-    The table is measured first (or its `source`, the table it was made from row by row). Up to
-    `broadcast_bytes` it is broadcast, and the many rows stay where they are. Beyond that both sides
-    are shuffled, with the rows of one key spread over `salts` partitions and the table repeated for
-    each.
+    Nothing is measured beforehand. Adaptive execution knows the table's true size once it has been made: up to
+    `spark.sql.adaptive.autoBroadcastJoinThreshold` it is broadcast, beyond that the partitions of keys that hold
+    many rows are split.
     """
-    if measured_bytes(table if source is None else source) <= broadcast_bytes:
-        return rows.join(F.broadcast(table), on, how)
-    salted_rows = rows.withColumn("_salt", _salt(spread_by, salts))
-    salted_table = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_rows.join(salted_table, [on, "_salt"], how).drop("_salt")
+    return rows.join(table, on, how)
 
 
 def hot_key_join(rows: DataFrame, table: DataFrame, on: str, how: str = "left", *,
-                 spread_by: Sequence[str], salts: int = SALTS, hot_rows: int = HOT_ROWS) -> DataFrame:
+                 spread_by: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join rows with repeated keys to a table of like size that has one row per key.
 
-    Only keys with more than `hot_rows` rows are salted, and only their table rows are repeated.
-    There are at most rows / hot_rows such keys, about a million for 10**12 rows, so the list of
-    them (a key and a flag) is the one thing here that is safe to broadcast outright.
+    A key with more than `hot_rows` rows is spread over as many salts as it has times that many, and its
+    table row is repeated for each. A salt is a hash of the row's own columns, so a retried task lands on the same one.
     """
-    hot = F.broadcast(rows.groupBy(on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-                      .select(on, F.lit(True).alias("_hot")))
-    salted_rows = rows.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), _salt(spread_by, salts)).otherwise(0)).drop("_hot")
-    repeats = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_table = table.join(hot, on, "left").withColumn("_salt", F.explode(repeats)).drop("_hot")
+    counted = rows.groupBy(on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = counted.select(on, F.ceil(F.col("_n") / hot_rows).alias("_salts"))
+    salts = F.coalesce("_salts", F.lit(1))
+    salted_rows = rows.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread_by), salts)).drop("_salts")
+    salted_table = table.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("_salts")
     return salted_rows.join(salted_table, [on, "_salt"], how).drop("_salt")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tollbook.functions import calendar as cal, money, status as st
@@ -113,8 +115,12 @@ def request_payload(opened: DataFrame) -> DataFrame:
         phone(F.col("_mobile")).alias("mobile"))
 
 
-def apply_replies(entries: DataFrame, replies: DataFrame, gateway_name: str) -> DataFrame:
-    """Request replies (id, code): a failure marks the entry and leaves a note, success changes nothing."""
+def apply_replies(entries: DataFrame, replies: DataFrame, gateway_name: str, order: Sequence[str] = ()) -> DataFrame:
+    """Request replies (id, code): a failure marks the entry and leaves a note, success changes nothing.
+
+    Of several replies of an entry the last by `order` counts, and the largest code if they tie.
+    """
+    replies = first_per_key(replies, ["id"], [*order, "code"], last=True).select("id", "code")
     joined = entries.join(replies.withColumnRenamed("code", "_code"), "id", "left")
     failed = F.col("_code").isNotNull() & (F.col("_code") != st.SUCCESS_CODE)
     message = st.code_message(F.col("_code"), gateway_name)

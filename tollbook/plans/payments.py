@@ -39,7 +39,7 @@ def with_order_total(entries: DataFrame, order_totals: DataFrame) -> DataFrame:
 def with_form(entries: DataFrame, forms: DataFrame, *columns: str, how: str = "left") -> DataFrame:
     renamed = {"title": "form_title", "post_status": "form_post_status"}
     table = forms.select(F.col("id").alias("form_id"), *[F.col(c).alias(renamed.get(c, c)) for c in columns])
-    return lookup_join(entries, table, "form_id", how, spread_by=["id"])
+    return lookup_join(entries, table, "form_id", how)
 
 
 def start_payments(entries: DataFrame, feeds: DataFrame, order_totals: DataFrame,

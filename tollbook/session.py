@@ -14,10 +14,14 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     # Retried or replayed writes replace only the partitions they produce.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+#: The folder of each local session that names none.
+_own_folders: dict[str, str] = {}
+
 
 def build_session(app: str = "tollbook", cores: int | None = None, shuffle_partitions: int | None = None,
                   driver_memory: str | None = None) -> SparkSession:
@@ -45,9 +49,10 @@ def work_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    path = tempfile.mkdtemp(prefix="tollbook-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="tollbook-")
+    return _own_folders[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

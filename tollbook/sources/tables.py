@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -26,15 +29,35 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
     return spark.read.parquet(f"{path}/version={version}")
 
 
-def append_batch(df: DataFrame, path: str, batch: int) -> None:
-    """Append one batch of rows; a replayed batch replaces itself instead of doubling."""
-    (df.withColumn("batch", F.lit(batch)).write.partitionBy("batch")
+def append_batch(df: DataFrame, path: str, batch: int, stream: str | None = None) -> None:
+    """Append one batch of rows; a replayed batch replaces itself instead of doubling.
+
+    Batches of different streams on one path have numbers of their own.
+    """
+    named = df if stream is None else df.withColumn("stream", F.lit(stream))
+    (named.withColumn("batch", F.lit(batch)).write.partitionBy(*(["stream"] if stream else []), "batch")
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
 
 
-def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """All appended batches, with their number in `batch`."""
-    return spark.read.schema(f"{schema}, batch int").parquet(path)
+def read_batches(spark: SparkSession, path: str, schema: str, streams: bool = False) -> DataFrame:
+    """All appended batches, with their number in `batch` and, if they have one, their `stream`."""
+    return spark.read.schema(f"{schema}{', stream string' * streams}, batch int").parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str, schema: str) -> bool:
+    """Whether anything has been written to a path; other errors are errors."""
+    try:
+        spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def stream_name(checkpoint: str) -> str:
+    """A stream is known by its checkpoint, which is what numbers its batches."""
+    return "s" + hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
 
 def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> None:

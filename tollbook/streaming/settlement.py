@@ -8,19 +8,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tollbook.operators import settle as s
-from tollbook.sources.tables import append_batch, read_batches
+from tollbook.sources.tables import append_batch, path_exists, read_batches, stream_name
 
 SCHEMA = ("lead_id bigint, event_id bigint, ts timestamp_ntz, status_arg string, no_arg string, result_code int,"
           " ref_id string, outcome string, is_free boolean, message string")
 
 
 def settle_batch(spark: SparkSession, callbacks: DataFrame, batch: int, path: str, gateway_name: str,
-                 actions: Iterable[Callable[[DataFrame, int], None]] = ()) -> None:
+                 actions: Iterable[Callable[[DataFrame, int], None]] = (), stream: str = "s") -> None:
     """Settle one micro-batch: its first callback per entry, unless an earlier batch settled the entry.
 
     Entry ids grow with time and so do the written batches. Comparing with the id range of this batch
-    lets the scan of what is settled skip nearly every file. Rows of this batch's own number are not
-    looked at, so a replay writes the same rows again in their place.
+    lets the scan of what is settled skip nearly every file. Everything on the path counts as settled but the rows
+    of this very stream and batch, so a replay writes the same rows again in their place, and a stream that begins
+    anew on an old path neither loses nor doubles an entry.
     """
     first = s.first_callbacks(callbacks).persist()
     try:
@@ -28,39 +29,30 @@ def settle_batch(spark: SparkSession, callbacks: DataFrame, batch: int, path: st
         if low is None:
             return
         fresh = first
-        if batch > 0 and _exists(spark, path):
-            earlier = read_batches(spark, path, SCHEMA).where(F.col("lead_id").between(low, high))
-            fresh = first.join(earlier.where(F.col("batch") < batch).select("lead_id"), "lead_id", "left_anti")
+        if path_exists(spark, path, SCHEMA):
+            earlier = read_batches(spark, path, SCHEMA, streams=True).where(F.col("lead_id").between(low, high))
+            own = (F.col("stream") == stream) & (F.col("batch") == batch)
+            fresh = first.join(earlier.where(~own).select("lead_id"), "lead_id", "left_anti")
         settled = s.with_outcome(fresh, gateway_name)
-        append_batch(settled, path, batch)
+        append_batch(settled, path, batch, stream)
         for action in actions:
             action(settled, batch)
     finally:
         first.unpersist()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    from pyspark.errors import AnalysisException
-
-    try:
-        spark.read.schema(SCHEMA).parquet(path)
-    except AnalysisException:
-        return False
-    return True
-
-
 def start_settlement(callbacks: DataFrame, path: str, checkpoint: str, gateway_name: str = "Gateway",
                      actions: Iterable[Callable[[DataFrame, int], None]] = (), **trigger) -> StreamingQuery:
     """Settle callbacks as they arrive.
 
     `actions` are called with each batch of settled rows, again if the batch is replayed. Batches are
-    numbered by the checkpoint, so a path must keep the checkpoint it was started with.
+    numbered by the checkpoint and known by it.
     """
-    spark = callbacks.sparkSession
+    spark, stream = callbacks.sparkSession, stream_name(checkpoint)
     return (callbacks.writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda df, batch: settle_batch(spark, df, batch, path, gateway_name, actions))
+            .foreachBatch(lambda df, batch: settle_batch(spark, df, batch, path, gateway_name, actions, stream))
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
 def read_settled(spark: SparkSession, path: str) -> DataFrame:
-    return read_batches(spark, path, SCHEMA).drop("batch")
+    return read_batches(spark, path, SCHEMA, streams=True).drop("stream", "batch")

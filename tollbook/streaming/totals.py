@@ -1,48 +1,52 @@
-"""Running totals over a stream of leads."""
+"""Running totals over a stream of leads: partial sums per micro-batch, added up when read."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tollbook.functions import calendar as cal
 from tollbook.operators import totals as t
-from tollbook.sources.tables import append_batch, read_batches
+from tollbook.sources.tables import append_batch, path_exists, read_batches, stream_name
 
 SCHEMA = ("form_id bigint, payment_method string, bucket timestamp_ntz, revenue decimal(29,2),"
           " transactions bigint")
 
-UTC_ZONES = ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Universal", "Zulu")
 
+def batch_sums(leads: DataFrame, grain: str, offset: str | float) -> DataFrame:
+    """Paid sums of one micro-batch per (form, method) and hour or day of local time."""
+    (start,) = t.bucket(grain, offset).values()
+    return t.paid(leads).groupBy("form_id", "payment_method", start.cast("timestamp_ntz").alias("bucket")).agg(
+        F.sum("payment_amount").cast("decimal(29,2)").alias("revenue"), F.count("id").alias("transactions"))
 
-def windowed_totals(leads: DataFrame, grain: str, offset: str | float, late: str) -> DataFrame:
-    """Paid sums per (form, method) and tumbling hour or day of local time.
 
-    The state of a bucket is dropped once the watermark has passed it; rows later than `late` behind
-    the newest are ignored. Event time must carry a zone, so the session's has to be UTC.
+def start_totals(leads: DataFrame, path: str, checkpoint: str, grain: str = "hour", offset: str | float = 0,
+                 go_on: bool = False, **trigger) -> StreamingQuery:
+    """Write the sums of every micro-batch under its stream and number.
+
+    Buckets are added up when they are read, so there is no watermark and no state: a payment that is months late
+    counts like any other, and a replayed batch replaces itself. A path that another stream has begun is refused, as the
+    new stream may read the same payments again; `go_on` says that it reads only new ones.
     """
-    zone = leads.sparkSession.conf.get("spark.sql.session.timeZone")
-    if zone not in UTC_ZONES:
-        raise ValueError(f"windows of local time need a UTC session, not {zone}")
-    local = cal.to_local(F.col("payment_date"), offset).cast("timestamp")
-    buckets = t.paid(leads).withColumn("event_time", local).withWatermark("event_time", late)
-    sums = buckets.groupBy("form_id", "payment_method", F.window("event_time", f"1 {grain}")).agg(
-        F.sum("payment_amount").alias("revenue"), F.count("id").alias("transactions"))
-    return sums.select("form_id", "payment_method", F.col("window.start").cast("timestamp_ntz").alias("bucket"),
-                       "revenue", "transactions")
+    spark, stream = leads.sparkSession, stream_name(checkpoint)
+    if not go_on and path_exists(spark, path, SCHEMA):
+        others = read_batches(spark, path, SCHEMA, streams=True).where(F.col("stream") != stream)
+        if not others.isEmpty():
+            raise ValueError(f"{path} was begun by another stream")
+    return (leads.writeStream.option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda df, batch: append_batch(batch_sums(df, grain, offset), path, batch, stream))
+            .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def start_totals(leads: DataFrame, path: str, checkpoint: str, grain: str = "hour", offset: str | float = 0,
-                 late: str = "1 day", **trigger) -> StreamingQuery:
-    """Write the changed buckets of every micro-batch under its number; a replay replaces its own."""
-    sums = windowed_totals(leads, grain, offset, late)
-    return (sums.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda df, batch: append_batch(df, path, batch))
-            .trigger(**(trigger or {"availableNow": True})).start())
+def _summed(spark: SparkSession, path: str) -> DataFrame:
+    return read_batches(spark, path, SCHEMA, streams=True).groupBy("form_id", "payment_method", "bucket").agg(
+        F.sum("revenue").alias("revenue"), F.sum("transactions").alias("transactions"))
 
 
 def read_totals(spark: SparkSession, path: str) -> DataFrame:
-    """The newest sums of every bucket."""
-    newest = F.max_by(F.struct("revenue", "transactions"), F.col("batch")).alias("s")
-    rows = read_batches(spark, path, SCHEMA).groupBy("form_id", "payment_method", "bucket").agg(newest)
-    return t.money_as_double(rows.select("form_id", "payment_method", "bucket", "s.*"), "revenue")
+    """The sums of every bucket."""
+    return t.money_as_double(_summed(spark, path), "revenue")
+
+
+def read_scope_totals(spark: SparkSession, path: str) -> DataFrame:
+    """The sums of every bucket in all four scopes."""
+    return t.money_as_double(t.scope_rollup(_summed(spark, path), "bucket"), "revenue")

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from tollbook.operators import feeds as fd, forms as fm, settle as s
 
-ENTRY = "id int, form_id int, answers map<string,string>, hidden array<string>, form_field_ids array<string>, is_delayed string"
+ENTRY = "id int, form_id int, answers map<string,string>, hidden array<string>, form_field_ids array<string>, is_delayed boolean"
 FEED = "id int, form_id int, is_active int, meta string"
 
 
 def _entries(spark):
-    return spark.createDataFrame([(k, k, {"input_1": "a"}, [], ["1"], "1" if k == 9 else "") for k in range(1, 10)], ENTRY)
+    return spark.createDataFrame([(k, k, {"input_1": "a"}, [], ["1"], k == 9) for k in range(1, 10)], ENTRY)
 
 
 def test_feeds_without_settings_and_rules_on_unknown_fields(spark):

@@ -178,6 +178,7 @@ def _components(rows, width, percent):
 @pytest.mark.parametrize("width, percent, bucket", [(4, 85, 8), (5, 80, 2), (4, 85, 2)])
 def test_jaccard_join(docs, none, monkeypatch, width, percent, bucket):
     monkeypatch.setattr(partenum, "BUCKET", bucket)
+    monkeypatch.setattr(partenum, "BLOCK", 4 * bucket - 5)
     rows = [(i, t) for i, t, *_ in sample()]
     assert Counter(map(tuple, partenum.classes(docs, width, percent).collect())) == _components(rows, width, percent)
 
@@ -202,6 +203,32 @@ def test_signatures_meet():
             assert given[0] & given[1]
 
 
+def test_bitmaps_keep_links():
+    rng = np.random.default_rng(8)
+    for size in (1, 5, 40, 300, 20_000):
+        for percent in (80, 85):
+            a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+            for share in (0, 0.05, 0.1, 0.2):
+                b = np.unique(np.r_[a[int(share * len(a)) :], rng.integers(0, 1 << 63, len(a) // 12).astype(np.uint64)])
+                both = len(np.intersect1d(a, b))
+                x = partenum.folded([partenum.parities(s, percent) for s in (a, b)])
+                kept = partenum.may_link(x[0], len(a), x[1:], np.array([len(b)]), percent)[0]
+                assert kept or 100 * both < percent * (len(a) + len(b) - both)
+
+
+def test_buckets_over_many_batches(spark):
+    """A bucket that goes on over batches gives each of its sets once, and the sizes of the others stay right."""
+    rows = [(7, 2 * i) for i in range(5000)] * 2 + [(9, 2 * i) for i in range(3)] + [(8, 4)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 700)
+    try:
+        found = partenum.buckets(spark.createDataFrame(rows, "sig long, member long")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(r.a for r in found if r.sig == 7) == [2 * i for i in range(5000)]
+    assert sorted((r.a, r.b) for r in found if r.sig is None) == [(0, 2), (0, 4), (2, 4)]
+    assert {r.sig for r in found} == {None, 7}
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 7), (50, 51), (51, 50), (60, 60), (-3, 52), (52, 51)]
     found = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}

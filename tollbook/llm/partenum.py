@@ -7,16 +7,18 @@ are equal; the signature of a part is a hash of all that the set holds there. Th
 
 A part with fewer than HEAVY shingles says little, so a set leaves such parts out, unless it has so many of them that
 all its equal parts might be among them. Whether a part is light depends on what it holds alone, so equal parts are left out
-on both sides or on none, and no link is lost. Signatures that more than BUCKET sets share are left out in the same way: there are
-some parts more than needed (SLACK), and a set that misses no more than these still meets its partners elsewhere. Only
-the sets that miss more are compared inside such large buckets.
+on both sides or on none, and no link is lost. There are some parts more than needed (SLACK), so a set may leave out as many
+signatures: those of its largest buckets, if these have more than BUCKET sets. All sets order buckets alike, so the last one
+that two linked sets share comes after as many others as either may leave out, and both are still in it.
 
 Sets that are equal are one node from the start (a 63-bit hash of the set). All pairs of a bucket of at most BUCKET sets are
-candidates. In a large bucket, sets are compared with its first one; buckets whose sets are all in one component are done;
-the others go on with further sets of the bucket as leaders, four times as many each turn, against sets of other
-components only. Sets that are in the most buckets come first, as they are in the middle of a group. So a large group of near copies costs a star and not all its pairs, and still no pair that could join
-two components stays unseen. A candidate pair is first held against a byte per part, as linked sets differ in no more
-parts than they may differ in shingles, and what is left against the whole sets.
+candidates. In a large bucket, sets are first compared with the one that is in the most buckets, so a large group of near
+copies costs a star and not all its pairs. A large bucket whose sets are then not all in one component is cut into blocks,
+and each two blocks meet in a task, which holds sets of different components against each other by the parities of their
+shingles (a bitmap; linked sets differ in no more bits than shingles) and gives only the pairs that may link: first those
+that join the block's components, and, once these are decided, all that are left. So a group that lies just under the
+similarity costs bitmaps in memory and no rows, and no pair that could join two components stays unseen. Candidates are held
+against the whole sets in the end.
 
 A text with fewer words than a shingle has its whole sequence as its one shingle. A text without words, or null, has no
 shingle and is linked with nothing. Repeated rows are equal sets. Rows of one doc_id are one document if their texts are
@@ -39,6 +41,10 @@ HEAVY = 2
 BUCKET = 8
 #: One part in so many is there only to be left out.
 SLACK = 4
+#: Sets of a large bucket that are compared in one task, against as many others.
+BLOCK = 1024
+#: Bits of a set's bitmap: at least so many for each shingle in which linked sets may differ, but no more than MOST_BITS.
+BITS, MOST_BITS = 32, 1 << 16
 #: Words whose hash a worker remembers.
 WORDS = 500_000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -109,6 +115,32 @@ def parts_of(found: np.ndarray, percent: int, ends: np.ndarray):
         yield sigs, given, spare
 
 
+def parities(found: np.ndarray, percent: int) -> bytes:
+    """A bit for each place, the parity of the shingles there; half as many places are the two halves, XORed."""
+    differ = 2 * len(found) * (100 - percent) // (100 + percent)
+    places = min(max(64, 1 << (BITS * differ).bit_length()), MOST_BITS)
+    held = np.bincount((found & np.uint64(places - 1)).astype(np.int64), minlength=places)
+    return np.packbits((held & 1).astype(bool)).tobytes()
+
+
+def folded(bitmaps: list) -> np.ndarray:
+    """Bitmaps of one size, that of the smallest, as rows of 64-bit words."""
+    words = min(len(x) for x in bitmaps) // 8
+    out = np.empty((len(bitmaps), words), np.uint64)
+    for i, x in enumerate(bitmaps):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, words), axis=0)
+    return out
+
+
+def may_link(x: np.ndarray, n: int, y: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets, of so many shingles and with bitmaps y, may be linked with the set of bitmap x and n shingles."""
+    near = (100 * np.minimum(n, sizes) >= percent * np.maximum(n, sizes))
+    at = np.flatnonzero(near)
+    differ = np.bitwise_count(y[at] ^ x).sum(axis=1, dtype=np.int64)
+    near[at] = differ * (100 + percent) <= (n + sizes[at]) * (100 - percent)
+    return near
+
+
 class Bands:
     """Band ends for sets of any size."""
 
@@ -121,11 +153,11 @@ class Bands:
         return self.ends
 
 
-NODES = ("doc_id long, n_shingles long, node long, spare_own int, spare_next int, own binary, next binary")
+NODES = "doc_id long, n_shingles long, node long, spare_own int, spare_next int, bits binary"
 
 
 def node_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles and node (null for an empty set) of every row, with a byte for each part in both bands."""
+    """doc_id, n_shingles and node (null for an empty set) of every row, with the signatures it may leave out in both bands and its bitmap."""
 
     def make():
         known = Bands(percent)
@@ -135,16 +167,14 @@ def node_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
             for text in texts:
                 found = shingles(text, width)
                 if not len(found):
-                    rows.append((0, None, None, None, None, None))
+                    rows.append((0, None, None, None, None))
                     continue
-                both = list(parts_of(found, percent, known.of(len(found))))
-                rows.append((len(found), node_of(found), *(x[2] for x in both),
-                             *((x[0] >> np.uint64(56)).astype(np.uint8).tobytes() for x in both)))
-            n, node, own_spare, next_spare, own, next_ = zip(*rows)
+                spares = [x[2] for x in parts_of(found, percent, known.of(len(found)))]
+                rows.append((len(found), node_of(found), *spares, parities(found, percent)))
+            n, node, own, next_, bits = zip(*rows)
             return {"doc_id": pa.array(ids, pa.int64()), "n_shingles": pa.array(n, pa.int64()),
-                    "node": pa.array(node, pa.int64()), "spare_own": pa.array(own_spare, pa.int32()),
-                    "spare_next": pa.array(next_spare, pa.int32()), "own": pa.array(own, pa.binary()),
-                    "next": pa.array(next_, pa.binary())}
+                    "node": pa.array(node, pa.int64()), "spare_own": pa.array(own, pa.int32()),
+                    "spare_next": pa.array(next_, pa.int32()), "bits": pa.array(bits, pa.binary())}
 
         return fn
 
@@ -183,13 +213,19 @@ def buckets(sigs: DataFrame) -> DataFrame:
     """Pairs a < b of members (sig is null) from buckets of two to BUCKET, and the rows (sig, a) of larger ones."""
 
     def run(batches):
-        left = (np.zeros(0, np.int64),) * 2
+        left, flushed = (np.zeros(0, np.int64),) * 2, None
+
+        def large_rows(sig, member):
+            return pa.RecordBatch.from_pydict(
+                {"sig": pa.array(sig), "a": pa.array(member), "b": pa.nulls(len(sig), pa.int64())})
 
         def grouped(sig, member):
             fresh = np.r_[True, (sig[1:] != sig[:-1]) | (member[1:] != member[:-1])]
             sig, member = sig[fresh], member[fresh]
             start = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
             size = np.diff(np.r_[start, len(sig)])
+            if sig[0] == flushed:
+                size[0] += BUCKET
             pairs = []
             for n in range(2, BUCKET + 1):
                 of = member[start[size == n][:, None] + np.arange(n)]
@@ -199,11 +235,9 @@ def buckets(sigs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({
                     "sig": pa.nulls(len(pairs), pa.int64()), "a": pa.array(np.ascontiguousarray(pairs[:, 0])),
                     "b": pa.array(np.ascontiguousarray(pairs[:, 1]))})
-            large = np.repeat(size > BUCKET, size)
+            large = np.repeat(size > BUCKET, np.diff(np.r_[start, len(sig)]))
             if large.any():
-                yield pa.RecordBatch.from_pydict({
-                    "sig": pa.array(sig[large]), "a": pa.array(member[large]),
-                    "b": pa.nulls(int(large.sum()), pa.int64())})
+                yield large_rows(sig[large], member[large])
 
         for batch in batches:
             sig = np.concatenate([left[0], batch.column(0).to_numpy()])
@@ -212,6 +246,10 @@ def buckets(sigs: DataFrame) -> DataFrame:
             if cut:
                 yield from grouped(sig[:cut], member[:cut])
             left = (sig[cut:], member[cut:])
+            distinct = np.unique(left[1])
+            if len(distinct) > BUCKET + 1:  # large already: a few sets stay, so that what follows is known to be large too
+                yield large_rows(np.full(len(distinct) - 1, sig[-1]), distinct[:-1])
+                left, flushed = (left[0][-1:], left[1][-1:]), sig[-1]
         if len(left[0]):
             yield from grouped(*left)
 
@@ -220,45 +258,94 @@ def buckets(sigs: DataFrame) -> DataFrame:
 
 
 def large_buckets(shared: DataFrame, parts: DataFrame) -> DataFrame:
-    """sig, node, place (from 0) and size: the rows of large buckets that still have to be compared there."""
+    """sig, node, leader and size: the rows of large buckets that still have to be compared there."""
     rows = shared.filter("sig is not null").select("sig", F.col("a").alias("member"))
+    rows = rows.join(rows.groupBy("sig").agg(F.count("*").alias("size")), "sig")
+    of = Window.partitionBy("member")  # at most the parts of a set
     even = F.col("member").bitwiseAND(F.lit(-2))
-    left_out = rows.groupBy("member").agg(F.count("*").alias("n")).withColumn("node", even).join(parts, "node")
+    rows = rows.select(
+        "sig", "member", even.alias("node"), F.count("*").over(of).alias("n"),
+        F.row_number().over(of.orderBy(F.desc("size"), "sig")).alias("rank"))
     spare = F.when(F.col("member") == F.col("node"), F.col("spare_own")).otherwise(F.col("spare_next"))
-    short = left_out.filter(F.col("n") > spare).select("member", "n")
-    rows = rows.join(short, "member").select("sig", even.alias("node"), "n")
-    sizes = rows.groupBy("sig").agg(F.count("*").alias("size")).filter("size > 1")
-    # Sets of the most buckets lead: those in the middle of a group, and the same ones in all its buckets.
-    place = F.row_number().over(Window.partitionBy("sig").orderBy(F.desc("n"), "node")) - 1
-    return rows.join(sizes, "sig").select("sig", "node", place.cast("long").alias("place"), "size")
+    rows = rows.join(parts.select("node", "spare_own", "spare_next"), "node").filter(F.col("rank") > spare)
+    # The set of the most buckets leads: one in the middle of a group, and the same one in all its buckets.
+    first = rows.groupBy("sig").agg(
+        F.count("*").alias("size"), F.max(F.struct("n", "node")).getField("node").alias("leader")).filter("size > 1")
+    return rows.join(first, "sig").select("sig", "node", "leader", "size")
 
 
 def possible(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """The pairs that differ in no more parts than linked sets may."""
+    """The pairs whose bitmaps do not rule out a link."""
 
     def run(batches):
         for batch in batches:
-            columns = [batch.column(c) for c in ("size_a", "size_b", "own_a", "own_b", "next_a", "next_b")]
-            keep = []
-            ends = bands(percent, 1 << 16)
-            for n, m, *bytes_ in zip(*columns):
-                n, m = n.as_py(), m.as_py()
-                if 100 * min(n, m) < percent * max(n, m):
-                    keep.append(False)
-                    continue
-                if 2 * max(n, m) > ends[-1]:
-                    ends = bands(percent, 4 * max(n, m))
-                x, y = (int(np.searchsorted(ends, size)) for size in (n, m))
-                of = (bytes_[0] if x >= y else bytes_[2]), (bytes_[1] if y >= x else bytes_[3])
-                p, q = (np.frombuffer(v.as_buffer(), np.uint8) for v in of)
-                differ = 2 * int(ends[max(x, y)]) * (100 - percent) // (100 + percent)
-                keep.append(int((p != q).sum()) <= differ)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    of = lambda c: parts.select(F.col("node").alias(c), *(
-        F.col(x).alias(f"{y}_{c}") for x, y in (("n_shingles", "size"), ("own", "own"), ("next", "next"))))
+            n, m = (batch.column(c).to_numpy() for c in ("size_a", "size_b"))
+            keep = np.zeros(len(n), bool)
+            for i, both in enumerate(zip(batch.column("bits_a"), batch.column("bits_b"))):
+                x = folded([v.as_buffer() for v in both])
+                keep[i] = may_link(x[0], int(n[i]), x[1:], m[i : i + 1], percent)[0]
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    of = lambda c: parts.select(
+        F.col("node").alias(c), F.col("n_shingles").alias(f"size_{c}"), F.col("bits").alias(f"bits_{c}"))
     return pairs.join(of("a"), "a").join(of("b"), "b").select(
-        "a", "b", "size_a", "size_b", "own_a", "own_b", "next_a", "next_b").mapInArrow(run, "a long, b long")
+        "a", "b", "size_a", "size_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
+
+
+def block_pairs(members: DataFrame, parts: DataFrame, percent: int, every: bool) -> DataFrame:
+    """Pairs a < b of sets that share a bucket, are of different roots and may link, from blocks of the buckets.
+
+    All of them if every; else of each two blocks the pairs that would join all roots there that could be joined."""
+
+    def compare(rows: pa.Table):
+        i, j, block, node, root, size = (rows.column(c).to_numpy() for c in ("i", "j", "block", "node", "root", "size"))
+        bits = folded([x.as_buffer() for x in rows.column("bits").combine_chunks()])
+        root = np.unique(root, return_inverse=True)[1]
+        same = i[0] == j[0]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        found = []
+        for k, x in enumerate(left):
+            others = right[k + 1 :] if same else right
+            others = others[root[others] != root[x]]
+            if not len(others):
+                continue
+            hits = others[may_link(bits[x], int(size[x]), bits[others], size[others], percent)]
+            if not every and len(hits):
+                joined, at = np.unique(root[hits], return_index=True)
+                hits = hits[at]
+                root[np.isin(root, joined)] = root[x]
+            found.append(np.stack([np.full(len(hits), node[x]), node[hits]], axis=1))
+        return np.sort(np.concatenate(found), axis=1) if found else np.zeros((0, 2), np.int64)
+
+    def run(batches):
+        left = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch] if left is None else [*left.to_batches(), batch])
+            keys = np.stack([rows.column(c).to_numpy() for c in ("sig", "i", "j")], axis=1)
+            starts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1)]
+            for x, y in zip(starts, starts[1:]):
+                yield from out(compare(rows.slice(x, y - x)))
+            left = rows.slice(starts[-1])  # the last group may go on
+        if left is not None:
+            yield from out(compare(left))
+
+    def out(pairs):
+        if len(pairs):
+            yield pa.RecordBatch.from_pydict({"a": pa.array(np.ascontiguousarray(pairs[:, 0])),
+                                              "b": pa.array(np.ascontiguousarray(pairs[:, 1]))})
+
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = members.select("sig", "node", "root", blocks.alias("blocks"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                         "block", "node", "root")
+    held = parts.select("node", F.col("n_shingles").alias("size"), "bits")
+    return (dealt.join(held, "node").select("sig", "i", "j", "block", "node", "root", "size", "bits")
+            .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+            .mapInArrow(run, "a long, b long").distinct())
 
 
 def set_rows(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -307,36 +394,27 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     shared = kept_table(buckets(signature_rows(docs, width, percent)), "buckets")
     large = kept_table(large_buckets(shared, parts), "large")
 
-    def check(pairs: DataFrame) -> DataFrame:
-        near = kept_table(possible(pairs, parts, percent), "pairs")
+    def check(near: DataFrame) -> DataFrame:
+        near = kept_table(near, "pairs")
         wanted = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
         return kept_table(linked(near, set_rows(docs, nodes, wanted, width), percent), "links")
 
-    first = large.filter("place = 0").select("sig", F.col("node").alias("a"))
-    ordered = lambda: (F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-    star = large.filter("place > 0").join(first, "sig").select(*ordered())
+    star = large.filter("node <> leader").select(
+        F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
     tested = shared.filter("sig is null").select("a", "b").unionByName(star).distinct()
-    links = check(tested)
+    links = check(possible(tested, parts, percent))
     roots = kept_table(components(links), "roots")
-    low, high = 1, 4
-    while True:
-        members = large.filter(F.col("size") > low + 1).join(roots, "node", "left").withColumn(
+    for every in (False, True):
+        members = large.select("sig", "node", "size").join(roots, "node", "left").withColumn(
             "root", F.coalesce("root", "node"))
         open_ = members.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
         members = kept_table(members.join(open_.select("sig"), "sig", "left_semi"), "members")
         if members.isEmpty():
             break
-        leaders = members.filter((F.col("place") >= low) & (F.col("place") < high)).select(
-            "sig", F.col("node").alias("a"), F.col("place").alias("at"), F.col("root").alias("root_a"))
-        pairs = members.join(leaders, "sig").filter("place > at and root <> root_a").select(
-            *ordered()).distinct()
-        pairs = kept_table(pairs.join(tested, ["a", "b"], "left_anti"), "more")
-        found = check(pairs)
-        tested = tested.unionByName(pairs)
+        found = check(block_pairs(members, parts, percent, every))
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = kept_table(components(links), "roots")
-        low, high = high, 4 * high
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return named.join(least, "root", "left").select(

@@ -372,6 +372,46 @@ def test_leaks_in_blocks(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in found} == {(k, k) for k, _ in items}
 
 
+def _longest(a: list, b: list) -> int:
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def test_leaks_without_rare_words_equal_brute_force(spark):
+    """Copies whose rarest words are replaced, next to words that no document holds, against LCS of every window."""
+    rng = np.random.default_rng(4)
+    common, rare = [f"c{x}x" for x in range(60)], [f"r{x}x" for x in range(4000)]
+    items, rows = [], []
+    for k in range(24):
+        item = [str(w) for w in rng.choice(common, 24)] + [str(w) for w in rng.choice(rare, 8)]
+        rng.shuffle(item)
+        body, last = item[:26], item[26:]
+        items.append((k, " ".join(body) + ". " + " ".join(last) + "."))
+        gone = [i for i in range(26) if body[i] in rare][: 8 - k % 3]
+        copy = [f"other{k}x{i}" if i in gone else w for i, w in enumerate(body)] + last
+        around = [str(w) for w in rng.choice(common, 80)]
+        rows.append((k, " ".join([*around[:40], *copy, *around[40:]])))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in
+             decontaminate.leaks(table, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    wanted, width = set(), decontaminate.close_width(32)
+    for k, item in items:
+        words_, last = [decontaminate.plain(w) for w in item.split()], {decontaminate.plain(w) for w in decontaminate.answer(item).split()}
+        for doc, text in (rows[k], rows[(k + 1) % 24]):
+            text = text.split()
+            for a in range(len(text) - width + 1):
+                share = _longest(words_, text[a : a + width]) / len(words_)
+                if share >= 0.8 or share >= 0.6 and last <= set(text[a : a + width]):
+                    wanted.add((doc, k))
+                    break
+    assert len(wanted) >= 24 and wanted <= found
+
+
 def test_lcs_equals_table():
     rng = np.random.default_rng(8)
     for _ in range(50):

@@ -372,6 +372,24 @@ def test_leaks_in_blocks(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in found} == {(k, k) for k, _ in items}
 
 
+@pytest.mark.parametrize("n", [4, 6, 400, 5000])
+def test_leaks_of_short_and_long_items(spark, n):
+    """A copy word for word is found whatever the item's length, and only where it stands."""
+    items = [(k, words(2000 + k, n, 9000)) for k in range(16 if n < 5000 else 2)]
+    rows = [(k, words(k, 300, 9000) + " " + t + " " + words(50 + k, 300, 9000)) for k, t in items]
+    found = decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"),
+                                spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert Counter((r.doc_id, r.item_id) for r in found) == Counter((k, k) for k, _ in items)
+    assert all(r.lcs == 1.0 for r in found)
+
+
+def test_leaks_are_those_of_whole_items(spark):
+    """Words of an item behind the first 4,096 count."""
+    item = words(1, 4096, 9000) + " " + words(2, 8000, 9000)
+    table = spark.createDataFrame([(1, words(1, 4096, 9000))], "doc_id long, text string")
+    assert decontaminate.leaks(table, spark.createDataFrame([(1, item)], "item_id long, text string")).count() == 0
+
+
 def _longest(a: list, b: list) -> int:
     row = [0] * (len(b) + 1)
     for x in a:

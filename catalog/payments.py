@@ -166,7 +166,11 @@ BASE = (LEADS, ENTRIES, FEEDS, ORDER_TOTALS, CALLBACKS, MESSAGES, MATCHED)
 SELECT lead_id, outcome, is_free, ts AS payment_date, payment_status AS before, new_status, CAST(new_amount AS DOUBLE) AS new_amount,
   new_fulfilled, new_method, new_transaction_id, new_transaction_type, message FROM settled"""))
 def settle(spark, folder):
-    return _settled(spark, folder).select(
+    return payment_records(_settled(spark, folder))
+
+
+def payment_records(settled):
+    return settled.select(
         "lead_id", "outcome", "is_free", F.col("ts").alias("payment_date"), F.col("payment_status").alias("before"),
         "new_status", F.col("new_amount").cast("double"), "new_fulfilled", "new_method", "new_transaction_id",
         "new_transaction_type", "message")

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from catalog import query
+from catalog import ORACLES, payments as batch, query
 from catalog.views import HOURLY, MESSAGES, PAID, sql
+from tollbook.operators.totals import order_totals
 from tollbook.session import new_path
 from tollbook.sources import site
 from tollbook.sources.tables import scan
 from tollbook.streaming import settlement, totals
 
 
-def _stream(spark, folder):
-    schema = scan(spark, folder, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+def _stream(spark, folder, table="events"):
+    schema = scan(spark, folder, table).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(folder)
 
 
 def _stream_totals(grain):
@@ -47,3 +48,14 @@ def stream_settle(spark, folder):
     calls = site.event_callbacks(_stream(spark, folder))
     settlement.start_settlement(calls, path, checkpoint).awaitTermination()
     return settlement.read_settled(spark, path).select("lead_id", "event_id", "ts", "outcome", "is_free", "message")
+
+
+@query("stream_payments", ORACLES["settle"])
+def stream_payments(spark, folder):
+    """The records of `settle`, from a stream of its callbacks."""
+    path, checkpoint = new_path(spark, "payments"), new_path(spark, "payments-checkpoint")
+    tables = settlement.PaymentTables(site.entries(spark, folder), site.lead_meta(spark, folder), site.feeds(spark, folder),
+                                      order_totals(site.order_lines(spark, folder)))
+    calls = site.line_callbacks(_stream(spark, folder, "lineitem"))
+    settlement.start_settlement(calls, path, checkpoint, tables=tables).awaitTermination()
+    return batch.payment_records(settlement.read_payments(spark, path))

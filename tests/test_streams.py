@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tollbook.operators import settle as s, totals as t
+from tollbook.plans import payments as pay
 from tollbook.sources import site
 from tollbook.sources.tables import scan
 from tollbook.streaming import settlement, totals
@@ -69,6 +70,24 @@ def test_one_batch_equals_the_batch_job(spark, folder, tmp_path):
     assert _rows(got.select(*wanted.columns)) == _rows(wanted)
 
 
+def test_payments_of_a_stream_equal_settle(spark, folder, tmp_path):
+    """Callbacks in the order of their time, a batch each quarter: records, notes, attributes and entries of the batch job."""
+    lines = scan(spark, folder, "lineitem")
+    ends = lines.agg(F.percentile_approx("l_shipdate", [0.25, 0.5, 0.75])).first()[0]
+    part = sum((F.col("l_shipdate") > F.lit(e)).cast("int") for e in ends)
+    path = str(tmp_path / "payments")
+    tables = settlement.PaymentTables(site.entries(spark, folder), site.lead_meta(spark, folder), site.feeds(spark, folder),
+                                      t.order_totals(site.order_lines(spark, folder)))
+    for n in [0, 1, 1, 2, 3, 0]:  # two batches are replayed
+        settlement.settle_batch(spark, site.line_callbacks(lines.where(part == n)), n, path, "Gateway", tables=tables)
+    wanted = pay.settle_callbacks(site.callbacks(spark, folder), *tables)
+    got = settlement.read_payments(spark, path)
+    assert 0 < got.count() < s.first_callbacks(site.callbacks(spark, folder)).count()
+    assert _rows(got) == _rows(wanted.select(got.columns))
+    for of in (s.settlement_notes, s.settled_attribute_keys, lambda df: pay.settled_entries(tables.entries, df).drop("answers")):
+        assert _rows(of(got)) == _rows(of(wanted))
+
+
 def test_an_empty_batch_writes_nothing(spark, folder, tmp_path):
     calls = site.event_callbacks(scan(spark, folder, "events")).limit(0)
     settlement.settle_batch(spark, calls, 0, str(tmp_path / "none"), "Gateway")

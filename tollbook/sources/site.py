@@ -200,10 +200,15 @@ def forms(spark: SparkSession, folder: str) -> DataFrame:
 
 def callbacks(spark: SparkSession, folder: str) -> DataFrame:
     """Gateway callbacks, several per lead; only the first of a lead may count."""
+    return line_callbacks(scan(spark, folder, "lineitem"))
+
+
+def line_callbacks(lines: DataFrame) -> DataFrame:
+    """Callbacks from the line table or a stream of it."""
     flag = F.col("l_returnflag")
     failed = F.expr("element_at(array(-1, -2, -11, -22, -33, 7, 101), l_linenumber)")
     rejected = (flag == "A") & (F.col("l_linestatus") == "F")
-    return scan(spark, folder, "lineitem").select(
+    return lines.select(
         (F.col("l_partkey") * 8 + F.col("l_linenumber")).alias("event_id"), F.col("l_shipdate").alias("ts"),
         F.col("l_orderkey").alias("lead_id"),
         F.when(flag == "R", "OK").when(rejected, "ok").otherwise("NOK").alias("status_arg"),

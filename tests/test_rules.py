@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from tollbook.operators import feeds as fd, forms as fm, settle as s
@@ -56,3 +58,14 @@ def test_building_queries_runs_no_measuring(spark, folder):
         assert all(stage is None or stage.numTasks <= 1 for stage in stages)
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_settings_without_a_name_of_their_own_survive(spark):
+    texts = ['{"type":"product","conf_1":["a"],"colour":"1","size":1,"deep":{"x":[1,"2"]},"none":null}', '{"only":"other"}',
+             '{"type":"product"}', "{}", "not json", None]
+    feeds = spark.createDataFrame(list(enumerate(texts)), "id int, meta string")
+    decoded = fd.decode_meta(feeds)
+    after = {r.id: r.meta for r in fd.encode_meta(decoded).collect()}
+    assert fd.encode_meta(decoded).columns == feeds.columns
+    assert [json.loads(after[i]) for i in range(4)] == [json.loads(t) for t in texts[:4]]
+    assert after[5] is None

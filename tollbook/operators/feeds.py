@@ -28,6 +28,8 @@ META_SCHEMA = ", ".join([
     "customer_fields_email string", "customer_fields_mobile string",
 ])
 
+META_NAMES = tuple(part.split(" ")[0] for part in META_SCHEMA.split(", "))
+
 # Field types a rule may test.
 RULE_FIELD_TYPES = (
     "checkbox", "radio", "select", "text", "website", "textarea", "email", "hidden", "number", "phone",
@@ -39,8 +41,11 @@ REGISTRATION_ADDON = "user_registration"
 
 
 def decode_meta(feeds: DataFrame, column: str = "meta") -> DataFrame:
-    """The settings text as a struct."""
-    return feeds.withColumn(column, F.from_json(F.col(column), META_SCHEMA))
+    """The settings text as a struct; settings that META_SCHEMA does not name are kept, with their types, in `<column>_other`."""
+    return feeds.withColumns({
+        column: F.from_json(F.col(column), META_SCHEMA),
+        f"{column}_other": F.map_filter(F.from_json(F.col(column), "map<string,variant>"), lambda k, _: ~k.isin(*META_NAMES)),
+    })
 
 
 def has_settings(text: Column) -> Column:
@@ -49,7 +54,15 @@ def has_settings(text: Column) -> Column:
 
 
 def encode_meta(feeds: DataFrame, column: str = "meta") -> DataFrame:
-    return feeds.withColumn(column, F.to_json(column))
+    """The settings as text again, with those of `<column>_other` if it is there."""
+    other = f"{column}_other"
+    known = F.to_json(column)
+    if other not in feeds.columns:
+        return feeds.withColumn(column, known)
+    more = F.to_json(other)
+    both = (F.when(F.coalesce(F.size(other), F.lit(0)) <= 0, known).when(known == "{}", more)
+            .otherwise(F.concat(F.left(known, F.length(known) - 1), F.lit(","), F.right(more, F.length(more) - 1))))
+    return feeds.withColumn(column, both).drop(other)
 
 
 def feed_by_id(feeds: DataFrame, feed_id: int) -> DataFrame:

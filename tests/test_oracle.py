@@ -7,7 +7,6 @@ import pytest
 import __spark_entry__ as entry
 import catalog
 from compare import compare, connect
-from tollbook.llm import queries as llm
 
 
 @pytest.fixture(scope="module")
@@ -31,10 +30,3 @@ def test_entry_is_the_cube(spark):
     df = entry.entry(spark)
     assert df.columns == ["scope", "form_id", "payment_method", "revenue", "transactions"]
     assert df.count() > 0
-
-
-@pytest.mark.parametrize("name", sorted(llm.ORACLES))
-def test_llm_query_equals_sql(spark, connection, folder, name):
-    count, problem = compare(spark, connection, folder, name)
-    assert not problem
-    assert count

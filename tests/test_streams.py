@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tollbook.operators import settle as s, totals as t
 from tollbook.plans import payments as pay
 from tollbook.sources import site
+from tollbook.sources.segments import listed
 from tollbook.sources.tables import scan
 from tollbook.streaming import settlement, totals
 
@@ -115,3 +116,30 @@ def test_totals_refuse_a_path_of_another_stream(spark, folder, files, tmp_path):
         totals.start_totals(leads(), path, str(tmp_path / "two"), "day")
     scopes = {r.scope for r in totals.read_scope_totals(spark, path).collect()}
     assert scopes == {"form_method", "form", "method", "site"}
+
+
+def test_settling_through_folds_equals_settle(spark, folder, tmp_path):
+    """Many small batches, some replayed, each key table folded on the way: every entry settles once."""
+    calls = site.event_callbacks(scan(spark, folder, "events"))
+    path, wanted = str(tmp_path / "settled"), s.first_callbacks(calls)
+    hours = [r.h for r in calls.select(F.date_trunc("day", "ts").alias("h")).distinct().orderBy("h").collect()][:12]
+    for n, day in enumerate(hours):
+        some = calls.where(F.date_trunc("day", "ts") == F.lit(day))
+        for _ in range(2 if n % 5 == 4 else 1):
+            settlement.settle_batch(spark, some, n, path, "Gateway", fanout=2)
+    state = listed(spark, settlement.settled_table(path, 2))
+    assert max(x["level"] for x in state["segments"]) >= 2
+    settled = settlement.read_settled(spark, path)
+    upto = wanted.where(F.date_trunc("day", "ts") <= F.lit(hours[-1]))
+    assert _rows(settled.select("lead_id", "event_id")) == _rows(upto.select("lead_id", "event_id"))
+
+
+def test_scope_totals_through_folds(spark, folder, tmp_path):
+    path = str(tmp_path / "out")
+    leads = site.hourly_leads(spark, folder)
+    for n in range(7):
+        totals.append(totals.batch_sums(leads.where(F.col("id") % 7 == n), "day", "+03:30"), totals.sums_table(path, 2), n, "s")
+    wanted = t.scope_rollup(t.bucket_facts(leads, "day", "+03:30", ("form_id", "payment_method")), "local_day")
+    wanted = wanted.withColumn("local_day", F.col("local_day").cast("timestamp_ntz")).withColumnRenamed("local_day", "bucket")
+    got = totals.read_scope_totals(spark, path)
+    assert _rows(got) == _rows(t.money_as_double(wanted, "revenue").select(*got.columns))

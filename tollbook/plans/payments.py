@@ -74,16 +74,15 @@ def enrich_callbacks(callbacks: DataFrame, entries: DataFrame, meta: DataFrame,
                             .withColumn("id", F.col("event_id")), feeds).drop("id")
 
 
-def match_callbacks(callbacks: DataFrame, entries: DataFrame, meta: DataFrame, feeds: DataFrame,
-                    order_totals: DataFrame, gateway: str = GATEWAY, gateway_name: str = "Gateway",
-                    settings: tuple[str, ...] = AMOUNT_SETTINGS) -> DataFrame:
-    """First callbacks of open entries, with everything that settling them needs.
+def match_first_callbacks(first: DataFrame, entries: DataFrame, meta: DataFrame, feeds: DataFrame,
+                          order_totals: DataFrame, gateway: str = GATEWAY, gateway_name: str = "Gateway",
+                          settings: tuple[str, ...] = AMOUNT_SETTINGS) -> DataFrame:
+    """First callbacks, one per entry, of open entries, with everything that settling them needs.
 
     An entry that is not the gateway's, is already settled, or has neither a feed nor a custom
     price is left alone.
     """
     open_entries = entries.where((F.col("payment_method") == gateway) & F.col("payment_date").isNull())
-    first = s.first_callbacks(callbacks)
     joined = first.withColumnRenamed("lead_id", "id").join(open_entries, "id")
     known = with_order_total(with_meta(joined, meta, SETTLEMENT_KEYS), order_totals)
     known = known.withColumns({
@@ -97,6 +96,15 @@ def match_callbacks(callbacks: DataFrame, entries: DataFrame, meta: DataFrame, f
     return s.with_outcome(matched.withColumnRenamed("id", "lead_id"), gateway_name)
 
 
+def match_callbacks(callbacks: DataFrame, *tables: DataFrame, **options) -> DataFrame:
+    return match_first_callbacks(s.first_callbacks(callbacks), *tables, **options)
+
+
+def settle_first_callbacks(first: DataFrame, *tables: DataFrame, **options) -> DataFrame:
+    """`settle_callbacks` for callbacks of which each entry has only its first."""
+    return s.settle(match_first_callbacks(first, *tables, **options))
+
+
 def settle_callbacks(callbacks: DataFrame, entries: DataFrame, meta: DataFrame, feeds: DataFrame,
                      order_totals: DataFrame, **options) -> DataFrame:
     """Settled payments, one row per entry that a callback settles."""

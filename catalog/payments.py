@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from catalog import query
+from catalog import ORACLES, query
 from catalog.reports import OFFSET
 from catalog.views import (ACTIVE, CALLBACKS, ENTRIES, FEEDS, FORMS, JALALI, LEADS, MATCHED, MESSAGES, META,
                            ORDER_TOTALS, sql)
 from tollbook.operators import entries as en, keyed, settle as s
 from tollbook.operators.totals import order_totals
 from tollbook.plans import payments as pay
+from tollbook.plans.colocated import settle_colocated as colocated, write_lead_tables
 from tollbook.session import new_path
 from tollbook.sources import site
 from tollbook.sources.tables import append_batch, read_batches
@@ -176,6 +179,14 @@ def payment_records(settled):
         "new_transaction_type", "message")
 
 
+@query("settle_colocated", ORACLES["settle"])
+def settle_colocated(spark, folder):
+    """The same over tables that are kept bucketed by lead."""
+    tables = write_lead_tables(site.entries(spark, folder), site.lead_meta(spark, folder), site.order_lines(spark, folder),
+                               f"tollbook_{uuid.uuid4().hex}", new_path(spark, "by-lead"))
+    return payment_records(colocated(site.callbacks(spark, folder), tables, site.feeds(spark, folder)))
+
+
 @query("settled_entries", sql(*BASE, """
 SELECT e.id, CASE WHEN s.lead_id IS NULL THEN e.payment_status ELSE new_status END AS payment_status,
   CAST(CASE WHEN s.lead_id IS NULL THEN e.payment_amount ELSE new_amount END AS DOUBLE) AS payment_amount,

@@ -10,7 +10,8 @@ from catalog import query
 from catalog.views import FORMS, HOURLY, LEADS, PAID, WINDOWS_2001, sql
 from tollbook.functions import calendar as cal, windows as win
 from tollbook.operators import series, totals as t, windows as w
-from tollbook.plans.report import report
+from tollbook.plans import daily
+from tollbook.plans.report import report, report_from_daily
 from tollbook.session import new_path
 from tollbook.sources import site
 from tollbook.sources.tables import read_version, write_version
@@ -187,6 +188,36 @@ def report_sink(spark, folder):
     return read_version(spark, path)
 
 
+@query("report_maintained", REPORT)
+def report_maintained(spark, folder):
+    """The report from the table of days, after payments that came late."""
+    leads, path = site.leads(spark, folder), new_path(spark, "daily")
+    late = F.col("id") % 500 == 7
+    daily.build_daily(leads.where(~late), path, OFFSET)
+    daily.apply_changes(leads, leads.where(late), path, OFFSET)
+    return report_from_daily(daily.read_daily(spark, path), site.forms(spark, folder), AS_OF, selection=SELECTION)
+
+
+def scope_sums(source: str, grain: str, name: str, kind: str) -> str:
+    """Sums of every hour or day in the four scopes."""
+    return sql(source, PAID, f"""
+SELECT CASE grouping(form_id) * 2 + grouping(payment_method) WHEN 0 THEN 'form_method' WHEN 1 THEN 'form' WHEN 2 THEN 'method'
+    ELSE 'site' END AS scope, form_id, payment_method, CAST(moment AS {kind}) AS {name},
+  CAST(sum(payment_amount) AS DOUBLE) AS revenue, count(id) AS transactions
+FROM (SELECT *, date_trunc('{grain}', {LOCAL}) AS moment FROM paid)
+GROUP BY GROUPING SETS ((moment, form_id, payment_method), (moment, form_id), (moment, payment_method), (moment))""")
+
+
+@query("daily_scope_totals", scope_sums(LEADS, "day", "local_day", "DATE"))
+def daily_scope_totals(spark, folder):
+    return t.scope_totals(site.leads(spark, folder), "day", OFFSET)
+
+
+@query("hourly_scope_totals", scope_sums(HOURLY, "hour", "local_hour", "TIMESTAMP"))
+def hourly_scope_totals(spark, folder):
+    return t.scope_totals(site.hourly_leads(spark, folder), "hour", OFFSET)
+
+
 EPOCH = "datediff('day', DATE '1970-01-01', local_day) * 86400000"
 FORM_DAILY = f"""daily AS (
   SELECT form_id, CAST({LOCAL} AS DATE) AS local_day, sum(payment_amount) AS revenue, count(*) AS transactions
@@ -200,6 +231,18 @@ def series_in_window(spark, folder):
     return series.series_in_window(site.leads(spark, folder), "thisyear", AS_OF, OFFSET, ("form_id",))
 
 
+@query("series_scopes", sql(LEADS, PAID, f"""
+daily AS (
+  SELECT CASE grouping(form_id) * 2 + grouping(payment_method) WHEN 0 THEN 'form_method' WHEN 1 THEN 'form' WHEN 2 THEN 'method'
+      ELSE 'site' END AS scope, form_id, payment_method, local_day, sum(payment_amount) AS revenue, count(*) AS transactions
+  FROM (SELECT *, CAST({LOCAL} AS DATE) AS local_day FROM paid)
+  GROUP BY GROUPING SETS ((local_day, form_id, payment_method), (local_day, form_id), (local_day, payment_method), (local_day)))""", f"""
+SELECT scope, form_id, payment_method, {EPOCH} AS epoch_ms, CAST(revenue AS DOUBLE) AS amount, transactions FROM daily
+WHERE local_day BETWEEN DATE '2001-03-21' AND DATE '2002-03-20'"""))
+def series_scopes(spark, folder):
+    return series.series_scopes(site.leads(spark, folder), "thisyear", AS_OF, OFFSET)
+
+
 @query("series_carry", sql(LEADS, PAID, FORM_DAILY, f"""
 SELECT form_id, {EPOCH} AS epoch_ms, last_value(CASE WHEN local_day BETWEEN DATE '2000-07-22' AND DATE '2001-07-22'
     THEN CAST(revenue AS DOUBLE) END IGNORE NULLS) OVER (PARTITION BY form_id ORDER BY local_day DESC

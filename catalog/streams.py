@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import ORACLES, payments as batch, query
+from catalog.reports import scope_sums
 from catalog.views import HOURLY, MESSAGES, PAID, sql
 from tollbook.operators.totals import order_totals
 from tollbook.session import new_path
@@ -57,18 +58,8 @@ def _stream_scopes(grain):
     return run
 
 
-def _scope_sums(grain):
-    keys = "date_trunc('%s', payment_date + INTERVAL '210 minutes')" % grain
-    return sql(HOURLY, PAID, f"""
-SELECT CASE grouping(form_id) * 2 + grouping(payment_method) WHEN 0 THEN 'form_method' WHEN 1 THEN 'form' WHEN 2 THEN 'method'
-    ELSE 'site' END AS scope, form_id, payment_method, CAST(moment AS TIMESTAMP) AS bucket,
-  CAST(sum(payment_amount) AS DOUBLE) AS revenue, count(id) AS transactions
-FROM (SELECT *, {keys} AS moment FROM paid)
-GROUP BY GROUPING SETS ((moment, form_id, payment_method), (moment, form_id), (moment, payment_method), (moment))""")
-
-
-query("stream_scope_totals", _scope_sums("hour"))(_stream_scopes("hour"))
-query("stream_daily_scope_totals", _scope_sums("day"))(_stream_scopes("day"))
+query("stream_scope_totals", scope_sums(HOURLY, "hour", "bucket", "TIMESTAMP"))(_stream_scopes("hour"))
+query("stream_daily_scope_totals", scope_sums(HOURLY, "day", "bucket", "TIMESTAMP"))(_stream_scopes("day"))
 
 
 @query("stream_outcomes", sql(MESSAGES, """

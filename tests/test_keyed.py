@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from tollbook.operators import keyed
 from conftest import plan_of
 from tollbook.operators.totals import order_totals
+from tollbook.plans.colocated import drop_lead_tables, settle_colocated, write_lead_tables
+from tollbook.plans.payments import settle_callbacks
 from tollbook.sources import site
 from tollbook.sources.tables import append_batch, read_batches, read_version, write_bucketed, write_version
 
@@ -83,3 +85,54 @@ def test_bucketed_tables_meet_without_a_shuffle(spark, folder, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for name in ("bucketed_entries", "bucketed_totals"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_numbering_of_far_apart_values_uses_no_single_task(spark):
+    """A third of the values lie close together, the others 10 ** 12 apart."""
+    values = [i for i in range(300)] + [10**12 * i for i in range(1, 601)]
+    rows = spark.createDataFrame([(v, 0, f"n{v}", 1) for v in reversed(values)],
+                                 "seq long, id long, name string, is_active int").repartition(5)
+    numbered = keyed.number_rows(rows, "seq", "n", 100, block=100)
+    assert _set(numbered.select("seq", "n")) == sorted(((v, 101 + i) for i, v in enumerate(sorted(values))), key=str)
+    assert "SinglePartition" not in plan_of(numbered)
+    after = keyed.upsert_with_ids(_base(spark), rows, "id", "seq")
+    assert "SinglePartition" not in plan_of(after)
+    assert after.count() == 3 + len(values) and after.agg({"id": "max"}).first()[0] == 5 + len(values)
+    assert keyed.number_rows(rows.limit(0), "seq", "n", 3).count() == 0
+
+
+def test_settling_bucketed_tables_shuffles_only_callbacks(spark, folder, tmp_path):
+    tables = write_lead_tables(site.entries(spark, folder), site.lead_meta(spark, folder), site.order_lines(spark, folder),
+                               "by_lead", str(tmp_path / "by_lead"))
+    calls, feeds = site.callbacks(spark, folder), site.feeds(spark, folder)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        settled = settle_colocated(calls, tables, feeds)
+        above = _exchanges_above(settled, "by_lead")
+        assert len(above) >= 3 and not any(above)
+        wanted = settle_callbacks(calls, site.entries(spark, folder), site.lead_meta(spark, folder), feeds,
+                                  order_totals(site.order_lines(spark, folder)))
+        same = [c for c in wanted.columns if c not in ("answers", "feed")]
+        assert _set(settled.select(*same)) == _set(wanted.select(*same)) and settled.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        drop_lead_tables(spark, tables)
+
+
+def _exchanges_above(df, name):
+    """For each scan of tables of a name, whether an exchange comes before the first join above it."""
+    lines, out = plan_of(df).split("\n\n")[0].splitlines(), []
+    depth = lambda line: len(line) - len(line.lstrip(" +-:"))
+    for i, line in enumerate(lines):
+        if "Scan" in line and name in line:
+            at, met = depth(line), []
+            for upper in reversed(lines[:i]):
+                if depth(upper) < at:
+                    at = depth(upper)
+                    met.append(upper)
+                    if "Join" in upper:
+                        break
+            out.append(any("Exchange" in m for m in met))
+    return out

@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tollbook.operators.joins import first_per_key
+from tollbook.session import new_path
 
 ID_BLOCK = 1_000_000
 
+#: A row's place in its partition, in the lower bits of an id that increases within it.
+LAST_RANK = (1 << 33) - 1
+
 
 def upsert(base: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of `changes`, one per key, replace the base rows of their key or are added."""
@@ -35,24 +40,32 @@ def set_columns(base: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return joined.select(*[F.coalesce(f"_new_{c}", c).alias(c) if c in columns else F.col(c) for c in base.columns])
 
 
-def number_rows(rows: DataFrame, order: str, name: str, after: Column, block: int = ID_BLOCK) -> DataFrame:
-    """Number rows from `after` + 1 in the order of a unique whole-number column.
+def number_rows(rows: DataFrame, order: str, name: str, after: Column | int, block: int = ID_BLOCK) -> DataFrame:
+    """Number rows from `after` + 1 in the order of a unique column.
 
-    The order is cut into blocks of its value range. Rows are ranked inside a block, which holds at
-    most `block` rows, and the blocks before it are added from a table of block sizes.
+    A prefix sum over ranges. The rows are dealt to ranges of the order of about `block` rows each, however far apart its
+    values lie, ranked inside their range and written. One count for each range comes to the driver, and the rows of
+    the ranges before are added. No task sees more than its range.
     """
-    blocked = rows.withColumn("_block", F.call_function("div", F.col(order), F.lit(block)))
-    sizes = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_block", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
-    rank = F.row_number().over(Window.partitionBy("_block").orderBy(order))
-    ranked = blocked.withColumn("_rank", rank).join(starts, "_block")
-    return ranked.withColumn(name, after + F.col("_start") + F.col("_rank")).drop("_block", "_start", "_rank")
-
-
-def largest(base: DataFrame, column: str) -> Column:
-    """The largest value of a column, 0 for an empty table, as a value for another query."""
-    return F.coalesce(base.agg(F.max(column)).scalar(), F.lit(0))
+    spark = rows.sparkSession
+    ranges = max(1, -(-rows.count() // block))
+    placed = rows.repartitionByRange(ranges, order).sortWithinPartitions(order).withColumns({
+        "_range": F.spark_partition_id(),
+        "_rank": F.monotonically_increasing_id().bitwiseAND(F.lit(LAST_RANK)) + 1})
+    path = new_path(spark, "numbered")
+    placed.write.parquet(path)
+    written = spark.read.schema(placed.schema).parquet(path)
+    sizes = sorted((r["_range"], r["n"]) for r in written.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect())
+    starts = accumulate((n for _, n in sizes), initial=0)
+    table = spark.createDataFrame([(part, start) for (part, _), start in zip(sizes, starts)], "_range int, _start long")
+    # One row for each range.
+    numbered = written.join(F.broadcast(table), "_range")
+    return numbered.select(*rows.columns, (F.col("_start") + F.col("_rank") + after).alias(name))
+
+
+def largest(base: DataFrame, column: str) -> int:
+    """The largest value of a column, 0 for an empty table."""
+    return base.agg(F.max(column)).first()[0] or 0
 
 
 def upsert_with_ids(base: DataFrame, changes: DataFrame, key: str, order: str) -> DataFrame:

@@ -18,6 +18,13 @@ def series_in_window(leads: DataFrame, name: str, as_of, offset: str | float,
                         F.col("revenue").alias("amount"), "transactions")
 
 
+def series_scopes(leads: DataFrame, name: str, as_of, offset: str | float, **options) -> DataFrame:
+    """The points of every form, every method and the whole site, in all four scopes."""
+    daily = t.scope_totals(w.in_window(leads, name, as_of, offset, **options), "day", offset)
+    return daily.select("scope", "form_id", "payment_method", cal.day_epoch_ms(F.col("local_day")).alias("epoch_ms"),
+                        F.col("revenue").alias("amount"), "transactions")
+
+
 def series_carry(leads: DataFrame, name: str, as_of, offset: str | float,
                  keys: Sequence[str] = ("form_id",), **options) -> DataFrame:
     """Every historic day, newest first; a day outside the window repeats the last amount inside.

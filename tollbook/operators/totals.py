@@ -119,6 +119,13 @@ def bucket_totals(leads: DataFrame, grain: str, offset: str | float, keys: tuple
     return money_as_double(bucket_facts(leads, grain, offset, keys), "revenue")
 
 
+def scope_totals(leads: DataFrame, grain: str, offset: str | float) -> DataFrame:
+    """Sums per time bucket in all four scopes, from one scan."""
+    name = next(iter(bucket(grain, offset)))
+    rolled = scope_rollup(bucket_facts(leads, grain, offset, ("form_id", "payment_method")), name)
+    return money_as_double(rolled.select("scope", "form_id", "payment_method", name, "revenue", "transactions"), "revenue")
+
+
 def order_totals(lines: DataFrame) -> DataFrame:
     """Order total per lead from its lines of price and quantity, never below zero."""
     total = F.sum(F.col("price") * F.col("quantity"))

@@ -74,6 +74,11 @@ def enrich_callbacks(callbacks: DataFrame, entries: DataFrame, meta: DataFrame,
                             .withColumn("id", F.col("event_id")), feeds).drop("id")
 
 
+def open_entries(entries: DataFrame, gateway: str = GATEWAY) -> DataFrame:
+    """The gateway's entries that are not settled."""
+    return entries.where((F.col("payment_method") == gateway) & F.col("payment_date").isNull())
+
+
 def match_first_callbacks(first: DataFrame, entries: DataFrame, meta: DataFrame, feeds: DataFrame,
                           order_totals: DataFrame, gateway: str = GATEWAY, gateway_name: str = "Gateway",
                           settings: tuple[str, ...] = AMOUNT_SETTINGS) -> DataFrame:
@@ -82,8 +87,7 @@ def match_first_callbacks(first: DataFrame, entries: DataFrame, meta: DataFrame,
     An entry that is not the gateway's, is already settled, or has neither a feed nor a custom
     price is left alone.
     """
-    open_entries = entries.where((F.col("payment_method") == gateway) & F.col("payment_date").isNull())
-    joined = first.withColumnRenamed("lead_id", "id").join(open_entries, "id")
+    joined = first.withColumnRenamed("lead_id", "id").join(open_entries(entries, gateway), "id")
     known = with_order_total(with_meta(joined, meta, SETTLEMENT_KEYS), order_totals)
     known = known.withColumns({
         "custom": F.coalesce(F.col("payment_type") == "custom", F.lit(False)),

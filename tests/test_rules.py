@@ -47,6 +47,8 @@ def test_an_empty_list_of_inputs_gives_no_field(spark):
 def test_building_queries_runs_no_measuring(spark, folder):
     import catalog
 
+    if not catalog.QUERIES:
+        catalog.load()
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("building", "queries are only built")
     try:
@@ -69,3 +71,30 @@ def test_settings_without_a_name_of_their_own_survive(spark):
     assert fd.encode_meta(decoded).columns == feeds.columns
     assert [json.loads(after[i]) for i in range(4)] == [json.loads(t) for t in texts[:4]]
     assert after[5] is None
+
+
+def test_every_settings_text_comes_back_to_the_letter(spark):
+    texts = ['{"type":"product"}', ' { "type" : "product" , "b":1, "a" : [ 1.50, true ] } ', "", "no json", "{", "[]", "null", "0", None,
+             '{"type":7}', '{"conf_1":"one"}', '{"type":"a","type":"b"}', '{"g":"\\u0627"}', "{}", '{"gf_x_conf_1":["c"],"conf_1":["d"]}']
+    feeds = spark.createDataFrame(list(enumerate(texts)), "id int, meta string")
+    for names in (None, fd.stored_names("x", "shop_policy")):
+        after = {r.id: r.meta for r in fd.encode_meta(fd.decode_meta(feeds, names=names), names=names).collect()}
+        assert [after[i] for i in range(len(texts))] == texts
+    # A change is written, the settings without a name stay.
+    changed = fd.decode_meta(feeds).withColumn("meta", F.col("meta").withField("desc_pm", F.lit("new")))
+    after = {r.id: r.meta for r in fd.encode_meta(changed).collect()}
+    assert json.loads(after[1]) == {"type": "product", "desc_pm": "new", "b": 1, "a": [1.5, True]}
+
+
+def test_settings_under_the_names_of_a_gateway(spark):
+    text = ('{"type":"product","gf_x_conf_1":["c2"],"gf_x_notif_4":["n"],"x_conditional_enabled":"1","x_conditional_value":"v",'
+            '"shop_policy":"sadt","conf_1":["other"]}')
+    names = fd.stored_names("x", "shop_policy")
+    decoded = fd.decode_meta(spark.createDataFrame([(1, text)], "id int, meta string"), names=names)
+    row = decoded.first()
+    assert (row.meta.type, row.meta.conf_1, row.meta.notif_4, row.meta.conditional_enabled, row.meta.conditional_value,
+            row.meta.floor_policy) == ("product", ["c2"], ["n"], "1", "v", "sadt")
+    assert list(row.meta_other) == ["conf_1"]
+    edited = decoded.withColumn("meta", F.col("meta").withField("conf_1", F.array(F.lit("c9"))))
+    stored = json.loads(fd.encode_meta(edited, names=names).first().meta)
+    assert stored == {**json.loads(text), "gf_x_conf_1": ["c9"]}

@@ -40,12 +40,43 @@ RULE_FIELD_TYPES = (
 REGISTRATION_ADDON = "user_registration"
 
 
-def decode_meta(feeds: DataFrame, column: str = "meta") -> DataFrame:
-    """The settings text as a struct; settings that META_SCHEMA does not name are kept, with their types, in `<column>_other`."""
+# Settings that a site may keep under a name of its gateway, and that name's pattern.
+PREFIXED = {
+    **{f"conf_{i}": "gf_{gateway}_conf_%d" % i for i in (1, 2, 3)},
+    **{f"notif_{i}": "gf_{gateway}_notif_%d" % i for i in (1, 2, 3, 4)},
+    **{f"conditional_{part}": "{gateway}_conditional_%s" % part for part in ("enabled", "field_id", "operator", "value")},
+    "floor_policy": "{policy}",
+}
+
+
+def stored_names(gateway: str, policy: str = "floor_policy") -> dict[str, str]:
+    """The names that a gateway's settings are stored under, for `decode_meta` and `encode_meta`."""
+    return {name: pattern.format(gateway=gateway, policy=policy) for name, pattern in PREFIXED.items()}
+
+
+def _parsed(text: Column, names: dict[str, str]) -> Column:
+    """The settings of a text under the library's names; null fields for a text that cannot be read."""
+    fields = [part.split(" ", 1) for part in META_SCHEMA.split(", ")]
+    stored = F.from_json(text, ", ".join(f"`{names.get(n, n)}` {kind}" for n, kind in fields))
+    if not names:
+        return stored
+    return F.when(stored.isNotNull(), F.struct(*[stored[names.get(n, n)].alias(n) for n, _ in fields]))
+
+
+def _unnamed(text: Column, names: dict[str, str]) -> Column:
+    known = [names.get(n, n) for n in META_NAMES]
+    return F.map_filter(F.from_json(text, "map<string,variant>"), lambda k, _: ~k.isin(*known))
+
+
+def decode_meta(feeds: DataFrame, column: str = "meta", names: dict[str, str] | None = None) -> DataFrame:
+    """The settings text as a struct; settings that META_SCHEMA does not name are kept, with their types, in
+    `<column>_other`, and the text itself, readable or not, in `<column>_text`.
+
+    `names` says which settings are stored under other names (see `stored_names`).
+    """
+    text = F.col(column)
     return feeds.withColumns({
-        column: F.from_json(F.col(column), META_SCHEMA),
-        f"{column}_other": F.map_filter(F.from_json(F.col(column), "map<string,variant>"), lambda k, _: ~k.isin(*META_NAMES)),
-    })
+        column: _parsed(text, names or {}), f"{column}_other": _unnamed(text, names or {}), f"{column}_text": text})
 
 
 def has_settings(text: Column) -> Column:
@@ -53,16 +84,25 @@ def has_settings(text: Column) -> Column:
     return F.coalesce(~F.get_json_object(text, "$").isin("{}", "[]", "null", "", "0", "false"), F.lit(False))
 
 
-def encode_meta(feeds: DataFrame, column: str = "meta") -> DataFrame:
-    """The settings as text again, with those of `<column>_other` if it is there."""
-    other = f"{column}_other"
-    known = F.to_json(column)
-    if other not in feeds.columns:
-        return feeds.withColumn(column, known)
-    more = F.to_json(other)
-    both = (F.when(F.coalesce(F.size(other), F.lit(0)) <= 0, known).when(known == "{}", more)
-            .otherwise(F.concat(F.left(known, F.length(known) - 1), F.lit(","), F.right(more, F.length(more) - 1))))
-    return feeds.withColumn(column, both).drop(other)
+def encode_meta(feeds: DataFrame, column: str = "meta", names: dict[str, str] | None = None) -> DataFrame:
+    """The settings as text again, with those of `<column>_other` if it is there.
+
+    Where the settings still are what `<column>_text` holds, or hold nothing and that text cannot be read, it
+    is the text as it was, to the letter.
+    """
+    names, other, text = names or {}, f"{column}_other", f"{column}_text"
+    stored = F.when(F.col(column).isNotNull(), F.struct(*[F.col(column)[n].alias(names.get(n, n)) for n in META_NAMES]))
+    written = known = F.to_json(stored)
+    if other in feeds.columns:
+        more = F.to_json(other)
+        written = (F.when(F.coalesce(F.size(other), F.lit(0)) <= 0, known).when(known == "{}", more)
+                   .otherwise(F.concat(F.left(known, F.length(known) - 1), F.lit(","), F.right(more, F.length(more) - 1))))
+    if text in feeds.columns:
+        same = F.to_json(_parsed(F.col(text), names)).eqNullSafe(F.to_json(F.col(column)))
+        if other in feeds.columns:
+            same = same & F.to_json(_unnamed(F.col(text), names)).eqNullSafe(F.to_json(other))
+        written = F.when(same, F.col(text)).otherwise(written)
+    return feeds.withColumn(column, written).drop(other, text)
 
 
 def feed_by_id(feeds: DataFrame, feed_id: int) -> DataFrame:

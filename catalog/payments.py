@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from catalog import ORACLES, query
 from catalog.reports import OFFSET
-from catalog.views import (ACTIVE, CALLBACKS, ENTRIES, FEEDS, FORMS, JALALI, LEADS, MATCHED, MESSAGES, META,
+from catalog.views import (ACTIVE, CALLBACKS, CUSTOM, CUSTOM_META, ENTRIES, FEEDS, FORMS, JALALI, LEADS, MATCHED, MESSAGES, META,
                            ORDER_TOTALS, sql)
-from tollbook.operators import entries as en, keyed, settle as s
+from tollbook.operators import entries as en, hooks as hk, keyed, settle as s, transitions as tr
 from tollbook.operators.totals import order_totals
 from tollbook.plans import payments as pay
 from tollbook.plans.colocated import settle_colocated as colocated, write_lead_tables
@@ -88,6 +88,47 @@ def open_custom_requests(spark, folder):
                         "transaction_type", "is_fulfilled", "payment_method", "payment_date")
 
 
+def _custom(spark, folder):
+    return pay.start_custom_payments(site.entries(spark, folder), site.custom_meta(spark, folder))
+
+
+@query("custom_request_payload", sql(LEADS, ENTRIES, CUSTOM, """
+SELECT a.id, from_id, CAST(input_2 AS DOUBLE) AS amount, CASE WHEN o_orderstatus = 'O' THEN 'Custom ' || from_id ELSE '' END AS description,
+  CASE WHEN o_orderstatus = 'F' THEN 'payer' || o_custkey || '@example.com' ELSE '' END AS email,
+  '+98' || lpad(CAST(o_custkey AS VARCHAR), 10, '9') AS mobile
+FROM asked a JOIN entries e ON e.id = from_id JOIN orders ON o_orderkey = from_id"""))
+def custom_request_payload(spark, folder):
+    """The requests of custom payments, from attributes that are named after forms."""
+    opened = _custom(spark, folder)
+    payload = s.custom_payload(opened).withColumn("amount", F.col("amount").cast("double"))
+    return payload.join(opened.select("id", "from_id"), "id")
+
+
+@query("custom_request_attributes", sql(META, CUSTOM_META, CUSTOM, """
+SELECT * FROM lead_meta
+UNION ALL SELECT id, 'payment_gateway', 'Gateway' FROM asked UNION ALL SELECT id, 'payment_type', 'custom' FROM asked
+UNION ALL SELECT id, meta_key, meta_value FROM asked JOIN custom_meta ON lead_id = from_id"""))
+def custom_request_attributes(spark, folder):
+    """The attribute table with those of the new entries."""
+    return keyed.upsert_meta(site.lead_meta(spark, folder), s.custom_attributes(_custom(spark, folder), "Gateway"))
+
+
+@query("custom_settle", sql(LEADS, ENTRIES.replace("entries AS", "old_entries AS", 1), CUSTOM, """entries AS (
+  SELECT e.* REPLACE (asked.id AS id, 'Processing' AS payment_status, 'gateway' AS payment_method, NULL AS payment_date)
+  FROM old_entries e JOIN asked ON from_id = e.id)""", FEEDS, ORDER_TOTALS, CALLBACKS.replace("callbacks AS", "calls AS", 1), """
+callbacks AS (SELECT c.* REPLACE (asked.id AS lead_id) FROM calls c JOIN asked ON from_id = lead_id)""", MESSAGES, MATCHED, """
+SELECT lead_id, outcome, is_free, ts AS payment_date, payment_status AS before, new_status, CAST(new_amount AS DOUBLE) AS new_amount,
+  new_fulfilled, new_method, new_transaction_id, new_transaction_type, message FROM settled"""))
+def custom_settle(spark, folder):
+    """Custom payments to the end: new entries, their attributes, and the callbacks that settle them."""
+    opened = _custom(spark, folder)
+    entries = opened.select(*site.entries(spark, folder).columns)
+    calls = site.callbacks(spark, folder).withColumnRenamed("lead_id", "from_id").join(
+        opened.select("id", "from_id"), "from_id").withColumnRenamed("id", "lead_id").drop("from_id")
+    return payment_records(pay.settle_callbacks(calls, entries, s.custom_attributes(opened, "Gateway"),
+                                                site.feeds(spark, folder), _totals(spark, folder)))
+
+
 @query("unset_projection", sql(LEADS, """
 SELECT id, form_id, payment_method, CAST(NULL AS VARCHAR) AS payment_status, CAST(NULL AS VARCHAR) AS transaction_id,
   CAST(NULL AS INTEGER) AS transaction_type, CAST(NULL AS INTEGER) AS is_fulfilled, CAST(NULL AS TIMESTAMP) AS payment_date,
@@ -151,14 +192,14 @@ def first_settlement(spark, folder):
     return s.first_callbacks(calls).select("lead_id", "event_id", "ts")
 
 
-@query("callback_enrich", sql(LEADS, ENTRIES, FEEDS, CALLBACKS, """
-SELECT c.event_id, c.lead_id, c.ts, e.form_id, e.payment_status, f.id AS feed_id, f.type AS feed_type
+@query("callback_enrich", sql(LEADS, ENTRIES, FEEDS, FORMS, CALLBACKS, """
+SELECT c.event_id, c.lead_id, c.ts, e.form_id, title AS form_title, e.payment_status, f.id AS feed_id, f.type AS feed_type
 FROM callbacks c JOIN entries e ON e.id = c.lead_id AND e.payment_method = 'gateway'
-LEFT JOIN feeds f ON f.id = e.form_id * 2 + 1"""))
+LEFT JOIN feeds f ON f.id = e.form_id * 2 + 1 LEFT JOIN forms ON forms.id = e.form_id"""))
 def callback_enrich(spark, folder):
     joined = pay.enrich_callbacks(site.callbacks(spark, folder), site.entries(spark, folder),
-                                  site.lead_meta(spark, folder), site.feeds(spark, folder))
-    return joined.select("event_id", "lead_id", "ts", "form_id", "payment_status", F.col("feed.id").alias("feed_id"),
+                                  site.lead_meta(spark, folder), site.feeds(spark, folder), site.forms(spark, folder))
+    return joined.select("event_id", "lead_id", "ts", "form_id", "form_title", "payment_status", F.col("feed.id").alias("feed_id"),
                          F.col("feed.type").alias("feed_type"))
 
 
@@ -201,11 +242,13 @@ def settled_entries(spark, folder):
 
 
 @query("settled_attributes", sql(*BASE, META, """
-SELECT m.* FROM lead_meta m LEFT JOIN settled s ON s.lead_id = m.lead_id
-WHERE s.lead_id IS NULL OR NOT (m.meta_key = 'payment_type' OR (m.meta_key = 'payment_gateway' AND s.is_free))"""))
+visited AS (SELECT DISTINCT lead_id FROM callbacks JOIN entries ON id = lead_id WHERE payment_method = 'gateway' AND lead_id <> 0)""", """
+SELECT m.* FROM lead_meta m LEFT JOIN settled s ON s.lead_id = m.lead_id LEFT JOIN visited v ON v.lead_id = m.lead_id
+WHERE NOT (v.lead_id IS NOT NULL AND m.meta_key = 'payment_type') AND NOT (s.lead_id IS NOT NULL AND m.meta_key = 'payment_gateway' AND s.is_free)"""))
 def settled_attributes(spark, folder):
-    """The attribute table after settlement."""
-    gone = s.settled_attribute_keys(_settled(spark, folder))
+    """The attribute table after settlement; the payment type goes with any callback, the gateway with a free payment."""
+    gone = s.settled_attribute_keys(_settled(spark, folder)).unionByName(
+        s.visited_attribute_keys(site.callbacks(spark, folder), site.entries(spark, folder)))
     return keyed.delete_meta(site.lead_meta(spark, folder), gone)
 
 
@@ -231,11 +274,129 @@ def transition_summary(spark, folder):
     return s.transition_summary(_settled(spark, folder))
 
 
-@query("notify_route", sql(*BASE, """
-SELECT lead_id, n AS notification_id FROM settled, (VALUES ('n1'), ('n2'), ('n3')) v(n)
+CORRECTED = """corrections AS (
+  SELECT c_custkey AS cid, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Paid' WHEN 'BUILDING' THEN 'Cancelled' WHEN 'FURNITURE' THEN ''
+      WHEN 'HOUSEHOLD' THEN 'Active' ELSE 'Failed' END AS new_status, CAST(c_acctbal AS DECIMAL(19,2)) AS new_amount,
+    'M' || c_custkey AS new_txn, c_mktsegment <> 'HOUSEHOLD' AS dated, c_nationkey AS n FROM customer),
+merged AS (
+  SELECT e.*, cid IS NOT NULL AND payment_method = 'gateway' AS corrected, new_amount, new_txn,
+    CASE WHEN new_status = '' THEN payment_status ELSE new_status END AS status2,
+    CASE WHEN dated THEN d + to_hours(CAST(n % 24 AS INTEGER)) + INTERVAL '15 minutes 30 seconds' - INTERVAL '210 minutes'
+      ELSE coalesce(payment_date, date_created) END AS date2
+  FROM entries e LEFT JOIN corrections ON cid = e.id LEFT JOIN jcal ON jy = 1380 AND jm = 1 + n % 12 AND jd = 1 + n)"""
+
+
+def _corrected(spark, folder):
+    return s.correct_payments(site.entries(spark, folder), site.corrections(spark, folder), OFFSET)
+
+
+# Requests that were sent, and whether the gateway refused them, with what their feed selected.
+SENT = """sent AS (
+  SELECT s.id AS lead_id, a.form_id, s.due, a.notif_1, a.notif_3, CASE o_orderpriority WHEN '1-URGENT' THEN 100 WHEN '2-HIGH' THEN -22
+    WHEN '3-MEDIUM' THEN 100 WHEN '4-NOT SPECIFIED' THEN -2 ELSE 55 END AS reply
+  FROM started s JOIN active a ON a.entry_id = s.id JOIN orders ON o_orderkey = s.id WHERE due <> 0)"""
+LOGGED = (*BASE, ACTIVE, STARTED, SENT)
+
+
+def _logged(spark, folder):
+    """The log after requests, replies, settlements and corrections, each logged twice."""
+    opened = pay.start_payments(site.entries(spark, folder), site.feeds(spark, folder), _totals(spark, folder),
+                                settings=pay.NOTIFICATION_SETTINGS)
+    corrected = _corrected(spark, folder).withColumns({"user_id": F.lit(7), "user_name": F.lit("editor")})
+    table = tr.event_table(new_path(spark, "transitions"))
+    events = (tr.request_events(opened)
+              .unionByName(tr.reply_events(opened, site.request_replies(spark, folder), "Gateway"))
+              .unionByName(tr.settlement_events(_settled(spark, folder, pay.NOTIFICATION_SETTINGS)))
+              .unionByName(tr.correction_events(corrected, F.lit("1380"))))
+    for batch in range(2):
+        tr.log_events(events, table, batch)
+    return tr.read_events(spark, table)
+
+
+@query("transition_log", sql(*LOGGED, JALALI, CORRECTED, """
+SELECT lead_id, 'request' AS kind, NULL AS before, 'Processing' AS after, CAST(due AS DOUBLE) AS amount, 'submit' AS route, 0 AS user_id,
+  'مهمان' AS user_name, 0 AS n_notes FROM sent
+UNION ALL SELECT lead_id, 'reply', 'Processing', 'Failed', CAST(due AS DOUBLE), 'failed', 0, 'مهمان', 1 FROM sent WHERE reply <> 100
+UNION ALL SELECT lead_id, 'settlement', payment_status, new_status, CAST(new_amount AS DOUBLE), CASE WHEN NOT custom THEN outcome END, 0,
+  'مهمان', CASE WHEN new_transaction_type = 2 AND outcome = 'completed' THEN 2 ELSE 1 END FROM settled
+UNION ALL SELECT id, 'correction', NULL, status2, CAST(new_amount AS DOUBLE), NULL, 7, 'editor', 1 FROM merged WHERE corrected"""))
+def transition_log(spark, folder):
+    return _logged(spark, folder).select(
+        "lead_id", "kind", "before", "after", F.col("amount").cast("double"), "route", F.col("user_id").cast("int"), "user_name",
+        F.when(F.col("notes").isNull(), 0).otherwise(F.size("notes")).alias("n_notes"))
+
+
+@query("note_log", sql(*LOGGED, """
+SELECT lead_id, 0 AS user_id, 'مهمان' AS user_name, 'خطا در اتصال به درگاه رخ داده است : ' || coalesce(message, ' ') AS text
+FROM sent LEFT JOIN messages ON code = reply WHERE reply <> 100"""))
+def note_log(spark, folder):
+    """The notes that refused requests leave, and by whom."""
+    noted = tr.notes(_logged(spark, folder)).where(F.col("kind") == "reply")
+    return noted.select("lead_id", F.col("user_id").cast("int"), "user_name", "text")
+
+
+@query("notify_route", sql(*LOGGED, """
+SELECT lead_id, 'submit' AS route, n AS notification_id FROM sent, (VALUES ('n1'), ('n2'), ('n3')) v(n) WHERE list_contains(notif_1, n)
+UNION ALL SELECT lead_id, 'failed', n FROM sent, (VALUES ('n1'), ('n2'), ('n3')) v(n) WHERE reply <> 100 AND list_contains(notif_3, n)
+UNION ALL SELECT lead_id, outcome, n FROM settled, (VALUES ('n1'), ('n2'), ('n3')) v(n)
 WHERE NOT custom AND list_contains(CASE outcome WHEN 'completed' THEN notif_2 WHEN 'failed' THEN notif_3 ELSE notif_4 END, n)"""))
 def notify_route(spark, folder):
-    return pay.route_notifications(_settled(spark, folder, pay.NOTIFICATION_SETTINGS), site.forms(spark, folder))
+    """What is sent at the request, when it is refused and when it is settled."""
+    return tr.notifications(_logged(spark, folder), site.forms(spark, folder))
+
+
+@query("transition_counts", sql(*LOGGED, JALALI, CORRECTED, """
+events AS (SELECT 'request' AS kind, NULL AS before, 'Processing' AS after, due AS amount FROM sent
+  UNION ALL SELECT 'reply', 'Processing', 'Failed', due FROM sent WHERE reply <> 100
+  UNION ALL SELECT 'settlement', payment_status, new_status, new_amount FROM settled
+  UNION ALL SELECT 'correction', NULL, status2, new_amount FROM merged WHERE corrected)""", """
+SELECT kind, before, after, count(*) AS events, CAST(sum(amount) AS DOUBLE) AS amount FROM events GROUP BY ALL"""))
+def transition_counts(spark, folder):
+    return tr.transitions(_logged(spark, folder))
+
+
+def _hooks():
+    """Hooks on the amount of any request and of one form's, on the feeds that may be chosen, and on what is sent."""
+    return (hk.Hooks().on("order_total", lambda total: total + 10).on("price", lambda due: due * 2)
+            .on("price_7", lambda due: due - 1).on("form_price", lambda due: due + 1)
+            .on("feeds", lambda feeds: feeds.where("id % 4 <> 3")).on("entry_feed", lambda feeds: feeds.where("id % 8 <> 5"))
+            .on("transaction_id", lambda txn: F.concat(F.lit("H"), txn))
+            .on("send_notification", lambda n, status: (n != "n3") | (status == "cancelled")))
+
+
+HOOKED = ACTIVE.replace("FROM feeds WHERE is_active = 1", "FROM feeds WHERE is_active = 1 AND id % 4 <> 3")
+
+
+@query("hooked_requests", sql(LEADS, ENTRIES, FEEDS, HOOKED, ORDER_TOTALS, """
+charged AS (SELECT e.id, e.form_id, a.id AS feed_id, 10 + CASE WHEN a.floor_policy IS NOT NULL AND coalesce(total, 0) > 0
+      AND total < CASE currency WHEN 'IRR' THEN 1000 ELSE 100 END
+      THEN CASE a.floor_policy WHEN 'sadt' THEN CASE currency WHEN 'IRR' THEN 1000 ELSE 100 END ELSE 0 END
+    ELSE coalesce(total, 0) END AS due
+  FROM entries e LEFT JOIN active a ON a.entry_id = e.id LEFT JOIN order_totals o ON o.lead_id = e.id),
+asked AS (SELECT *, (due + 1) * 2 - CASE WHEN form_id = 7 THEN 1 ELSE 0 END AS asked FROM charged)""", """
+SELECT id, feed_id, CASE WHEN feed_id IS NULL THEN 'untouched' WHEN asked = 0 THEN 'free' ELSE 'pay' END AS path,
+  CAST(CASE WHEN feed_id IS NOT NULL THEN asked END AS DOUBLE) AS amount_due FROM asked"""))
+def hooked_requests(spark, folder):
+    """Started payments whose feed and amount hooks change."""
+    started = pay.start_payments(site.entries(spark, folder), site.feeds(spark, folder), _totals(spark, folder), hooks=_hooks())
+    return started.select("id", F.col("feed.id").alias("feed_id"), "path", F.col("amount_due").cast("double"))
+
+
+@query("hooked_routes", sql(LEADS, ENTRIES, FEEDS.replace("feeds AS", "all_feeds AS", 1), "feeds AS (SELECT * FROM all_feeds WHERE id % 8 <> 5)",
+                            ORDER_TOTALS, CALLBACKS, MESSAGES, MATCHED, """
+SELECT lead_id, outcome, n AS notification_id, 'H' || new_transaction_id AS new_transaction_id,
+  CAST(CASE WHEN is_free THEN NULL WHEN outcome = 'completed' THEN new_amount + 10 ELSE 0 END AS DOUBLE) AS new_amount
+FROM settled, (VALUES ('n1'), ('n2'), ('n3')) v(n)
+WHERE NOT custom AND (n <> 'n3' OR outcome = 'cancelled')
+  AND list_contains(CASE outcome WHEN 'completed' THEN notif_2 WHEN 'failed' THEN notif_3 ELSE notif_4 END, n)"""))
+def hooked_routes(spark, folder):
+    """Settlements and their notifications, with hooks on the feed of an entry, its total, the transaction id and the route."""
+    settled = pay.settle_callbacks(site.callbacks(spark, folder), site.entries(spark, folder), site.lead_meta(spark, folder),
+                                   site.feeds(spark, folder), _totals(spark, folder), settings=pay.NOTIFICATION_SETTINGS,
+                                   hooks=_hooks())
+    sent = pay.route_notifications(settled, site.forms(spark, folder), _hooks())
+    return sent.join(settled.select("lead_id", "outcome", "new_transaction_id", F.col("new_amount").cast("double")), "lead_id").select(
+        "lead_id", "outcome", "notification_id", "new_transaction_id", "new_amount")
 
 
 @query("confirmation_route", sql(*BASE, """
@@ -276,22 +437,6 @@ def entry_detail(spark, folder):
     return en.entry_detail(site.entries(spark, folder), _totals(spark, folder), OFFSET)
 
 
-CORRECTED = """corrections AS (
-  SELECT c_custkey AS cid, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Paid' WHEN 'BUILDING' THEN 'Cancelled' WHEN 'FURNITURE' THEN ''
-      WHEN 'HOUSEHOLD' THEN 'Active' ELSE 'Failed' END AS new_status, CAST(c_acctbal AS DECIMAL(19,2)) AS new_amount,
-    'M' || c_custkey AS new_txn, c_mktsegment <> 'HOUSEHOLD' AS dated, c_nationkey AS n FROM customer),
-merged AS (
-  SELECT e.*, cid IS NOT NULL AND payment_method = 'gateway' AS corrected, new_amount, new_txn,
-    CASE WHEN new_status = '' THEN payment_status ELSE new_status END AS status2,
-    CASE WHEN dated THEN d + to_hours(CAST(n % 24 AS INTEGER)) + INTERVAL '15 minutes 30 seconds' - INTERVAL '210 minutes'
-      ELSE coalesce(payment_date, date_created) END AS date2
-  FROM entries e LEFT JOIN corrections ON cid = e.id LEFT JOIN jcal ON jy = 1380 AND jm = 1 + n % 12 AND jd = 1 + n)"""
-
-
-def _corrected(spark, folder):
-    return s.correct_payments(site.entries(spark, folder), site.corrections(spark, folder), OFFSET)
-
-
 @query("apply_corrections", sql(LEADS, ENTRIES, JALALI, CORRECTED, """
 SELECT id, corrected, CASE WHEN corrected THEN status2 ELSE payment_status END AS payment_status,
   CAST(CASE WHEN corrected THEN new_amount ELSE payment_amount END AS DOUBLE) AS payment_amount,

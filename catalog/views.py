@@ -51,6 +51,23 @@ META = """lead_meta AS (
   UNION ALL SELECT o_orderkey, 'user_registration_is_fulfilled', '1' FROM orders WHERE o_orderstatus = 'P'
   UNION ALL SELECT o_orderkey, 'processed_feeds', '{"crm":"1","mail":"1"}' FROM orders WHERE o_orderpriority = '2-HIGH')"""
 
+# Attributes of custom payments, named after forms.
+CUSTOM_META = """custom_meta AS (
+  SELECT o_orderkey AS lead_id, 'part_price_' || o_custkey AS meta_key, CAST(CAST(o_totalprice AS DECIMAL(19,2)) AS VARCHAR) AS meta_value
+    FROM orders WHERE o_orderpriority = '1-URGENT'
+  UNION ALL SELECT o_orderkey, 'part_desc_' || o_custkey, 'Custom ' || o_orderkey
+    FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O'
+  UNION ALL SELECT o_orderkey, 'part_name_' || o_custkey, 'payer ' || o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'
+  UNION ALL SELECT o_orderkey, 'part_email_' || o_custkey, 'payer' || o_custkey || '@example.com'
+    FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'
+  UNION ALL SELECT o_orderkey, 'part_mobile_' || o_custkey, '0098 ' || lpad(CAST(o_custkey AS VARCHAR), 10, '9')
+    FROM orders WHERE o_orderpriority = '1-URGENT')"""
+
+# The new entries of custom payments, each with the order it comes from.
+CUSTOM = """asked AS (
+  SELECT o_orderkey AS from_id, (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY o_orderkey) AS id
+  FROM orders WHERE o_orderpriority = '1-URGENT')"""
+
 FEEDS = """feeds AS (
   SELECT c_custkey * 2 + 1 AS id, c_custkey AS form_id, CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN 1 ELSE 0 END AS is_active,
     CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'subscription' ELSE 'product' END AS type,

@@ -32,7 +32,12 @@ def latest_one(rows: DataFrame, key: str, value, order: str, tiebreak: str) -> D
 
 
 def update_post_status(posts: DataFrame, decided: DataFrame) -> DataFrame:
-    """Set the decided status (id, new_status); `changed` marks the rows that had another before."""
-    joined = posts.join(decided, "id", "left")
+    """Set the decided status (id, new_status); `changed` marks the rows that had another before.
+
+    Of several decisions on a post the last by the other columns of `decided`, in their order, counts, and then by status.
+    """
+    order = [c for c in decided.columns if c not in ("id", "new_status")] + ["new_status"]
+    last = first_per_key(decided, ["id"], order, last=True).select("id", "new_status")
+    joined = posts.join(last, "id", "left")
     changed = F.coalesce(F.col("new_status") != F.col("post_status"), F.lit(False))
     return joined.select("id", F.coalesce("new_status", "post_status").alias("post_status"), changed.alias("changed"))

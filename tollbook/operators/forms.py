@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tollbook.operators.feeds import compare
 from tollbook.functions.text import answer
+from tollbook.operators.feeds import compare
+from tollbook.operators.hooks import NO_HOOKS, Hooks
 
 # The field types that make a form chargeable.
 CHARGEABLE_TYPES = ("product", "shipping")
@@ -36,7 +37,8 @@ def has_product() -> Column:
     return F.coalesce(F.exists("fields", lambda f: f["type"].isin(*CHARGEABLE_TYPES)), F.lit(False))
 
 
-def pick_confirmation(confirmations: Column, selected: Column, answers: Column, event: str = "") -> Column:
+def pick_confirmation(confirmations: Column, selected: Column, answers: Column, event: str = "",
+                      hooks: Hooks = NO_HOOKS) -> Column:
     """The confirmation an entry is shown, from its form's list in order.
 
     An event first narrows the list; a list of one wins outright. Otherwise it is the first that is
@@ -50,7 +52,8 @@ def pick_confirmation(confirmations: Column, selected: Column, answers: Column,
         logic = c["logic"]
         holds = logic.isNull() | compare(answer(answers, logic["field_id"]), logic["operator"], logic["value"])
         return ((F.coalesce(c["event"], F.lit("")) == event) & ~F.coalesce(c["is_default"], F.lit(False))
-                & F.coalesce(c["is_active"], F.lit(True)) & holds & F.array_contains(selected, c["id"]))
+                & F.coalesce(c["is_active"], F.lit(True)) & holds & F.array_contains(selected, c["id"])
+                & hooks.allows("confirmation", c))
 
     default = F.get(F.filter(confirmations, lambda c: F.coalesce(c["is_default"], F.lit(False))), F.lit(0))
     first = F.get(F.filter(wanted, fits), F.lit(0))

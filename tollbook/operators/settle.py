@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tollbook.functions import calendar as cal, money, status as st
 from tollbook.functions.text import answer, fill_template, join_description, phone
 from tollbook.functions.values import is_empty_number, is_empty_text
+from tollbook.operators.hooks import CUSTOM_PRICE, FORM_PRICE, NO_HOOKS, Hooks
 from tollbook.operators.joins import first_per_key
 from tollbook.operators.totals import GATEWAY
 
@@ -37,14 +38,24 @@ def clear_payment(entries: DataFrame) -> DataFrame:
     return entries.withColumns({c: F.lit(None).cast(types[c]) for c in PAYMENT_COLUMNS if c in types})
 
 
-def open_requests(entries: DataFrame, gateway: str = GATEWAY) -> DataFrame:
+def charged(total: Column, currency: Column, policy: Column, hooks: Hooks = NO_HOOKS) -> Column:
+    """What is due for an order: its total, the smallest charge, and what hooks make of it."""
+    return hooks.run(money.minimum_charge(total, currency, policy), "gateway_order_total", "order_total").cast(money.MONEY)
+
+
+def _requested(policy: Column, hooks: Hooks) -> Column:
+    due = charged(F.col("order_total"), F.col("currency"), policy, hooks)
+    return F.coalesce(hooks.run_for_form(due, F.col("form_id"), *FORM_PRICE), F.lit(0)).cast(money.MONEY)
+
+
+def open_requests(entries: DataFrame, gateway: str = GATEWAY, hooks: Hooks = NO_HOOKS) -> DataFrame:
     """Start payments for entries with `feed` (or null) and `order_total`.
 
     `path` tells what happens next: `untouched` without a feed, `free` when nothing is due, else `pay`.
     """
     found = F.col("feed").isNotNull()
     feed = F.col("feed")
-    due = money.minimum_charge(F.col("order_total"), F.col("currency"), feed["floor_policy"])
+    due = _requested(feed["floor_policy"], hooks)
     opened = {
         "payment_status": F.lit("Processing"),
         "payment_amount": F.lit(None),
@@ -68,6 +79,13 @@ def request_attributes(opened: DataFrame, gateway_name: str) -> DataFrame:
     return opened.where(F.col("path") != "untouched").select(F.col("id").alias("lead_id"), F.inline(rows))
 
 
+def visited_attribute_keys(callbacks: DataFrame, entries: DataFrame, gateway: str = GATEWAY) -> DataFrame:
+    """The attribute that any callback of an entry of the gateway removes, whether it settles something or not."""
+    leads = callbacks.where(~is_empty_number(F.col("lead_id"))).select("lead_id").distinct()
+    own = entries.where(F.col("payment_method") == gateway).select(F.col("id").alias("lead_id"))
+    return leads.join(own, "lead_id", "left_semi").withColumn("meta_key", F.lit("payment_type"))
+
+
 def settled_attribute_keys(settled: DataFrame) -> DataFrame:
     """The attributes that settling removes: the payment type, and the gateway of a free payment."""
     keys = F.filter(F.array(F.lit("payment_type"), F.when(F.col("is_free"), F.lit("payment_gateway"))),
@@ -75,26 +93,61 @@ def settled_attribute_keys(settled: DataFrame) -> DataFrame:
     return settled.select("lead_id", F.explode(keys).alias("meta_key"))
 
 
-def open_custom_requests(entries: DataFrame, gateway: str = GATEWAY) -> DataFrame:
+#: What a custom payment brings, each an attribute named after its form.
+CUSTOM_PARTS = ("part_price", "part_desc", "part_name", "part_email", "part_mobile")
+
+
+def form_attribute(attributes: Column, name: str, form_id: Column) -> Column:
+    """An attribute that is kept under its name and the form's id."""
+    return F.try_element_at(attributes, F.concat(F.lit(name + "_"), form_id.cast("string")))
+
+
+def custom_parts(entries: DataFrame) -> DataFrame:
+    """The parts of each entry's own form as columns, from its `attributes`; entries without a price for it are left out."""
+    parts = {p: form_attribute(F.col("attributes"), p, F.col("form_id")) for p in CUSTOM_PARTS}
+    return entries.withColumns(parts).where(F.col(CUSTOM_PARTS[0]).isNotNull())
+
+
+def open_custom_requests(entries: DataFrame, gateway: str = GATEWAY, hooks: Hooks = NO_HOOKS) -> DataFrame:
     """Start custom payments: the amount is the one recorded for the entry, the type always product.
 
-    The result are new entries; numbering them is left to `upsert_with_ids`.
+    The result are new entries; numbering them is left to `number_rows` or `upsert_with_ids`.
     """
+    price = F.col("part_price").try_cast(money.MONEY)
     cleared = clear_payment(entries)
     return cleared.withColumns({
         "payment_status": F.lit("Processing"),
         "transaction_type": F.lit(st.PRODUCT_TYPE),
         "is_fulfilled": F.lit(0),
         "payment_method": F.lit(gateway),
-        "amount_due": F.col("part_price").try_cast(money.MONEY),
+        "amount_due": hooks.run_for_form(price, F.col("form_id"), *CUSTOM_PRICE).cast(money.MONEY),
         "path": F.lit("custom"),
     })
 
 
-def payable(matched: DataFrame) -> DataFrame:
+def custom_payload(opened: DataFrame, hooks: Hooks = NO_HOOKS) -> DataFrame:
+    """What is sent to the gateway for custom payments: the amount as it is, in the gateway's unit."""
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    return opened.select(
+        "id", money.base_units(F.col("amount_due"), F.col("currency"), F.lit(True)).alias("amount"),
+        hooks.run(text("part_desc"), "custom_description").alias("description"), text("part_email").alias("email"),
+        phone(text("part_mobile")).alias("mobile"))
+
+
+def custom_attributes(opened: DataFrame, gateway_name: str) -> DataFrame:
+    """The attributes of the new entries: gateway, type, and their parts, which the settlement looks for."""
+    fixed = [F.struct(F.lit(k).alias("meta_key"), F.lit(v).alias("meta_value"))
+             for k, v in {"payment_gateway": gateway_name, "payment_type": "custom"}.items()]
+    parts = [F.struct(F.concat(F.lit(p + "_"), F.col("form_id").cast("string")).alias("meta_key"), F.col(p).alias("meta_value"))
+             for p in CUSTOM_PARTS]
+    rows = F.filter(F.array(*fixed, *parts), lambda r: r["meta_value"].isNotNull())
+    return opened.select(F.col("id").alias("lead_id"), F.inline(rows))
+
+
+def payable(matched: DataFrame, hooks: Hooks = NO_HOOKS) -> DataFrame:
     """Entries with their `feed` that have something to pay, with `amount_due` and `path`."""
-    due = money.minimum_charge(F.col("order_total"), F.col("currency"), F.col("feed")["floor_policy"])
-    return matched.withColumns({"amount_due": due, "path": F.lit("pay")}).where(F.col("amount_due") > 0)
+    due = _requested(F.col("feed")["floor_policy"], hooks)
+    return matched.withColumns({"amount_due": due, "path": F.lit("pay")}).where(F.col("amount_due") != 0)
 
 
 def request_payload(opened: DataFrame) -> DataFrame:
@@ -163,7 +216,7 @@ def first_callbacks(callbacks: DataFrame) -> DataFrame:
     return first_per_key(valid, ["lead_id"], ["ts", "event_id"])
 
 
-def settle(matched: DataFrame) -> DataFrame:
+def settle(matched: DataFrame, hooks: Hooks = NO_HOOKS) -> DataFrame:
     """Payment records from first callbacks that were matched to their open entry.
 
     Needs outcome, is_free, ts, ref_id, currency, `custom`, `custom_price`, `order_total` and `feed`.
@@ -171,11 +224,12 @@ def settle(matched: DataFrame) -> DataFrame:
     """
     custom = F.col("custom")
     feed = F.col("feed")
-    ordered = money.minimum_charge(F.coalesce(F.col("order_total"), F.lit(0)), F.col("currency"), feed["floor_policy"])
+    ordered = charged(F.coalesce(F.col("order_total"), F.lit(0)), F.col("currency"), feed["floor_policy"], hooks)
     total = F.when(custom, F.col("custom_price")).otherwise(ordered)
     done, free = F.col("outcome") == "completed", F.col("is_free")
     txn_type = F.when(custom, F.lit(st.PRODUCT_TYPE)).otherwise(st.transaction_type(feed["type"]))
     reference = F.when(is_empty_text(F.col("ref_id")), F.lit(NO_REFERENCE)).otherwise(F.col("ref_id"))
+    drawn = hooks.run(st.free_transaction_id(F.col("lead_id")), "free_transaction_id")
     status = (F.when(done, st.paid_status(txn_type)).when(F.col("outcome") == "cancelled", F.lit("Cancelled"))
               .otherwise(F.lit("Failed")))
     return matched.withColumns({
@@ -184,7 +238,7 @@ def settle(matched: DataFrame) -> DataFrame:
         "new_amount": F.when(free, F.lit(None)).when(done, total).otherwise(F.lit(0)).cast(money.MONEY),
         "new_fulfilled": F.when(~free, done.cast("int")),
         "new_method": F.when(~free, F.col("payment_method")),
-        "new_transaction_id": F.when(free, st.free_transaction_id(F.col("lead_id"))).otherwise(reference),
+        "new_transaction_id": hooks.run(F.when(free, drawn).otherwise(reference), "transaction_id"),
         "new_transaction_type": txn_type,
     })
 
@@ -198,11 +252,15 @@ def settlement_note(total_text: Column) -> Column:
             .otherwise(F.format_string(NOTE_FAILED, total_text, txn, F.col("message"))))
 
 
+def note_list(total_text: Column) -> Column:
+    """The notes of a settlement: one, and one before it for a subscription that became active."""
+    activated = (F.col("outcome") == "completed") & (F.col("new_transaction_type") == st.SUBSCRIPTION_TYPE)
+    return F.filter(F.array(F.when(activated, F.lit(NOTE_SUBSCRIPTION)), settlement_note(total_text)), lambda n: n.isNotNull())
+
+
 def settlement_notes(settled: DataFrame) -> DataFrame:
     """One note per settlement, and one more for a subscription that became active."""
-    note = settlement_note(money.money_text(F.col("total"), F.col("currency")))
-    activated = (F.col("outcome") == "completed") & (F.col("new_transaction_type") == st.SUBSCRIPTION_TYPE)
-    notes = F.filter(F.array(F.when(activated, F.lit(NOTE_SUBSCRIPTION)), note), lambda n: n.isNotNull())
+    notes = note_list(money.money_text(F.col("total"), F.col("currency")))
     return settled.select("lead_id", F.posexplode(notes).alias("position", "text"))
 
 
@@ -232,25 +290,38 @@ def correct_payments(leads: DataFrame, corrections: DataFrame, offset: str | flo
     return joined.withColumns({**changed, "corrected": F.coalesce(applies, F.lit(False))}).drop("_new")
 
 
-def correction_notes(corrected: DataFrame) -> DataFrame:
-    text = F.format_string(NOTE_CORRECTED, st.status_label(F.col("payment_status")),
+def correction_text() -> Column:
+    return F.format_string(NOTE_CORRECTED, st.status_label(F.col("payment_status")),
                            money.money_text(F.col("payment_amount"), F.col("currency")), F.col("transaction_id"),
                            F.date_format("payment_date", "yyyy-MM-dd HH:mm:ss"))
-    return corrected.where("corrected").select(F.col("id").alias("lead_id"), text.alias("text"))
 
 
-def notifications_to_send(settled: DataFrame, status: str = "outcome") -> DataFrame:
+def correction_notes(corrected: DataFrame) -> DataFrame:
+    return corrected.where("corrected").select(F.col("id").alias("lead_id"), correction_text().alias("text"))
+
+
+# The feed's list of notifications for each status.
+STATUS_LISTS = {"submit": "notif_1", "completed": "notif_2", "failed": "notif_3", "cancelled": "notif_4"}
+
+
+def selected_notifications(feed: Column, status: Column) -> Column:
+    """The ids that a feed has selected for a status; none without a feed."""
+    chosen = F.lit(None).cast("array<string>")
+    for name, column in STATUS_LISTS.items():
+        chosen = F.when(F.lower(status) == name, feed[column]).otherwise(chosen)
+    return F.coalesce(chosen, F.array().cast("array<string>"))
+
+
+def notifications_to_send(routed: DataFrame, status: str = "outcome", hooks: Hooks = NO_HOOKS, selected: str | None = None) -> DataFrame:
     """The form's notifications that the feed has selected for the payment's status, in form order.
 
-    Needs `notifications` (the ids the form triggers) and `feed`.
+    Needs `notifications` (the ids the form triggers) and `feed`, or `selected` with the feed's choice.
     """
-    feed = F.col("feed")
-    lists = {"submit": "notif_1", "completed": "notif_2", "failed": "notif_3", "cancelled": "notif_4"}
-    chosen = F.lit(None).cast("array<string>")
-    for name, column in lists.items():
-        chosen = F.when(F.lower(F.col(status)) == name, feed[column]).otherwise(chosen)
-    wanted = F.filter("notifications", lambda n: F.array_contains(chosen, n))
-    return settled.select("lead_id", F.explode(wanted).alias("notification_id"))
+    chosen = F.col(selected) if selected else selected_notifications(F.col("feed"), F.col(status))
+    wanted = F.filter("notifications", lambda n: F.array_contains(chosen, n)
+                      & hooks.allows("send_notification", n, F.lower(F.col(status))))
+    keep = ["lead_id"] + [status] * bool(selected)
+    return routed.select(*keep, F.explode(wanted).alias("notification_id"))
 
 
 def transition_summary(settled: DataFrame) -> DataFrame:

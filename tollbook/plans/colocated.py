@@ -56,6 +56,6 @@ def settle_colocated(callbacks: DataFrame, tables: LeadTables, feeds: DataFrame,
     first = s.first_callbacks(callbacks)
     open_leads = pay.open_entries(entries, gateway).select(F.col("id").alias("lead_id"))
     concerned = first.select("lead_id").hint("shuffle_hash").join(open_leads, "lead_id", "left_semi").hint("shuffle_hash")
-    wanted = meta.where(F.col("meta_key").isin(*pay.SETTLEMENT_KEYS)).join(concerned, "lead_id", "left_semi")
+    wanted = pay.settlement_meta(meta).join(concerned, "lead_id", "left_semi")
     totals = order_totals(lines.join(concerned, "lead_id", "left_semi"))
     return pay.settle_first_callbacks(first, entries, wanted, feeds, totals, gateway=gateway, **options)

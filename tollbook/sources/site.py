@@ -118,6 +118,24 @@ def lead_meta(spark: SparkSession, folder: str) -> DataFrame:
     return scan(spark, folder, "orders").select(F.col("o_orderkey").alias("lead_id"), F.inline(present))
 
 
+def custom_meta(spark: SparkSession, folder: str) -> DataFrame:
+    """Attributes of custom payments, named after a form: urgent orders have them for their own form, with and without a
+    description, and they and the next ones a price for another."""
+    own, key = F.col("o_custkey"), F.col("o_custkey").cast("string")
+    named = lambda name, form: F.concat(F.lit(name + "_"), form.cast("string"))
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    values = [
+        (named("part_price", own), F.when(urgent, F.col("o_totalprice").cast(MONEY).cast("string"))),
+        (named("part_desc", own), F.when(urgent & (F.col("o_orderstatus") == "O"), F.concat(F.lit("Custom "), F.col("o_orderkey").cast("string")))),
+        (named("part_name", own), F.when(urgent, F.concat(F.lit("payer "), key))),
+        (named("part_email", own), F.when(urgent & (F.col("o_orderstatus") == "F"), F.concat(F.lit("payer"), key, F.lit("@example.com")))),
+        (named("part_mobile", own), F.when(urgent, F.concat(F.lit("0098 "), F.lpad(key, 10, "9")))),
+        (named("part_price", own + 1), F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "1.00"))]
+    pairs = F.array(*[F.struct(k.alias("meta_key"), v.alias("meta_value")) for k, v in values])
+    present = F.filter(pairs, lambda p: p["meta_value"].isNotNull())
+    return scan(spark, folder, "orders").select(F.col("o_orderkey").alias("lead_id"), F.inline(present))
+
+
 def feeds(spark: SparkSession, folder: str) -> DataFrame:
     """One or two feeds per form, some inactive; forms of the last nation have none."""
     # Rule operator, field and value go by nation; nation 23 names no field, 24 would compare no number.

@@ -244,15 +244,14 @@ def test_suffix_order(n, kinds):
     assert sorted(order) == list(range(n)) and keys == sorted(keys)
 
 
-@pytest.mark.parametrize("group, shard", [(1 << 25, 1 << 22), (500, 300)])
-def test_substrings(docs, none, monkeypatch, group, shard):
-    monkeypatch.setattr(substrings, "GROUP", group)
-    monkeypatch.setattr(substrings, "SHARD", shard)
+def without_repeats(rows) -> Counter:
+    """Bytes that stay of (doc_id or -1, data), by brute force."""
     first: dict = {}
-    rows = sorted(((-1 if i is None else i, (t or "").encode()) for i, t, *_ in sample()))
+    rows = sorted(rows)
     for i, data in rows:
         for a in range(len(data) - 99):
             first.setdefault(data[a : a + 100], (i, a))
+            first[data[a : a + 100]] = min(first[data[a : a + 100]], (i, a))
     wanted = Counter()
     for i, data in rows:
         out = np.zeros(len(data), bool)
@@ -262,11 +261,38 @@ def test_substrings(docs, none, monkeypatch, group, shard):
         spans = int((out & ~np.r_[False, out[:-1]]).sum()) if len(data) else 0
         kept = bytes(b for b, gone in zip(data, out) if not gone)
         wanted[None if i < 0 else i, len(data), int(out.sum()), spans, hashlib.sha256(kept).hexdigest()] += 1
+    return wanted
+
+
+def cleaned(docs) -> Counter:
     found = substrings.clean(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
-    assert Counter(map(tuple, found.collect())) == wanted
+    return Counter(map(tuple, found.collect()))
+
+
+@pytest.mark.parametrize("group, shard", [(1 << 25, 1 << 22), (500, 300)])
+def test_substrings(docs, none, monkeypatch, group, shard):
+    monkeypatch.setattr(substrings, "GROUP", group)
+    monkeypatch.setattr(substrings, "SHARD", shard)
+    assert cleaned(docs) == without_repeats((-1 if i is None else i, (t or "").encode()) for i, t, *_ in sample())
     assert substrings.clean(none).count() == 0
 
 
+def test_substrings_of_rows_that_share_an_id(spark):
+    """Different texts of one id or without one, among them two whose CRC ends in the same 16 bits, and rows that repeat."""
+    a, b = words(1, 60), words(2, 60)
+    want, k = zlib.crc32(a.encode()) & 0xFFFF, 0
+    while zlib.crc32(f"{b} {k}".encode()) & 0xFFFF != want:
+        k += 1
+    b = f"{b} {k}"
+    shared = words(3, 40)
+    rows = [(1, a), (5, a), (5, b), (5, b), (6, shared), (7, "x" + shared), (7, "yy" + shared), (None, words(4, 50)),
+            (None, words(5, 50) + shared), (None, None), (None, ""), (9, b), (9, words(6, 50)), (9, None)]
+    docs = spark.createDataFrame([(i, t, "", "", 0, 0, 0, 0.0) for i, t in rows], SCHEMA).repartition(3)
+    got = cleaned(docs)
+    assert got == without_repeats((-1 if i is None else i, (t or "").encode()) for i, t in rows)
+    assert got[5, len(b), 0, 0, hashlib.sha256(b.encode()).hexdigest()] == 2
+
+
 def test_ranking(spark, docs, none):
     good = [(i, words(i, 80)) for i in range(40)]
     bad = [(100 + i, " ".join(w + "###" for w in words(i, 80).split())) for i in range(20)]

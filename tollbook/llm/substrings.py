@@ -12,20 +12,22 @@ inside a task are known as repeated there and are not sent to the key's own part
 segments is cut into pieces, and what is left of each is compared by an aggregation over whole windows.
 
 Null texts count as empty; texts under LENGTH bytes are never touched. A null doc_id comes before all others. Rows of one
-doc_id are at one place: none of them is earlier than the other.
+doc_id are one document: of equal strings the one of smaller start is earlier, and none if the starts are equal; rows of one
+doc_id and text lose the same bytes. Different texts of one doc_id are numbered, so what one of them loses is taken from it alone; a
+doc_id may have 2 ** 23 of them, and rows without a doc_id any number. A text may have 2 ** 31 bytes. Empty tables give no
+rows. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollbook.llm.common import chunks, id_and_text, kept_table
+from tollbook.llm.common import id_and_text, kept_table
 from tollbook.llm.partenum import mix
 from tollbook.llm.suffixes import common_prefixes, suffix_order, words_at
 
@@ -38,6 +40,11 @@ GROUP = 1 << 25
 HELD = 1 << 21
 _BASE = 0x9E3779B97F4A7C15
 _LOW = np.uint64((1 << 24) - 1)
+#: A place: the start, eight bits of windows, the text's number among those of its doc_id, and whether its key is known to recur.
+TEXT_BITS = 23
+TEXTS = (1 << TEXT_BITS) - 1
+WINDOW_AT, START_AT = TEXT_BITS + 1, TEXT_BITS + 9
+NO_ID = -(1 << 63)
 
 
 def runs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,15 +69,43 @@ def runs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (h[(least[start] & _LOW).astype(np.int64)].view(np.int64), start, np.diff(np.r_[start, len(least)]))
 
 
-def placed(docs: DataFrame) -> DataFrame:
-    """pos (doc_id, nulls first), check (16 bits of the text's CRC, to tell texts of one id apart) and text."""
-    text = F.coalesce("text", F.lit(""))
-    return id_and_text(docs).select(
-        F.coalesce("doc_id", F.lit(-(1 << 63))).alias("pos"),
-        F.crc32(text.cast("binary")).bitwiseAND(0xFFFF).alias("check"), text.alias("text"))
-
-
-def run_rows(docs: DataFrame) -> DataFrame:
+def numbered_texts(docs: DataFrame) -> DataFrame | None:
+    """doc_id, sha, pos and check of the texts whose doc_id other texts have too, or none; None if there are none."""
+    rows = id_and_text(docs)
+    shared = kept_table(rows.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "shared")
+    if shared.isEmpty():
+        return None
+    texts = rows.join(shared, rows["doc_id"].eqNullSafe(shared["doc_id"]), "left_semi").select(
+        "doc_id", _sha(F.col("text")).alias("sha")).distinct()
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("sha")).cast("long") - 1
+    fits = F.when(F.col("doc_id").isNull() | (F.col("n") <= TEXTS), F.col("n")).otherwise(
+        F.raise_error(F.lit("too many texts of one doc_id")).cast("long"))
+    return kept_table(texts.withColumn("n", number).withColumn("n", fits).select(
+        "doc_id", "sha", F.coalesce("doc_id", F.lit(NO_ID) + F.shiftright("n", TEXT_BITS)).alias("pos"),
+        F.col("n").bitwiseAND(TEXTS).alias("check")), "numbered")
+
+
+def _sha(text):
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+
+
+def placed(docs: DataFrame, numbered: DataFrame | None) -> DataFrame:
+    """doc_id, pos (doc_id, those without one first), check (the text's number among those of its doc_id) and text."""
+    rows = id_and_text(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    if numbered is None:
+        return rows.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("pos"), F.lit(0).cast("long").alias("check"), "text")
+    ids = numbered.select(F.col("doc_id").alias("_id")).distinct()
+    # Only texts that share their doc_id are hashed.
+    marked = rows.join(ids, rows["doc_id"].eqNullSafe(ids["_id"]) , "left_semi").withColumn("_sha", _sha(F.col("text")))
+    known = numbered.select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"), "pos", "check")
+    shared = marked.join(known, marked["doc_id"].eqNullSafe(known["_id"]) & (marked["_sha"] == known["_sha"])).select(
+        "doc_id", "pos", "check", "text")
+    alone = rows.join(ids, rows["doc_id"].eqNullSafe(ids["_id"]), "left_anti").select(
+        "doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("pos"), F.lit(0).cast("long").alias("check"), "text")
+    return alone.unionByName(shared)
+
+
+def run_rows(rows: DataFrame) -> DataFrame:
     """key, pos, and place: start, windows, check and whether the key is known to recur, in one number.
 
     A row with no windows only tells the key's partition that the key recurs elsewhere.
@@ -89,14 +124,12 @@ def run_rows(docs: DataFrame) -> DataFrame:
                 "pos": pa.array(np.r_[pos, np.zeros(twice.sum(), np.int64)]),
                 "place": pa.array(np.r_[place + twice[back], np.zeros(twice.sum(), np.int64)])})
 
-        for ids, texts in chunks(batches):
-            for pos, text in zip(ids, texts):
-                data = text.encode("utf-8", "surrogatepass")
-                check = zlib.crc32(data) & 0xFFFF
+        for batch in batches:
+            for pos, check, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                data = text.as_py().encode("utf-8", "surrogatepass")
                 for at in range(0, max(len(data) - LENGTH + 1, 0), SLICE):
                     key, start, n = runs(data[at : at + SLICE + LENGTH - 1])
-                    held.append((key, np.full(len(key), pos, np.int64),
-                                 ((start + at) << 25) | (n << 17) | (check << 1)))
+                    held.append((key, np.full(len(key), pos, np.int64), place_of(start + at, n, check)))
                     size += len(key)
                 if size >= HELD:
                     yield from flush()
@@ -104,15 +137,23 @@ def run_rows(docs: DataFrame) -> DataFrame:
         if size:
             yield from flush()
 
-    return placed(docs).select("pos", "text").mapInArrow(run, "key long, pos long, place long")
+    return rows.select("pos", "check", "text").mapInArrow(run, "key long, pos long, place long")
+
+
+def place_of(start, windows, check):
+    return (start << START_AT) | (windows << WINDOW_AT) | (check << 1)
 
 
 def start_of(place):
-    return place >> 25
+    return place >> START_AT
 
 
 def windows_of(place):
-    return (place >> 17) & 0xFF
+    return (place >> WINDOW_AT) & 0xFF
+
+
+def text_of(place):
+    return (place >> 1) & TEXTS
 
 
 def repeated_runs(rows: DataFrame) -> DataFrame:
@@ -144,7 +185,7 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
 SEGMENTS = "key long, seg binary, pos long, place long"
 
 
-def segments(found: DataFrame, docs: DataFrame) -> DataFrame:
+def segments(found: DataFrame, rows: DataFrame) -> DataFrame:
     """The bytes of repeated runs, each different segment once per task; rows without bytes are removed windows."""
     listed = found.groupBy("pos", "check").agg(F.collect_set(F.struct("key", "place")).alias("runs"))
 
@@ -179,7 +220,7 @@ def segments(found: DataFrame, docs: DataFrame) -> DataFrame:
                     size = 0
         yield from flush()
 
-    return placed(docs).join(listed, ["pos", "check"]).select("pos", "text", "runs").mapInArrow(run, SEGMENTS)
+    return rows.join(listed, ["pos", "check"]).select("pos", "text", "runs").mapInArrow(run, SEGMENTS)
 
 
 def equal_windows(segs: list[bytes], pos: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -207,7 +248,7 @@ REMOVED = "pos long, place long, win binary"
 
 def _windows(pos, start, check):
     """Places of single windows."""
-    return pa.array(pos), pa.array((start << 25) | (1 << 17) | (check << 1))
+    return pa.array(pos), pa.array(place_of(start, 1, check))
 
 
 def removed_windows(rows: DataFrame) -> DataFrame:
@@ -224,7 +265,7 @@ def removed_windows(rows: DataFrame) -> DataFrame:
         def solve(part, rest=False):
             segs, pos, place = [x[0] for x in part], np.array([x[1] for x in part]), np.array([x[2] for x in part])
             seg, off, gone = equal_windows(segs, pos, place)
-            start, check = start_of(place[seg]) + off, (place[seg] >> 1) & 0xFFFF
+            start, check = start_of(place[seg]) + off, text_of(place[seg])
             if gone.any():
                 yield out(*_windows(pos[seg][gone], start[gone], check[gone]))
             if rest:
@@ -282,26 +323,32 @@ def compared(rows: DataFrame) -> DataFrame:
     """pos and place of removed windows, with those that came as whole windows compared over all tasks."""
     rows = kept_table(rows, "removed")
     done = rows.filter("win is null").select("pos", "place")
-    rest = rows.filter("win is not null").withColumn("at", F.struct("pos", F.shiftright("place", 25).alias("start")))
+    rest = rows.filter("win is not null").withColumn("at", F.struct("pos", F.shiftright("place", START_AT).alias("start")))
     if rest.isEmpty():
         return done
     first = rest.groupBy("win").agg(F.min("at").alias("first"))
     return done.unionByName(rest.join(first, "win").filter("at > first").select("pos", "place"))
 
 
-def copies(docs: DataFrame) -> DataFrame:
-    """pos and check of texts that an earlier row has as a whole: all of their windows are repeats."""
-    whole = placed(docs).select("pos", "check", F.unhex(F.sha2("text", 256)).alias("sha"))
-    first = whole.groupBy("sha").agg(F.min("pos").alias("first"))
-    return whole.join(first, "sha").filter("pos > first").select("pos", "check").distinct()
+def _text_of(place: str):
+    return F.shiftright(place, 1).bitwiseAND(TEXTS)
+
 
+def copies(rows: DataFrame) -> DataFrame:
+    """pos and check of texts of LENGTH bytes or more that an earlier row has as a whole: all of their windows are repeats."""
+    whole = rows.filter(F.octet_length("text") >= LENGTH).select("pos", "check", _sha(F.col("text")).alias("sha"))
+    first = whole.groupBy("sha").agg(F.min("pos").alias("first"), F.max("pos").alias("last")).filter("first < last")
+    return kept_table(whole.join(first, "sha").filter("pos > first").select("pos", "check").distinct(), "copies")
 
-def removals(docs: DataFrame) -> DataFrame:
+
+def removals(rows: DataFrame, whole: DataFrame) -> DataFrame:
     """pos, check and spans (start, windows) of what goes, for the texts that lose bytes and are no whole copies."""
-    rows = repeated_runs(run_rows(docs)).withColumn("check", F.shiftright("place", 1).bitwiseAND(0xFFFF))
-    found = removed_windows(segments(rows.join(copies(docs), ["pos", "check"], "left_anti"), docs))
-    return compared(found).groupBy("pos", F.shiftright("place", 1).bitwiseAND(0xFFFF).alias("check")).agg(
-        F.collect_list(F.shiftright("place", 17)).alias("gone"))
+    # Rows that repeat are one place, whichever of their tasks knew the key to recur.
+    found = repeated_runs(run_rows(rows)).withColumn("place", F.col("place").bitwiseAND(F.lit(-2)))
+    found = found.withColumn("check", _text_of("place"))
+    gone = removed_windows(segments(found.join(whole, ["pos", "check"], "left_anti"), rows))
+    return compared(gone).groupBy("pos", _text_of("place").alias("check")).agg(
+        F.collect_list(F.shiftright("place", WINDOW_AT)).alias("gone"))
 
 
 def clean(docs: DataFrame) -> DataFrame:
@@ -310,8 +357,8 @@ def clean(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows: dict[str, list] = {"doc_id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
-            columns = batch.column("pos").to_pylist(), batch.column("text"), batch.column("gone"), batch.column("copy")
-            for pos, text, gone, copy in zip(*columns):
+            columns = batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("gone"), batch.column("copy")
+            for doc_id, text, gone, copy in zip(*columns):
                 data = text.as_py().encode("utf-8", "surrogatepass")
                 kept, removed, spans = data, 0, 0
                 if copy.is_valid and len(data) >= LENGTH:
@@ -325,15 +372,13 @@ def clean(docs: DataFrame) -> DataFrame:
                     removed = int(out.sum())
                     spans = int((out & ~np.r_[False, out[:-1]]).sum())
                     kept = np.frombuffer(data, np.uint8)[~out].tobytes()
-                for name, value in zip(rows, (None if pos == -(1 << 63) else pos, len(data), removed, spans, kept)):
+                for name, value in zip(rows, (doc_id, len(data), removed, spans, kept)):
                     rows[name].append(value)
             yield pa.RecordBatch.from_pydict({
                 n: pa.array(v, pa.binary() if n == "kept" else pa.int64()) for n, v in rows.items()})
 
-    return (placed(docs).join(removals(docs), ["pos", "check"], "left")
-            .join(copies(docs).withColumn("copy", F.lit(True)), ["pos", "check"], "left")
-            .select("pos", "text", "gone", "copy").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
-
-
-def sha256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+    texts = placed(docs, numbered_texts(docs))
+    whole = copies(texts)
+    return (texts.join(removals(texts, whole), ["pos", "check"], "left")
+            .join(whole.withColumn("copy", F.lit(True)), ["pos", "check"], "left")
+            .select("doc_id", "text", "gone", "copy").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))

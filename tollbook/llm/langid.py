@@ -3,8 +3,14 @@
 Counts come from every labelled text of the learning fold. The matrix of log-probabilities has
 BUCKETS rows and a column per language, so its size does not grow with the data.
 
-Null or letterless text gives `und` with score 0; without any labelled text every document does. Ties go to the
-first language in alphabetical order. Documents with a null id are never learned from.
+Texts are scored in batches: the buckets of their n-grams are the sparse rows, the rows of the matrix that they name are
+summed up by text, at most CELLS numbers of them at a time.
+
+Null or letterless text, an empty one too, gives `und` with score 0; without any labelled text every document does. Ties go to the
+first language in alphabetical order. Documents with a null id are never learned from. Texts of any length are read whole, in
+slices that count every n-gram once. Rows that repeat are learned from, and answered, each time. Of more than
+MAX_LANGUAGES labels, which bound the matrix, the most frequent are learned. Empty tables give no rows; other columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,18 +26,19 @@ from tollbook.llm.common import map_chunks
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
-#: More labels than this are no set of languages; it bounds the matrix.
+#: Columns of the matrix at most.
 MAX_LANGUAGES = 256
-#: Code points of a long text that are scored at a time.
+#: Code points of a long text that are read at a time; numbers of the matrix that are summed at a time.
 SLICE = 1 << 20
+CELLS = 1 << 21
 _MIX = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917))
 
 
 @cache
 def _folded() -> np.ndarray:
-    """For each code point its small letter, or a space for what is no letter; rare planes count as no letter."""
+    """For each code point its small letter, or a space for what is no letter."""
     table = np.full(0x110000, 32, np.uint32)
-    for c in range(0x30000):
+    for c in range(0x40000):  # no letter stands beyond
         x = chr(c)
         if x.isalpha():
             low = x.lower()
@@ -46,22 +53,30 @@ def letters(text: str) -> np.ndarray:
     return points[np.r_[True, ~(blank[1:] & blank[:-1])]]
 
 
-def grams(points: np.ndarray) -> np.ndarray:
-    """Bucket of every n-gram."""
+def grams(points: np.ndarray, old: int = 0) -> np.ndarray:
+    """Bucket of every n-gram that ends after the first `old` letters."""
     out, h = [], np.zeros(len(points), np.uint32)
     for n in ORDERS:
         if len(points) < n:
             break
         h = (h[: len(points) - n + 1] ^ points[n - 1 :]) * _MIX[n - 1]
         h ^= h >> np.uint32(15)
-        out.append((h * _MIX[0]) >> np.uint32(17))
+        out.append((h[max(0, old - n + 1) :] * _MIX[0]) >> np.uint32(17))
     return np.concatenate(out)
 
 
-def slices(text: str):
-    """A long text in parts that share the characters n-grams need."""
+def gram_parts(text: str):
+    """The buckets of a whole text, slice by slice, each with whether a letter is among what is new."""
+    tail = np.empty(0, np.uint32)
     for start in range(0, max(len(text), 1), SLICE):
-        yield letters(text[start : start + SLICE + max(ORDERS) - 1])
+        piece = " " * (start == 0) + text[start : start + SLICE] + " " * (start + SLICE >= len(text))
+        points = _folded()[np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        blank = points == 32
+        points = points[~(blank & np.r_[len(tail) > 0 and tail[-1] == 32, blank[:-1]])]
+        known = np.concatenate([tail, points])
+        if len(points):
+            yield grams(known, len(tail)), bool((points != 32).any())
+        tail = known[len(known) - max(ORDERS) + 1 :] if len(known) >= max(ORDERS) else known
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
@@ -75,11 +90,9 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             for i, lang in enumerate(langs):
                 if lang not in counts:
                     counts[lang] = np.zeros(BUCKETS, np.int64)
-                    if len(counts) > MAX_LANGUAGES:
-                        raise ValueError(f"more than {MAX_LANGUAGES} languages")
                 seen[lang] = seen.get(lang, 0) + 1
-                for part in slices(texts[i].as_py()):
-                    counts[lang] += np.bincount(grams(part), minlength=BUCKETS)
+                for part, _ in gram_parts(texts[i].as_py()):
+                    counts[lang] += np.bincount(part, minlength=BUCKETS)
         for lang, n in counts.items():
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_pydict({
@@ -92,10 +105,10 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, log-priors, and the matrix of smoothed log-probabilities, of labelled texts."""
-    rows = gram_counts(docs.filter("text is not null and lang is not null")).collect()
-    langs = sorted({r.lang for r in rows})
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    labelled = docs.filter("text is not null and lang is not null")
+    frequent = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    langs = sorted(r.lang for r in frequent.collect())
+    rows = gram_counts(labelled.filter(F.col("lang").isin(langs))).collect()
     column = {lang: i for i, lang in enumerate(langs)}
     counts, texts = np.full((BUCKETS, len(langs)), 0.5), np.zeros(len(langs))
     for r in rows:
@@ -113,21 +126,33 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) ->
 
     def make():
         matrix = shared.value
+        most = max(1024, CELLS // max(len(langs), 1))
 
         def fn(ids, texts):
-            names, scores = [], []
-            for text in texts:
-                total, found = prior.copy(), False
-                for part in slices(text) if langs else ():
-                    if (part != 32).any():
-                        found = True
-                        n = np.bincount(grams(part), minlength=BUCKETS)
-                        bucket = np.flatnonzero(n)  # the text as a sparse row
-                        total += n[bucket] @ matrix[bucket]
-                best = int(np.argmax(total)) if found else -1
-                names.append(langs[best] if found else "und")
-                scores.append(float(1 / np.exp(total - total[best]).sum()) if found else 0.0)
-            return {"doc_id": pa.array(ids, pa.int64()), "lang_pred": names, "score": pa.array(scores, pa.float64())}
+            sums = np.tile(prior, (len(texts), 1))
+            found = np.zeros(len(texts), bool)
+            held, rows, size = [], [], 0
+
+            def add():
+                starts = np.cumsum([0, *map(len, held[:-1])])
+                np.add.at(sums, rows, np.add.reduceat(matrix[np.concatenate(held)], starts, axis=0))
+
+            for row, text in enumerate(texts if langs else ()):
+                for part, letter in gram_parts(text):
+                    found[row] |= letter
+                    for at in range(0, len(part), most):
+                        held.append(part[at : at + most])
+                        rows.append(row)
+                        size += len(held[-1])
+                        if size >= most:
+                            add()
+                            held, rows, size = [], [], 0
+            if held:
+                add()
+            best = np.argmax(sums, axis=1) if langs else np.zeros(len(texts), int)
+            scores = [float(1 / np.exp(s - s[b]).sum()) if f else 0.0 for s, b, f in zip(sums, best, found)]
+            return {"doc_id": pa.array(ids, pa.int64()), "lang_pred": [langs[b] if f else "und" for b, f in zip(best, found)],
+                    "score": pa.array(scores, pa.float64())}
 
         return fn
 

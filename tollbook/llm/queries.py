@@ -49,7 +49,7 @@ def repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
-    model = ranking.train(ranking.labelled_sample(docs, labels, ~held_out(F.col("doc_id"))))
+    model = ranking.learn(docs, labels, ~held_out(F.col("doc_id")))
     return ranking.score(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= ranking.TAKEN).cast("int").alias("predicted"))

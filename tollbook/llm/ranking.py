@@ -1,12 +1,15 @@
 """Quality scores by Bradley-Terry ranking.
 
 A preference pair is a labelled document of quality 1 and one of quality 0. Weights come from logistic loss on
-the difference of their features; the threshold is a quantile of the labelled scores, and the score is a
-logistic curve that is 0.7 there.
-
-Learning takes at most ROWS labelled rows, those whose hashed id is smallest, and PAIRS pairs of them. Without a pair nothing
-can be learned: every score is 0.7 and nothing is rejected. Null texts count as empty. Rows of one id share its label
-(the smallest, if labels differ); a null id is scored and never learned from.
+the difference of their features; the threshold is a quantile of the scores of all labelled rows, the one that parts the
+labels best, and the score is a logistic curve that is 0.7 there.
+
+The weights are fitted on at most ROWS labelled ids, those whose hash is smallest, one text of each (the smallest), and PAIRS pairs of them. The
+threshold comes from every labelled row, by counts of their scores in BINS classes. Without a pair nothing
+can be learned: every score is 0.7 and nothing is rejected. Null texts count as empty, and empty texts have a score like others. Texts of
+any length are read whole. Rows of one id share its label (the smallest, if labels differ); a null id is scored and never
+learned from. Rows that repeat count each time for the threshold. Of cuts that part the labels equally well the lowest is taken.
+Empty tables give no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from tollbook.llm.textstats import FIELDS, stats
 
 ROWS = 20_000
 PAIRS = 100_000
+#: Classes of scores that the threshold is sought among, and how many of them are a standard deviation of the sample's scores.
+BINS, FINE = 1 << 17, 1 << 12
 #: A document is taken from this score on.
 TAKEN = 0.7
 
@@ -52,24 +57,52 @@ def feature_rows(docs: DataFrame) -> DataFrame:
     return map_chunks(docs, make, "doc_id long, x array<double>")
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, allowed: Column | None = None) -> DataFrame:
-    """At most ROWS rows of (doc_id, text, quality) that have a label, by the order of the hashed id."""
+def known_labels(labels: DataFrame, allowed: Column | None = None) -> DataFrame:
+    """doc_id and quality, one row for each labelled id."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
              .filter("quality in (0, 1) and doc_id is not null"))
     if allowed is not None:
         known = known.filter(allowed)
-    chosen = (known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(ROWS))
+    return known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, allowed: Column | None = None) -> DataFrame:
+    """At most ROWS rows of (doc_id, text, quality) that have a label, by the order of the hashed id, one for each id."""
+    chosen = known_labels(labels, allowed).orderBy(F.xxhash64("doc_id"), "doc_id").limit(ROWS)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # The sample has a proven size of ROWS rows of two numbers.
-    return texts.join(F.broadcast(chosen), "doc_id")
+    met = texts.join(F.broadcast(chosen), "doc_id")
+    return met.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("quality").alias("quality"))
+
+
+def learn(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, seed: int = 7) -> tuple[np.ndarray, float, float] | None:
+    """Weights from the sample, and the threshold from all labelled rows."""
+    model = train(labelled_sample(docs, labels, allowed), seed)
+    if model is None:
+        return None
+    w, _, spread = model
+    known = known_labels(labels, allowed)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id", "left_semi")
+
+    def make():
+        def fn(ids, texts):
+            raw = np.array([float(np.dot(features(t), w)) for t in texts])
+            return {"doc_id": pa.array(ids, pa.int64()),
+                    "bin": pa.array(np.clip(np.floor(raw / spread * FINE), -BINS // 2, BINS // 2 - 1).astype(np.int64))}
+
+        return fn
+
+    counted = map_chunks(texts, make, "doc_id long, bin long").join(known, "doc_id").groupBy("bin", "quality").agg(
+        F.count("*").alias("n")).collect()
+    bins = np.array([r["bin"] for r in counted])
+    at = best_cut((bins + 0.5) * spread / FINE, np.array([r["quality"] for r in counted]), np.array([r["n"] for r in counted]))
+    return w, at, spread
 
 
 def train(sample: DataFrame, seed: int = 7) -> tuple[np.ndarray, float, float] | None:
     """Weights, threshold and spread of the labelled sample's scores; None without a pair."""
     quality = sample.select("doc_id", "quality").dropDuplicates(["doc_id"])
-    rows = (feature_rows(sample).join(F.broadcast(quality), "doc_id").orderBy("doc_id", F.col("x").cast("string"))
-            .limit(2 * ROWS).collect())
+    rows = feature_rows(sample).join(F.broadcast(quality), "doc_id").orderBy("doc_id", F.col("x").cast("string")).collect()
     x = np.array([r["x"] for r in rows], float).reshape(len(rows), FEATURES)
     y = np.array([r["quality"] for r in rows], int)
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
@@ -92,15 +125,19 @@ def train(sample: DataFrame, seed: int = 7) -> tuple[np.ndarray, float, float] |
 
 
 def cut(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """The score quantile that parts the labels best (in the middle of its gap), and the scores' spread there."""
-    order = np.argsort(raw, kind="stable")
-    s, t = raw[order], y[order]
-    bad_below, good_below = np.r_[0, np.cumsum(t == 0)], np.r_[0, np.cumsum(t == 1)]
+    """The score that parts the labels best, and the scores' spread."""
+    return best_cut(raw, y, np.ones(len(y), int)), float(max(raw.std(), 1e-6))
+
+
+def best_cut(scores: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> float:
+    """The score quantile that parts the counted labels best, in the middle of its gap."""
+    order = np.argsort(scores, kind="stable")
+    s, bad, good = scores[order], (counts * (labels == 0))[order], (counts * (labels == 1))[order]
+    bad_below, good_below = np.r_[0, np.cumsum(bad)], np.r_[0, np.cumsum(good)]
     right = bad_below / max(bad_below[-1], 1) - good_below / max(good_below[-1], 1)
     right[1:-1][s[1:] == s[:-1]] = -np.inf  # equal scores are not parted
     k = int(np.argmax(right))
-    at = s[0] - 1 if k == 0 else s[-1] + 1 if k == len(s) else (s[k - 1] + s[k]) / 2
-    return float(at), float(max(raw.std(), 1e-6))
+    return float(s[0] - 1 if k == 0 else s[-1] + 1 if k == len(s) else (s[k - 1] + s[k]) / 2)
 
 
 def score_text(text: str, model: tuple[np.ndarray, float, float] | None) -> float:

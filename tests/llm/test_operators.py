@@ -72,10 +72,46 @@ def test_language(spark, docs, none):
 
 
 def test_language_slices(monkeypatch):
-    whole = Counter(langid.grams(langid.letters("abc def " * 50)).tolist())
-    monkeypatch.setattr(langid, "SLICE", 97)
-    parts = sum((Counter(langid.grams(p).tolist()) for p in langid.slices("abc def " * 50)), Counter())
-    assert sum((whole & parts).values()) > 0.97 * sum(whole.values())
+    """Slices count every n-gram of the whole text once."""
+    texts = ["abc def " * 50, "", "  ", "a", "é" * 97 + "  " * 60 + "x", "x" * 97 + " y", "\U00031000 z"]
+    whole = [Counter(langid.grams(langid.letters(t)).tolist()) for t in texts]
+    for size in (1, 2, 3, 97):
+        monkeypatch.setattr(langid, "SLICE", size)
+        assert [sum((Counter(p.tolist()) for p, _ in langid.gram_parts(t)), Counter()) for t in texts] == whole
+    assert [any(letter for _, letter in langid.gram_parts(t)) for t in texts] == [True, False, False, True, True, True, True]
+
+
+def test_language_equals_naive_bayes(spark, monkeypatch):
+    """Counts, priors and posteriors by a plain naive Bayes over the same buckets, with more texts than fit into a batch."""
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    rng = np.random.default_rng(6)
+    alphabets = {"aa": "abcde ", "bb": "cdefg ", "cc": "efgab ", "rare": "xyz "}
+    rows = [(i, "".join(rng.choice(list(alphabets[lang]), int(rng.integers(0, 60)))), lang)
+            for i, lang in enumerate(["aa"] * 50 + ["bb"] * 30 + ["cc"] * 20 + ["rare"] * 2)]
+    rows += [(900, None, "aa"), (901, "abc", None), (7, rows[7][1], "aa")]
+    known = [(t, lang) for _, t, lang in rows if t is not None and lang in ("aa", "bb", "cc")]
+    counts = {lang: Counter() for lang in ("aa", "bb", "cc")}
+    for t, lang in known:
+        counts[lang].update(langid.grams(langid.letters(t)).tolist())
+    langs = sorted(counts)
+    total = {lang: sum(counts[lang].values()) + 0.5 * langid.BUCKETS for lang in langs}
+
+    def posterior(t):
+        logs = [np.log(sum(x == lang for _, x in known) / len(known)) + sum(
+            np.log((counts[lang][g] + 0.5) / total[lang]) for g in langid.grams(langid.letters(t)).tolist()) for lang in langs]
+        return langs[int(np.argmax(logs))], 1 / sum(np.exp(x - max(logs)) for x in logs)
+
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.predict(frame, langid.train(frame)).collect()
+    assert len(found) == len(rows)
+    texts = {i: t for i, t, _ in rows}
+    for r in found:
+        t = texts[r.doc_id]
+        if not (t or "").strip():
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        name, score = posterior(t)
+        assert r.lang_pred == name and abs(r.score - score) < 1e-9
 
 
 def test_ids_round_trip(spark, docs, none, tmp_path, monkeypatch):
@@ -310,6 +346,30 @@ def test_ranking(spark, docs, none):
     assert len(kept) == len(sample())
 
 
+def test_ranking_equals_gradient_descent(spark):
+    """The weights against plain descent on the same pairs, the threshold against every cut of all labelled rows."""
+    rng = np.random.default_rng(9)
+    noisy = lambda i, share: " ".join(w + "##" * (rng.random() < share) for w in words(i, 60).split())
+    rows = [(i, noisy(i, 0.15)) for i in range(60)] + [(100 + i, noisy(i, 0.35)) for i in range(60)] + [(3, "x y z")] * 9
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 100), 0) for i in {r[0] for r in rows}], "doc_id long, quality int, toxic int")
+    w, at, spread = ranking.learn(table, labels)
+    first = {i: min(t for j, t in rows if j == i) for i, _ in rows}
+    order = sorted(first)
+    x, y = np.array([ranking.features(first[i]) for i in order], float), np.array([int(i < 100) for i in order])
+    scale = np.where(x.std(0) > 1e-9, x.std(0), 1.0)
+    pick = np.random.default_rng(7)
+    z = x / scale
+    d = z[pick.choice(np.flatnonzero(y == 1), ranking.PAIRS)] - z[pick.choice(np.flatnonzero(y == 0), ranking.PAIRS)]
+    loss = lambda v: np.logaddexp(0, -(d @ v)).sum() + 5 * v @ v
+    best = w * scale
+    assert all(loss(best) <= loss(best + step) + 1e-6 for step in rng.normal(size=(60, len(best))) * 0.02)
+    raw = np.array([np.dot(ranking.features(t), w) for _, t in rows])
+    good = np.array([i < 100 for i, _ in rows])
+    quality = lambda c: (raw[~good] < c).mean() - (raw[good] < c).mean()
+    assert quality(at) >= max(map(quality, raw)) - 0.02 and spread > 0
+
+
 def test_packing(docs, none):
     rows = packing.pack(docs, BPE, block=4096).collect()
     encoder, by_doc, by_window = tokenization.ByteEncoder(BPE), defaultdict(list), defaultdict(list)

@@ -70,6 +70,27 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
             yield ids[first:], texts
 
 
+def with_own_ids(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with an id of their own in one more column, and that column's name.
+
+    It is the doc_id where no other row has it. Rows that share one, or have none, get numbers above all doc_ids (above 0 if
+    a doc_id is too large for that), written once so that they stay; usually there are none.
+    """
+    name = "own_id"
+    while name in docs.columns:
+        name += "_"
+    shared = kept_table(docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null").select(
+        F.col("doc_id").alias("_shared")), "shared")
+    if shared.isEmpty():
+        return docs.withColumn(name, F.col("doc_id").cast("long")), name
+    same = docs["doc_id"].eqNullSafe(shared["_shared"])
+    largest = docs.agg(F.max("doc_id")).first()[0] or 0
+    free = max(0, largest + 1) if largest < 1 << 62 else -(1 << 62)
+    numbered = docs.join(shared, same, "left_semi").withColumn(name, F.lit(free) + F.monotonically_increasing_id())
+    return docs.join(shared, same, "left_anti").withColumn(name, F.col("doc_id").cast("long")).unionByName(
+        kept_table(numbered, "own-ids")), name
+
+
 def kept_table(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession

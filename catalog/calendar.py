@@ -12,6 +12,7 @@ from tollbook.operators import windows as w
 from tollbook.sources import site
 from tollbook.sources.tables import scan
 
+# Month and weekday names.
 MONTHS = "['فروردین','اردیبهشت','خرداد','تير','مرداد','شهريور','مهر','آبان','آذر','دی','بهمن','اسفند']"
 WEEKDAYS = "['يكشنبه','دوشنبه','سه شنبه','چهارشنبه','پنج شنبه','جمعه','شنبه']"
 

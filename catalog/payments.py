@@ -203,6 +203,7 @@ def callback_enrich(spark, folder):
                          F.col("feed.type").alias("feed_type"))
 
 
+# The audit note texts, status labels and the guest's name in the SQL below are fixed values.
 BASE = (LEADS, ENTRIES, FEEDS, ORDER_TOTALS, CALLBACKS, MESSAGES, MATCHED)
 
 

@@ -134,6 +134,7 @@ CALLBACKS = """callbacks AS (
     CASE WHEN l_returnflag = 'R' THEN 'R' || l_partkey END AS ref_id
   FROM lineitem)"""
 
+# Result codes and their messages.
 MESSAGES = """messages(code, message) AS (VALUES
   (-1, 'اطلاعات ارسال شده ناقص است .'),
   (-2, 'آی پی یا مرچنت Gateway اشتباه است .'),

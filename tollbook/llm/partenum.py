@@ -44,7 +44,7 @@ SLACK = 4
 #: Sets of a large bucket that are compared in one task, against as many others.
 BLOCK = 1024
 #: Bits of a set's bitmap: at least so many for each shingle in which linked sets may differ, but no more than MOST_BITS.
-BITS, MOST_BITS = 32, 1 << 16
+BITS, MOST_BITS = 8, 1 << 16
 #: Words whose hash a worker remembers.
 WORDS = 500_000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

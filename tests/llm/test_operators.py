@@ -528,3 +528,20 @@ def test_lcs_equals_table():
             for j in range(35):
                 table[i + 1, j + 1] = table[i, j] + 1 if a[i] == b[j] else max(table[i, j + 1], table[i + 1, j])
         assert decontaminate.lcs(masks, 20, b) == table[-1, -1]
+
+
+def test_added_spans_touch_nothing_taken():
+    """Against a comparison with every span so far."""
+    rng = np.random.default_rng(12)
+    parts = ["a@b.c", " ", "call +1 (555) 010-9999 ", "4111 1111 1111 1111", "1.2.3.4", "token = \"" + "0a1b" * 10 + "\"", "[at]", "x (at) y (dot) z",
+             "12345678901", " - ", "é", "0123456789ab0123456789ab", "\n"]
+    for _ in range(800):
+        text = "".join(rng.choice(parts, rng.integers(1, 12)))
+        base = pii.base_spans(text)
+        every = pii.extra_spans(text, [])
+        found = pii.extra_spans(text, base)
+        taken = [(a, b) for _, a, b in base]
+        assert all(b <= x or a >= y for _, a, b in found for x, y in taken)
+        for kind, a, b in every:
+            clash = [(x, y) for x, y in taken + [s[1:] for s in found] if x < b and y > a and (x, y) != (a, b)]
+            assert (kind, a, b) in found or clash or (a, b) in taken

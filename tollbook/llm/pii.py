@@ -14,6 +14,7 @@ itself, so repeated rows give equal results.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -104,10 +105,18 @@ def extra_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str,
         found += [("contact", *m.span()) for m in _CONTACT.finditer(text)]
     if _DIGIT.search(text):
         found += [("number", *m.span()) for m in _NUMBER.finditer(text)]
-    taken, out = sorted((a, b) for _, a, b in base), []
+    begins, ends, out = [], [], []
+    for _, a, b in sorted(base, key=lambda s: s[1:]):
+        if begins and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            begins.append(a)
+            ends.append(b)
     for kind, a, b in found:
-        if all(b <= x or a >= y for x, y in taken):
-            taken.append((a, b))
+        at = bisect_left(begins, b)  # of what is taken, in order and apart, the last one that begins before the end
+        if not at or ends[at - 1] <= a:
+            begins.insert(at, a)
+            ends.insert(at, b)
             out.append((kind, a, b))
     return out
 

@@ -390,6 +390,14 @@ def test_packing(docs, none):
     assert packing.pack(none, BPE).count() == 0
 
 
+def test_packing_many_empty_texts(spark):
+    """More one-id pieces than a block may hold."""
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("").alias("text")).coalesce(1)
+    rows = packing.pack(docs, BPE).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("c")).collect()
+    assert sum(r.n for r in rows) == 40_000 and max(r.n for r in rows) <= packing.CAPACITY
+    assert len(rows) <= -(-40_000 // packing.CAPACITY) + 3
+
+
 def test_differencing_balances():
     sizes = np.random.default_rng(2).integers(20, 250, 800)
     total = np.bincount(packing.differencing(sizes, 50), sizes, 50)

@@ -5,8 +5,10 @@ halves of that, down to LEAST, as pieces of many sizes balance better than equal
 are spread over windows so that the windows are nearly equal.
 If the fullest window is over capacity, the block gets one window more.
 
-Null texts count as empty: one piece that is the end id alone. Rows that repeat are packed each time. Blocks follow
-the rows of a task, so nothing is shuffled and a task that runs again makes the same windows.
+Null texts count as empty: one piece that is the end id alone. Rows that repeat are packed each time, rows with a null doc_id too.
+Texts of any length are cut as they need. A block ends at BLOCK ids or PIECES pieces, which bounds the partial partitions held, also
+for very many empty texts. Blocks follow the rows of a task, so nothing is shuffled and a task that runs again makes the same
+windows. An empty table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ PIECE = 256
 LEAST = 64
 #: Ids of a block, about BLOCK / CAPACITY windows.
 BLOCK = 1 << 19
+PIECES = 1 << 14
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "ids binary")
@@ -134,7 +137,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPAC
                     for size in cut(n - at, piece):
                         rest.append((doc_id, at, own[4 * at : 4 * (at + size)], n))
                         at += size
-                if held >= block:
+                if held >= block or len(rest) >= PIECES:
                     yield from spread()
                     rest.clear()
                     held = 0

@@ -23,7 +23,9 @@ against the whole sets in the end.
 A text with fewer words than a shingle has its whole sequence as its one shingle. A text without words, or null, has no
 shingle and is linked with nothing. Repeated rows are equal sets. Rows of one doc_id are one document if their texts are
 equal, else each is judged by itself. A document with a null id takes part; it never gives a component its name unless
-no other document can.
+no other document can. Texts of any length are read whole; a similarity of just `percent` is a link. An empty table gives no
+rows; other columns are not read, whatever their names. Components that do not settle in sixty turns of stars are an error (each
+turn at least halves the longest path).
 """
 
 from __future__ import annotations

@@ -7,8 +7,9 @@ length, and candidates at ACCEPT or more are added. The base spans vote too, so
 of the table. What is collected is one count per pattern of votes, kind and length class: at most
 len(KINDS) * 4 * 3 ** len(LABELERS) rows, whatever the data.
 
-Places are in code points, the end is exclusive. Null texts count as empty and hold nothing. Every row is judged by
-itself, so repeated rows give equal results.
+Places are in code points, the end is exclusive. Null texts count as empty and hold nothing. Texts of any length are read whole. Every
+row is judged by itself, so repeated rows give equal results, rows with a null doc_id too. A candidate of probability ACCEPT
+is added. An empty table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

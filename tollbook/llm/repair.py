@@ -5,8 +5,12 @@ rules: in rounds, pairs that are frequent in the shard become a new symbol each,
 the body, the two sides of every rule and how many ids each rule expands to, so that any range of ids can be read by
 expanding only the symbols that cover it.
 
+A shard is given ROUNDS rounds of at most RULES_A_ROUND rules each; a pair counts from LEAST_COUNT occurrences on, and the rounds end when
+one shortens the shard by less than LEAST_GAIN. So no rule covers more than 2 ** ROUNDS ids; the ids are whole all the same.
+
 Null texts count as empty and hold the end id alone. Null ids come first. Repeated rows are written each time; rows of one
-doc_id are ordered by their text.
+doc_id are ordered by their text. A document longer than a shard has one of its own. An empty table gives no rows; other columns
+are not read, whatever their names.
 
 A shard knows how many ids of its part are before it; adding up the parts, whose number is the number of partitions, is all
 that is done on the driver.

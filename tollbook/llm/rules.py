@@ -5,7 +5,9 @@ Each rule votes good, bad or abstains. The counts of vote patterns over all docu
 and on bad documents; the posterior probability of "good" replaces passing every rule.
 
 Null or empty texts have no words, every rule abstains or votes bad on them, and they fail the base check.
-Nothing depends on the order of rows; repeated rows count as often as they stand. An empty table gives an empty table.
+Texts of any length are counted whole. A posterior of exactly a half is good. Nothing depends on the order of rows; repeated rows count
+as often as they stand, rows with a null doc_id too. An empty table gives an empty table; other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations

@@ -1,6 +1,8 @@
 """Token counts of whole texts, with a shortcut for words that are one token by themselves.
 
-Null texts count as empty: 0 bytes, 0 tokens.
+Null texts count as empty: 0 bytes, 0 tokens. Texts of any length are counted whole; one of `limit` tokens is not over it. Every row
+is counted by itself, repeated rows and rows with a null doc_id too. An empty table gives no rows; other columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -337,7 +337,9 @@ def _text_of(place: str):
 def copies(rows: DataFrame) -> DataFrame:
     """pos and check of texts of LENGTH bytes or more that an earlier row has as a whole: all of their windows are repeats."""
     whole = rows.filter(F.octet_length("text") >= LENGTH).select("pos", "check", _sha(F.col("text")).alias("sha"))
-    first = whole.groupBy("sha").agg(F.min("pos").alias("first"), F.max("pos").alias("last")).filter("first < last")
+    # As a table of known size, so that a text with very many copies usually need not meet in one place.
+    first = kept_table(whole.groupBy("sha").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+                       .filter("first < last").select("sha", "first"), "first")
     return kept_table(whole.join(first, "sha").filter("pos > first").select("pos", "check").distinct(), "copies")
 
 

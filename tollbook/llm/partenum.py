@@ -97,24 +97,32 @@ def bands(percent: int, largest: int) -> np.ndarray:
     return np.array(ends)
 
 
-def parts_of(found: np.ndarray, percent: int, ends: np.ndarray):
-    """As a member of its band and as the smaller set of the next one: signatures of a set's parts, which of them it
-    gives, and how many more it may leave out (-1: it gives even light ones)."""
-    mixed = np.r_[np.zeros(1, np.uint64), np.cumsum(mix(found + _A), dtype=np.uint64)]
+def layouts(found: np.ndarray, percent: int, ends: np.ndarray):
+    """As a member of its band and as the smaller set of the next one: the band, how many shingles linked sets may differ in, and
+    how many of the set's each part holds."""
     own = int(np.searchsorted(ends, len(found)))
+    high = found >> np.uint64(32)
     for band in (own, own + 1):
         differ = 2 * int(ends[band]) * (100 - percent) // (100 + percent)
         parts = differ + 1 + -(-differ // SLACK)
-        part = ((found >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)  # ascending, as the hashes are
-        held = np.bincount(part.astype(np.int64), minlength=parts)
+        part = (high * np.uint64(parts)) >> np.uint64(32)  # ascending, as the hashes are
+        yield band, differ, np.bincount(part.astype(np.int64), minlength=parts)
+
+
+def spare_of(differ: int, held: np.ndarray) -> int:
+    """How many of its heavy parts a set may leave out (-1: it gives even light ones)."""
+    return max(int((held >= HEAVY).sum()) - differ - 1, -1)
+
+
+def parts_of(found: np.ndarray, percent: int, ends: np.ndarray):
+    """For both bands: signatures of a set's parts, which of them it gives, and how many more it may leave out."""
+    mixed = np.r_[np.zeros(1, np.uint64), np.cumsum(mix(found + _A), dtype=np.uint64)]
+    for band, differ, held in layouts(found, percent, ends):
         stop = np.cumsum(held)
-        place = mix(np.arange(parts, dtype=np.uint64) + np.uint64((band * int(_A) + int(_C)) % (1 << 64)))
+        place = mix(np.arange(len(held), dtype=np.uint64) + np.uint64((band * int(_A) + int(_C)) % (1 << 64)))
         sigs = mix((mixed[stop] - mixed[stop - held]) ^ place)
-        given = held >= HEAVY
-        spare = int(given.sum()) - differ - 1
-        if spare < 0:
-            given, spare = np.ones(parts, bool), -1
-        yield sigs, given, spare
+        spare = spare_of(differ, held)
+        yield sigs, held >= HEAVY if spare >= 0 else np.ones(len(held), bool), spare
 
 
 def parities(found: np.ndarray, percent: int) -> bytes:
@@ -171,7 +179,7 @@ def node_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 if not len(found):
                     rows.append((0, None, None, None, None))
                     continue
-                spares = [x[2] for x in parts_of(found, percent, known.of(len(found)))]
+                spares = [spare_of(differ, held) for _, differ, held in layouts(found, percent, known.of(len(found)))]
                 rows.append((len(found), node_of(found), *spares, parities(found, percent)))
             n, node, own, next_, bits = zip(*rows)
             return {"doc_id": pa.array(ids, pa.int64()), "n_shingles": pa.array(n, pa.int64()),

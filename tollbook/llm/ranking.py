@@ -82,7 +82,9 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, see
         return None
     w, _, spread = model
     known = known_labels(labels, allowed)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known, "doc_id", "left_semi")
+    # Texts are scored where they are; what meets the labels is a number for each row.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(
+        F.col("doc_id").isNotNull() & (F.lit(True) if allowed is None else allowed))
 
     def make():
         def fn(ids, texts):

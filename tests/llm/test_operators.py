@@ -524,6 +524,43 @@ def test_leaks_without_rare_words_equal_brute_force(spark):
     assert len(wanted) >= 24 and wanted <= found
 
 
+def test_leaks_that_only_the_cosine_finds(spark):
+    """The halves of an item change places and a third of its other words is replaced, its answer stays: too few words keep
+    their order for the rule. Whoever has an answer alone, or the words without it, is none."""
+    rng = np.random.default_rng(8)
+    items, rows, clean = [], [], []
+    for k in range(30):
+        body, last = words(4000 + k, 28, 3000).split(), words(5000 + k, 8, 3000).split()
+        items.append((k, f"{' '.join(body)}. {' '.join(last)}."))
+        moved = body[14:] + body[:14]
+        for place in rng.choice(28, 9, replace=False):
+            moved[place] = f"other{place}"
+        rows.append((k, " ".join([words(k, 90, 3000), *moved, *last, words(60 + k, 90, 3000)])))
+        clean += [(100 + k, " ".join([words(k, 90, 3000), *last, words(60 + k, 90, 3000)])), (200 + k, " ".join(body[:14]))]
+        item = [decontaminate.plain(w) for w in items[k][1].split()]
+        assert _longest(item, rows[k][1].split()) < decontaminate.CLOSE * len(item)
+    found = [(r.doc_id, r.item_id) for r in decontaminate.leaks(
+        spark.createDataFrame(rows + clean, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string")).collect()]
+    assert len(found) == len(set(found)) and set(found) <= {(k, k) for k, _ in items}
+    assert len(found) >= 27  # recall of nine in ten
+
+
+def test_windows_cover_every_word():
+    rng = np.random.default_rng(5)
+    weighted = rng.random((9, 3)).astype(np.float32)
+    texts = [rng.integers(-1, 9, n).astype(np.int32) for n in (0, 1, 7, 8, 33, 100, 0, 64)]
+    for widths in ([32], [8, 32], [8, 16, 32]):
+        seen = {(w, t, a): v for w, text, start, vectors in decontaminate.Windows(weighted, widths).of(texts)
+                for t, a, v in zip(text.tolist(), start.tolist(), vectors)}
+        for w in widths:
+            for t, text in enumerate(texts):
+                for a in range(0, len(text), w // 2):
+                    held = text[a : a + w]
+                    wanted = weighted[held[held >= 0]].sum(axis=0)
+                    assert np.allclose(seen.get((w, t, a), 0), wanted, atol=1e-4)
+
+
 def test_lcs_equals_table():
     rng = np.random.default_rng(8)
     for _ in range(50):

@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from tollbook.operators import totals as t
 from tollbook.plans import daily
 from tollbook.plans.report import report, report_from_daily
@@ -57,3 +59,19 @@ def test_moved_and_undated_payments(spark, folder, tmp_path):
     assert _rows(daily.read_daily(spark, path)) == _rows(t.daily_facts(now, OFFSET))
     daily.refresh_days(now, path, [], OFFSET)
     assert daily.apply_changes(now, now.limit(0), path, OFFSET) == []
+
+
+@pytest.mark.parametrize("rows", [1, 7])
+def test_report_deals_days_and_forms_by_their_number(spark, folder, monkeypatch, rows):
+    """The wide rows of forms, also those without payments, are made in tasks of so many rows; the result does not depend on it."""
+    leads, forms = site.leads(spark, folder).where("form_id % 9 = 1"), site.forms(spark, folder).where("id % 9 = 1")
+    wanted = _rows(report(leads, forms, AS_OF, OFFSET))
+    monkeypatch.setattr("tollbook.plans.report.ROWS_IN_TASK", rows)
+    found = report(leads, forms, AS_OF, OFFSET)
+    tasks = -(-(leads.count() + forms.count()) // rows)
+    plan = plan_of(found)
+    plan = plan[plan.index("\n(1) "):]  # from the scans up
+    assert f"{tasks}), REPARTITION_BY_NUM" in plan
+    # The forms join the days before anything wide is summed.
+    assert plan.index("Union") < plan.index("REPARTITION_BY_NUM") < plan.index("Expand")
+    assert _rows(found) == wanted

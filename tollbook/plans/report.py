@@ -13,10 +13,13 @@ from tollbook.operators.totals import GATEWAY
 
 ALL_TIME = "all"
 SUMS = {"revenue": "DOUBLE", "transactions": "BIGINT"}
+#: Days and forms, about, that a task makes wide rows of. A wide row takes kilobytes in an aggregate's memory, but a few bytes in
+#: the shuffle before it, so that the size of the shuffle is no guide to the number of tasks.
+ROWS_IN_TASK = 100_000
 
 
 def report(leads: DataFrame, forms: DataFrame, as_of: dt.date, offset: str | float, **options) -> DataFrame:
-    return report_from_daily(t.daily_facts(leads, offset), forms, as_of, **options)
+    return report_from_daily(t.daily_facts(leads, offset), forms, as_of, rows=leads.count(), **options)
 
 
 def form_report(leads: DataFrame, forms: DataFrame, form_id: int, as_of: dt.date, offset: str | float,
@@ -30,13 +33,14 @@ def form_report(leads: DataFrame, forms: DataFrame, form_id: int, as_of: dt.date
 
 
 def report_from_daily(daily: DataFrame, forms: DataFrame, as_of: dt.date, names: Sequence[str] | None = None,
-                      gateway: str = GATEWAY, selection: tuple[dt.date, dt.date] | None = None,
+                      gateway: str = GATEWAY, selection: tuple[dt.date, dt.date] | None = None, rows: int | None = None,
                       **options) -> DataFrame:
     """All-time and window revenue, payments and averages, zero where nothing was paid.
 
     The days of a (form, method) are summed into one wide row, two sums per window, and those rows
     are rolled up to the scopes; no row is repeated per window before the end. A form without
-    payments enters as an empty row, so no join with the forms is needed.
+    payments enters as an empty row, so no join with the forms is needed. `rows` says how many days of forms there are at
+    most; without it they are counted.
     """
     names = list(names or win.names_for(selection))
     ranges = {n: win.known_range(n, as_of, selection, **options) for n in names}
@@ -44,10 +48,12 @@ def report_from_daily(daily: DataFrame, forms: DataFrame, as_of: dt.date, names:
     for name, (lo, hi) in ranges.items():
         inside = f"local_day BETWEEN date'{lo}' AND date'{hi}'"
         sums.update({_name(c, name): f"sum(CASE WHEN {inside} THEN {c} END)" for c in SUMS})
-    facts = daily.groupBy("form_id", "payment_method").agg(*[F.expr(s).alias(n) for n, s in sums.items()])
     empty = forms.select(F.col("id").cast(daily.schema["form_id"].dataType).alias("form_id"),
                          F.lit(gateway).alias("payment_method"))
-    rolled = t.scope_rollup(facts.unionByName(empty, allowMissingColumns=True))
+    tasks = max(1, -(-((daily.count() if rows is None else rows) + forms.count()) // ROWS_IN_TASK))
+    dealt = daily.unionByName(empty, allowMissingColumns=True).repartition(tasks, "form_id", "payment_method")
+    facts = dealt.groupBy("form_id", "payment_method").agg(*[F.expr(s).alias(n) for n, s in sums.items()])
+    rolled = t.scope_rollup(facts)
     own = rolled.where(F.col("payment_method").eqNullSafe(gateway) | F.col("scope").isin("form", "site"))
     return _tiles(own, {n: win.divisor(n, *r) for n, r in ranges.items()})
 

@@ -16,7 +16,7 @@ from tollbook.plans import payments as pay
 from tollbook.plans.colocated import settle_colocated as colocated, write_lead_tables
 from tollbook.session import new_path
 from tollbook.sources import site
-from tollbook.sources.tables import append_batch, read_batches
+from tollbook.sources.tables import append_batch, kept, read_batches
 
 
 def _totals(spark, folder):
@@ -304,11 +304,14 @@ def _logged(spark, folder):
     opened = pay.start_payments(site.entries(spark, folder), site.feeds(spark, folder), _totals(spark, folder),
                                 settings=pay.NOTIFICATION_SETTINGS)
     corrected = _corrected(spark, folder).withColumns({"user_id": F.lit(7), "user_name": F.lit("editor")})
+    # Both requests and replies are made from what was opened, and all events are logged twice: each is made once and kept.
+    opened = kept(opened.select("id", "form_id", "path", "payment_status", "amount_due", "feed"), new_path(spark, "opened"))
     table = tr.event_table(new_path(spark, "transitions"))
     events = (tr.request_events(opened)
               .unionByName(tr.reply_events(opened, site.request_replies(spark, folder), "Gateway"))
               .unionByName(tr.settlement_events(_settled(spark, folder, pay.NOTIFICATION_SETTINGS)))
               .unionByName(tr.correction_events(corrected, F.lit("1380"))))
+    events = kept(events, new_path(spark, "events"))
     for batch in range(2):
         tr.log_events(events, table, batch)
     return tr.read_events(spark, table)

@@ -8,6 +8,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+import catalog
+from conftest import plan_of
 from test_settle import CALLBACK, ENTRY
 from tollbook.operators import hooks as hk, settle as s, transitions as tr
 from tollbook.operators.entries import update_post_status
@@ -99,3 +101,18 @@ def test_the_last_decision_on_a_post_counts(spark):
     decided = spark.createDataFrame([(1, "publish", 2, 9), (1, "private", 3, 1), (1, "pending", 3, 0), (2, "draft", 1, 1)],
                                     "id long, new_status string, ts int, lead_id long")
     assert _rows(update_post_status(posts, decided)) == [(1, "private", True), (2, "draft", False), (3, "draft", False)]
+
+
+def test_events_are_made_once(spark, folder, monkeypatch):
+    """Logging twice reads events that are kept; neither time joins the site's tables again."""
+    plans, log_events = [], tr.log_events
+
+    def logged(events, *args):
+        plans.append(plan_of(events))
+        log_events(events, *args)
+
+    monkeypatch.setattr(tr, "log_events", logged)
+    if not catalog.QUERIES:
+        catalog.load()
+    assert catalog.QUERIES["transition_log"](spark, folder).count() > 0
+    assert len(plans) == 2 and not any("Join" in p or "Exchange" in p for p in plans)

@@ -114,8 +114,8 @@ def lead_meta(spark: SparkSession, folder: str) -> DataFrame:
     }
     pairs = F.array(*[F.struct(F.lit(k).alias("meta_key"), v.cast("string").alias("meta_value"))
                       for k, v in values.items()])
-    present = F.filter(pairs, lambda p: p["meta_value"].isNotNull())
-    return scan(spark, folder, "orders").select(F.col("o_orderkey").alias("lead_id"), F.inline(present))
+    listed = scan(spark, folder, "orders").select(F.col("o_orderkey").alias("lead_id"), F.inline(pairs))
+    return listed.where(F.col("meta_value").isNotNull())
 
 
 def custom_meta(spark: SparkSession, folder: str) -> DataFrame:

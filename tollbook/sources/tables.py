@@ -12,6 +12,12 @@ def scan(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """Rows written once to a path that nothing else uses, and read back: whatever follows does not make them again."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_version(df: DataFrame, path: str, version: int) -> None:
     """Write one version of a table, then publish its number.
 

@@ -239,6 +239,38 @@ def test_signatures_meet():
             assert given[0] & given[1]
 
 
+def test_signatures_meet_when_the_largest_are_left_out():
+    """Both sets may leave out as many of their heavy signatures as they say, in any order that is the same for both."""
+    rng = np.random.default_rng(11)
+    met = 0
+    for percent in (80, 85):
+        ends = partenum.bands(percent, 1 << 16)
+        for size in (3, 8, 25, 60, 130, 500, 1500):
+            for _ in range(60):
+                pool = np.unique(rng.integers(0, 1 << 64, 2 * size + 4, np.uint64))
+                a = np.sort(rng.permutation(pool)[:size])
+                drop, add = rng.integers(0, size // 5 + 1), rng.integers(0, size // 5 + 2)
+                b = np.sort(np.r_[rng.permutation(a)[drop:], rng.permutation(np.setdiff1d(pool, a))[:add]])
+                both = len(np.intersect1d(a, b))
+                if 100 * both < percent * (len(a) + len(b) - both):
+                    continue
+                met += 1
+                left = [{int(s) for sigs, on, spare in partenum.parts_of(x, percent, ends) for s in sorted(sigs[on])[max(spare, 0) :]}
+                        for x in (a, b)]
+                assert left[0] & left[1]
+    assert met > 300
+
+
+def test_unrelated_sets_share_no_signature():
+    """A set that may be the smaller one of a larger link gives no empty parts, which all sets of its size have in common."""
+    rng = np.random.default_rng(12)
+    ends, given = partenum.bands(80, 1 << 16), Counter()
+    for size in range(100, 400):
+        found = np.unique(rng.integers(0, 1 << 64, size, np.uint64))
+        given.update({int(s) for sigs, on, _ in partenum.parts_of(found, 80, ends) for s in sigs[on]})
+    assert max(given.values()) == 1
+
+
 def test_bitmaps_keep_links():
     rng = np.random.default_rng(8)
     for size in (1, 5, 40, 300, 20_000):

@@ -6,7 +6,8 @@ are equal; the signature of a part is a hash of all that the set holds there. Th
 (the paper's second level with no further cut), which needs the fewest signatures.
 
 A part with fewer than HEAVY shingles says little, so a set leaves such parts out, unless it has so many of them that
-all its equal parts might be among them. Whether a part is light depends on what it holds alone, so equal parts are left out
+all its equal parts might be among them; how many may differ follows from the set's own size, as linked sets are no larger than it
+allows. Then it gives all parts that hold something, and empty ones only if all others might differ. Whether a part is light depends on what it holds alone, so equal parts are left out
 on both sides or on none, and no link is lost. There are some parts more than needed (SLACK), so a set may leave out as many
 signatures: those of its largest buckets, if these have more than BUCKET sets. All sets order buckets alike, so the last one
 that two linked sets share comes after as many others as either may leave out, and both are still in it.
@@ -97,21 +98,35 @@ def bands(percent: int, largest: int) -> np.ndarray:
     return np.array(ends)
 
 
+def most_differing(size: int, largest: int, percent: int) -> int:
+    """In how many shingles a set may differ from one that it is linked with and that is no larger than `largest`."""
+    return (size + min(size * 100 // percent, largest)) * (100 - percent) // (100 + percent)
+
+
 def layouts(found: np.ndarray, percent: int, ends: np.ndarray):
-    """As a member of its band and as the smaller set of the next one: the band, how many shingles linked sets may differ in, and
-    how many of the set's each part holds."""
-    own = int(np.searchsorted(ends, len(found)))
+    """As a member of its band and as the smaller set of the next one: the band, how many shingles the set and a linked one may
+    differ in there (-1 if no linked set is that large), and how many of the set's each part holds."""
+    own, size = int(np.searchsorted(ends, len(found))), len(found)
     high = found >> np.uint64(32)
     for band in (own, own + 1):
-        differ = 2 * int(ends[band]) * (100 - percent) // (100 + percent)
-        parts = differ + 1 + -(-differ // SLACK)
+        if band > own and size * 100 // percent <= ends[own]:
+            yield band, -1, np.zeros(0, np.int64)
+            continue
+        most = 2 * int(ends[band]) * (100 - percent) // (100 + percent)  # of any two sets of the band
+        parts = most + 1 + -(-most // SLACK)
         part = (high * np.uint64(parts)) >> np.uint64(32)  # ascending, as the hashes are
-        yield band, differ, np.bincount(part.astype(np.int64), minlength=parts)
+        yield (band, most_differing(size, int(ends[band]), percent), np.bincount(part.astype(np.int64), minlength=parts))
 
 
-def spare_of(differ: int, held: np.ndarray) -> int:
-    """How many of its heavy parts a set may leave out (-1: it gives even light ones)."""
-    return max(int((held >= HEAVY).sum()) - differ - 1, -1)
+def given_of(differ: int, held: np.ndarray) -> tuple[np.ndarray, int]:
+    """Which parts a set gives, and how many of them it may leave out: the heavy ones if some of those must be equal, else all that
+    hold anything and, if even these may all differ, empty ones too. A linked set gives the equal ones among them in any case;
+    but it may give no light ones, so light ones do not count for what may be left out (-1)."""
+    spare = int((held >= HEAVY).sum()) - differ - 1
+    if spare >= 0:
+        return held >= HEAVY, spare
+    some = held > 0
+    return some if int(some.sum()) > differ else np.ones(len(held), bool), -1
 
 
 def parts_of(found: np.ndarray, percent: int, ends: np.ndarray):
@@ -121,8 +136,7 @@ def parts_of(found: np.ndarray, percent: int, ends: np.ndarray):
         stop = np.cumsum(held)
         place = mix(np.arange(len(held), dtype=np.uint64) + np.uint64((band * int(_A) + int(_C)) % (1 << 64)))
         sigs = mix((mixed[stop] - mixed[stop - held]) ^ place)
-        spare = spare_of(differ, held)
-        yield sigs, held >= HEAVY if spare >= 0 else np.ones(len(held), bool), spare
+        yield sigs, *given_of(differ, held)
 
 
 def parities(found: np.ndarray, percent: int) -> bytes:
@@ -179,7 +193,7 @@ def node_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 if not len(found):
                     rows.append((0, None, None, None, None))
                     continue
-                spares = [spare_of(differ, held) for _, differ, held in layouts(found, percent, known.of(len(found)))]
+                spares = [given_of(differ, held)[1] for _, differ, held in layouts(found, percent, known.of(len(found)))]
                 rows.append((len(found), node_of(found), *spares, parities(found, percent)))
             n, node, own, next_, bits = zip(*rows)
             return {"doc_id": pa.array(ids, pa.int64()), "n_shingles": pa.array(n, pa.int64()),

@@ -622,3 +622,26 @@ def test_added_spans_touch_nothing_taken():
         for kind, a, b in every:
             clash = [(x, y) for x, y in taken + [s[1:] for s in found] if x < b and y > a and (x, y) != (a, b)]
             assert (kind, a, b) in found or clash or (a, b) in taken
+
+
+def test_candidates_that_hold_no_leak_are_told_by_their_words():
+    """Surroundings without the item's words, or without its last sentence, are not searched passage by passage."""
+    rng = np.random.default_rng(4)
+    items = [rng.integers(0, 60, n) for n in (20, 34, 50)]
+    lasts, idf = [w[-6:].tolist() for w in items], rng.uniform(0.5, 4, 60)
+    rule = decontaminate.Rule(items, lasts, idf)
+    search = decontaminate.Search(items, idf, rng.standard_normal((60, 24)).astype(np.float32))
+    texts = []
+    for i in range(90):
+        text = rng.integers(-1, 60, rng.integers(1, 300))
+        copy = items[i % 3][rng.random(len(items[i % 3])) < 0.5 + 0.1 * (i % 6)]
+        texts.append(np.r_[text, copy, text[:40]] if i % 2 else text)
+    all_ = list(search.candidates(texts))
+    left = list(search.likely(texts, rule))
+    held = lambda spots: {s: found for s in spots if (found := search.near(s[1], texts[s[0]][s[2] : s[3]], rule))}
+    assert held(all_) == held(left) != {}
+    assert len(left) < len(all_)
+    for t, k, first, end in all_:
+        there = np.isin(items[k], texts[t][first:end])
+        answered = np.isin(lasts[k], texts[t][first:end]) @ rule.rarity[k] >= decontaminate.ANSWER * rule.rarity[k].sum()
+        assert (t, k, first, end) in left or there.mean() < 1 or not answered

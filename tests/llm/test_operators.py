@@ -645,3 +645,21 @@ def test_candidates_that_hold_no_leak_are_told_by_their_words():
         there = np.isin(items[k], texts[t][first:end])
         answered = np.isin(lasts[k], texts[t][first:end]) @ rule.rarity[k] >= decontaminate.ANSWER * rule.rarity[k].sum()
         assert (t, k, first, end) in left or there.mean() < 1 or not answered
+
+
+def test_grammar_expands_as_its_rules_say():
+    """Rules within rules; a rank among counts as sorting gives it."""
+    rng = np.random.default_rng(6)
+    ids = np.tile(rng.integers(0, 40, 37), 900)[rng.random(37 * 900) < 0.98].astype(np.uint32)
+    body, rules, tokens = repair.compress(ids)
+
+    def whole(symbol):
+        if symbol < repair.FIRST_RULE:
+            return [int(symbol)]
+        return [x for side in rules[symbol - repair.FIRST_RULE] for x in whole(side)]
+
+    assert [x for s in body for x in whole(s)] == repair.expand(body, rules).tolist() == ids.tolist()
+    assert tokens.max() > 4 and [len(whole(repair.FIRST_RULE + i)) for i in range(len(rules))] == tokens.tolist()
+    for counts in (np.array([5, 5, 3, 0, 9]), rng.integers(0, 50, 3000)):
+        for n in (1, 2, 4):
+            assert repair.nth_largest(counts, n) == np.sort(counts)[-n]

@@ -44,6 +44,11 @@ SHARDS = ("part int, shard int, first long, n_tokens long, doc_ids array<long>,
           "rules binary, rule_tokens binary")
 
 
+def nth_largest(counts: np.ndarray, n: int) -> int:
+    """The n-th largest of counts of which there are at least n, by how often each number occurs."""
+    return int(np.flatnonzero(np.cumsum(np.bincount(counts)[::-1])[::-1] >= n)[-1])
+
+
 def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Body, rules (left and right symbol of each) and the number of ids each rule expands to."""
     seq = ids.astype(np.uint32)
@@ -55,7 +60,7 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         pairs = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
         cell = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - CELL_BITS)).astype(np.int32)
         counts = np.bincount(cell, minlength=1 << CELL_BITS)
-        cells = np.flatnonzero(counts >= max(LEAST_COUNT, int(np.partition(counts, -RULES_A_ROUND)[-RULES_A_ROUND])))
+        cells = np.flatnonzero(counts >= max(LEAST_COUNT, nth_largest(counts, RULES_A_ROUND)))
         if not len(cells):
             break
         rank = np.full(1 << CELL_BITS, -1, np.int32)
@@ -76,7 +81,8 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         first = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
         taken = (np.arange(len(at)) - first) % 2 == 0
         at, number = at[taken], number[taken]
-        used, number = np.unique(number, return_inverse=True)
+        held = np.bincount(number, minlength=len(cells)) > 0
+        used, number = np.flatnonzero(held), (np.cumsum(held) - 1)[number]
         pair = found[used]
         sides = np.stack([pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
         known = np.concatenate(tokens)
@@ -95,17 +101,24 @@ def compress(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def expand(body: np.ndarray, rules: np.ndarray) -> np.ndarray:
-    """Ids of symbols; as many steps as the grammar is deep."""
-    while True:
-        rule = body >= FIRST_RULE
-        if not rule.any():
-            return body
-        at = np.arange(len(body)) + np.cumsum(rule) - rule
-        out = np.empty(len(body) + int(rule.sum()), np.uint32)
-        out[at] = body
-        sides = rules[body[rule] - FIRST_RULE]
-        out[at[rule]], out[at[rule] + 1] = sides[:, 0], sides[:, 1]
-        body = out
+    """Ids of symbols: each rule is written out, in as many steps as the grammar is deep, and copied to where it stands."""
+    rule = body >= FIRST_RULE
+    if not rule.any():
+        return body
+    own = body[rule] - FIRST_RULE
+    ids, owner = rules.reshape(-1), np.repeat(np.arange(len(rules)), 2)
+    while (inner := ids >= FIRST_RULE).any():
+        times = 1 + inner
+        at = np.cumsum(times) - times
+        sides, out = rules[ids[inner] - FIRST_RULE], np.empty(len(ids) + int(inner.sum()), np.uint32)
+        out[at] = ids
+        out[at[inner]], out[at[inner] + 1] = sides[:, 0], sides[:, 1]
+        ids, owner = out, np.repeat(owner, times)
+    size = np.bincount(owner, minlength=len(rules))
+    length, start = np.ones(len(body), np.int64), len(ids) + np.arange(len(body))
+    length[rule], start[rule] = size[own], (np.cumsum(size) - size)[own]
+    before = np.cumsum(length) - length
+    return np.concatenate([ids, body])[np.repeat(start - before, length) + np.arange(int(length.sum()))]
 
 
 def expand_range(body: np.ndarray, rules: np.ndarray, rule_tokens: np.ndarray, start: int, stop: int) -> np.ndarray:

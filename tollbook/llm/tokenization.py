@@ -65,22 +65,40 @@ class ByteEncoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > WORDS:
+            self.known.clear()
+        if len(self.pretokens) > WORDS:
+            self.pretokens.clear()
         parts: list[list[str] | None] = []
+        found: list[list[bytes | None]] = []
         met: set[str] = set()
         for text in texts:
             if any(x in text for x in self.special):
                 parts.append(None)
+                found.append([])
                 continue
             words = text.split(" ")
             words[0] = " " + words[0]  # a word without a space before it; no other part holds a space
-            met.update(words)
+            ids = list(map(self.known.get, words))
+            if None in ids:
+                met.update([w for w, x in zip(words, ids) if x is None])
             parts.append(words)
-        if len(self.known) > WORDS:
-            self.known.clear()
-        if len(self.pretokens) > WORDS:
-            self.pretokens.clear()
+            found.append(ids)
+        odd = self.learn(met)
+        of = self.known.__getitem__
+        for i, words in enumerate(parts):
+            if words is not None and None in found[i]:
+                if odd and not odd.isdisjoint(words):
+                    parts[i] = None
+                else:
+                    found[i] = map(of, words)
+        rest = iter(self.whole([t for t, words in zip(texts, parts) if words is None]))
+        return [next(rest) if words is None else b"".join(ids) for words, ids in zip(parts, found)]
+
+    def learn(self, words: set[str]) -> set[str]:
+        """Remember the ids of words that are not known; gives those that do not stand for themselves."""
         odd, hard, get = set(), [], self.pretokens.get
-        for w in met.difference(self.known):
+        for w in words:
             letters = w.rstrip(",.;:!?#$%&*|")
             if letters.isalpha():  # the usual word, with a space before it
                 ids = get(" " + letters) or self.one(" " + letters)
@@ -96,11 +114,7 @@ class ByteEncoder:
                     continue
             self.known[w] = ids
         self.known.update(zip(hard, self.whole([w[1:] if w[0] == " " else " " + w for w in hard])))
-        if odd:
-            parts = [None if words is None or not odd.isdisjoint(words) else words for words in parts]
-        rest = iter(self.whole([t for t, words in zip(texts, parts) if words is None]))
-        of = self.known.__getitem__
-        return [next(rest) if words is None else b"".join(map(of, words)) for words in parts]
+        return odd
 
 
 def byte_encoder(path: str) -> ByteEncoder:

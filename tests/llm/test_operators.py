@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tollbook.llm import (
-    components, decontaminate, langid, packing, partenum, pii, ranking, repair, rules, substrings, suffixes, textstats,
+    components, decontaminate, langid, packing, partenum, parts, pii, ranking, repair, rules, substrings, suffixes, textstats,
     token_counts, tokenization)
 
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -57,6 +57,37 @@ def test_encoder_equals_library():
     assert counter.apart and counter.count(texts) == counter.whole(texts)
 
 
+def test_texts_are_put_together_from_each_distinct_part_once(monkeypatch):
+    """Also if parts were forgotten or lie in the older half of the memory; parts that give None leave out their texts alone."""
+    asked = []
+
+    def learn(parts):
+        asked.extend(parts)
+        return [None if p == "odd" else np.arange(len(p), dtype=np.uint32).tobytes() for p in parts]
+
+    held = parts.Memory()
+    texts = ["ab  c", "", "ab ab abc", "x odd", "ab", "c "]
+    wanted = [None if "odd" in t else np.array([i for p in t.split(" ") for i in range(len(p))], np.uint32).tobytes() for t in texts]
+    for block in (2, 1 << 17):
+        monkeypatch.setattr(parts, "BLOCK", block)
+        assert parts.put_together(texts, lambda own: held.values(own, learn)) == wanted
+    assert sorted(asked) == ["", "ab", "abc", "c", "odd", "odd", "x"]
+    monkeypatch.setattr(parts, "WORDS", 3)
+    asked.clear()
+    held.values(["ab", "new"], learn)
+    assert asked == ["new"] and len(held.new) == 2
+    first = lambda own: [b"1111" if p[:1] == " " else b"2222" for p in own]
+    assert parts.put_together(["a a a", "", " a"], first, mark_first=True) == [b"111122222222", b"1111", b"11112222"]
+
+
+def test_encoder_with_little_memory_equals_library(monkeypatch):
+    monkeypatch.setattr(parts, "WORDS", 20)
+    rng, pool = np.random.default_rng(3), ["a", "Foo", " ", "  ", "\n", "\n\n", "\t", "é", "日本", "\xa0", "...", "!?", "'s", "12", "<|endoftext|>", "_", "İ", "\r"]
+    texts = ["".join(rng.choice(pool, rng.integers(0, 14))) for _ in range(3000)]
+    encoder = tokenization.ByteEncoder(BPE)
+    assert [x for i in range(0, 3000, 30) for x in encoder.encode(texts[i : i + 30])] == encoder.whole(texts)
+
+
 def test_language(spark, docs, none):
     text = {"en": "the cat and the dog of the house ", "de": "der hund und die katze das haus ", "fr": "le chien et la maison du chat "}
     rows = [(i, text[lang] * (1 + i % 5), lang) for i, lang in enumerate(list(text) * 30)]

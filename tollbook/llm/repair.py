@@ -39,6 +39,8 @@ RULES_A_ROUND = 4096
 LEAST_COUNT = 8
 CELL_BITS = 20
 LEAST_GAIN = 0.03
+#: Characters of text that are encoded at a time.
+CHUNK_CHARS = 1 << 22
 
 SHARDS = ("part int, shard int, first long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, body binary, "
           "rules binary, rule_tokens binary")
@@ -152,7 +154,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0) -> No
                 "body": [body.astype("<u4").tobytes()], "rules": [rules.astype("<u4").tobytes()],
                 "rule_tokens": [tokens.astype("<u4").tobytes()]})
 
-        for chunk, texts in chunks(batches):
+        for chunk, texts in chunks(batches, CHUNK_CHARS):
             for doc_id, own in zip(chunk, encoder.encode(texts)):
                 if owns and held + len(own) // 4 + 1 > SHARD:
                     yield row()

@@ -7,17 +7,27 @@ hold other spaces or a special token are given to the library whole.
 
 from __future__ import annotations
 
+import codecs
 import os
 from array import array
+from operator import attrgetter
 
 import numpy as np
 
-#: Words, and pre-tokens, remembered per worker; beyond, the memory starts anew.
+from tollbook.llm.parts import Memory, put_together
+
+#: Words that a counter remembers; beyond, the memory starts anew.
 WORDS = 600_000
 
-#: Fixed values of byte-level vocabularies: bytes that stand for themselves; the others stand at 256 and on, in order.
+#: Marks that may end a word and are a pre-token of their own there.
+MARKS = ",.;:!?#$%&*|"
+
+#: The characters that byte-level vocabularies write for bytes: most stand for themselves; the others stand at 256 and on, in order.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SHIFTED = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PLAIN)}
+_SYMBOLS = "".join(chr(_SHIFTED.get(b, b)) for b in range(256))
+
+_id = attrgetter("id")
 
 _loaded: dict[str, object] = {}
 
@@ -30,19 +40,22 @@ class ByteEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.merge = self.library.model.tokenize
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.pretokens: dict[str, bytes] = {}
-
-    def one(self, pretoken: str) -> bytes:
-        """A single pre-token, merged by the library's model without cutting it first; remembered."""
-        ids = self.pretokens.get(pretoken)
+        self.line_end = self.merged("\n")
+        #: Ids of words that follow a space, by the word; of those that do not, and of marks, by a space and the word.
+        self.known = Memory()
+
+    def merged(self, pretoken: str) -> bytes:
+        """A single pre-token, merged by the library's model without cutting it first."""
+        symbols = codecs.charmap_decode(pretoken.encode(), "strict", _SYMBOLS)[0]
+        return array("I", map(_id, self.merge(symbols))).tobytes()
+
+    def one(self, key: str) -> bytes:
+        """A single pre-token, remembered."""
+        ids = self.known.get(key)
         if ids is None:
-            if pretoken.isascii():
-                symbols = pretoken.replace(" ", "Ġ").replace("\n", "Ċ")
-            else:
-                symbols = pretoken.encode().decode("latin-1").translate(_SHIFTED)
-            ids = self.pretokens[pretoken] = array("I", [x.id for x in self.library.model.tokenize(symbols)]).tobytes()
+            ids = self.known.new[key] = self.merged(key[1:] if key[0] == " " else " " + key)
         return ids
 
     def word(self, part: str) -> bytes | None:
@@ -50,12 +63,12 @@ class ByteEncoder:
         letters is one. None if the part is anything else."""
         if "\n" in part:
             left, _, right = part.partition("\n")
-            first, last = self.word(left), self.word(right)
-            return None if first is None or last is None else first + self.one("\n") + last
-        letters = part.rstrip(",.;:!?#$%&*|")
+            first, last = self.word(left), self.word(" " + right)
+            return None if first is None or last is None else first + self.line_end + last
+        letters = part.rstrip(MARKS)
         if not letters.removeprefix(" ").isalpha():
             return None
-        return self.one(letters) + self.one(part[len(letters) :]) if len(letters) < len(part) else self.one(letters)
+        return self.one(letters) + self.one(" " + part[len(letters) :]) if len(letters) < len(part) else self.one(letters)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -65,56 +78,33 @@ class ByteEncoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > WORDS:
-            self.known.clear()
-        if len(self.pretokens) > WORDS:
-            self.pretokens.clear()
-        parts: list[list[str] | None] = []
-        found: list[list[bytes | None]] = []
-        met: set[str] = set()
-        for text in texts:
-            if any(x in text for x in self.special):
-                parts.append(None)
-                found.append([])
-                continue
-            words = text.split(" ")
-            words[0] = " " + words[0]  # a word without a space before it; no other part holds a space
-            ids = list(map(self.known.get, words))
-            if None in ids:
-                met.update([w for w, x in zip(words, ids) if x is None])
-            parts.append(words)
-            found.append(ids)
-        odd = self.learn(met)
-        of = self.known.__getitem__
-        for i, words in enumerate(parts):
-            if words is not None and None in found[i]:
-                if odd and not odd.isdisjoint(words):
-                    parts[i] = None
-                else:
-                    found[i] = map(of, words)
-        rest = iter(self.whole([t for t, words in zip(texts, parts) if words is None]))
-        return [next(rest) if words is None else b"".join(ids) for words, ids in zip(parts, found)]
-
-    def learn(self, words: set[str]) -> set[str]:
-        """Remember the ids of words that are not known; gives those that do not stand for themselves."""
-        odd, hard, get = set(), [], self.pretokens.get
+        apart = [not any(x in text for x in self.special) for text in texts]
+        found = iter(put_together([text for text, own in zip(texts, apart) if own], self.ids, mark_first=True))
+        out = [next(found) if own else None for own in apart]
+        rest = iter(self.whole([text for text, own in zip(texts, out) if own is None]))
+        return [next(rest) if own is None else own for own in out]
+
+    def ids(self, words: list[str]) -> list[bytes | None]:
+        """The ids of words as `put_together` gives them; None for those that do not stand for themselves."""
+        return self.known.values(words, self.learn)
+
+    def learn(self, words: list[str]) -> list[bytes | None]:
+        """The ids of words that are not known; None for those that do not stand for themselves."""
+        out, hard = [], []
         for w in words:
-            letters = w.rstrip(",.;:!?#$%&*|")
+            letters = w.rstrip(MARKS)
             if letters.isalpha():  # the usual word, with a space before it
-                ids = get(" " + letters) or self.one(" " + letters)
-                if len(letters) < len(w):
-                    ids += get(w[len(letters) :]) or self.one(w[len(letters) :])
+                out.append(self.merged(" " + w) if len(letters) == len(w) else self.one(letters) + self.one(" " + w[len(letters) :]))
             elif not w.strip() or w[-1].isspace() or w.removeprefix(" ")[0].isspace():
-                odd.add(w)
-                continue
+                out.append(None)
             else:
-                ids = self.word(w[1:] if w[0] == " " else " " + w)
+                ids = self.word(w)
                 if ids is None:
-                    hard.append(w)
-                    continue
-            self.known[w] = ids
-        self.known.update(zip(hard, self.whole([w[1:] if w[0] == " " else " " + w for w in hard])))
-        return odd
+                    hard.append(len(out))
+                out.append(ids)
+        for i, ids in zip(hard, self.whole([w[1:] if (w := words[i])[0] == " " else " " + w for i in hard])):
+            out[i] = ids
+        return out
 
 
 def byte_encoder(path: str) -> ByteEncoder:

@@ -88,6 +88,14 @@ def test_encoder_with_little_memory_equals_library(monkeypatch):
     assert [x for i in range(0, 3000, 30) for x in encoder.encode(texts[i : i + 30])] == encoder.whole(texts)
 
 
+def test_numbers_of_words_end_at_any_white_space():
+    rng, pool = np.random.default_rng(9), ["a", "Foo", " ", "  ", "\n", "\x1c", "\x85", "　", "é", "...", ",", "don't", "_", "Σ", "x²"]
+    texts = ["".join(rng.choice(pool, rng.integers(0, 14))) for _ in range(2000)]
+    own = {w: i for i, w in enumerate(["a", "foo", "é", "dont", "x²", "fooa"])}
+    for text, found in zip(texts, decontaminate.numbers(texts, decontaminate.Vocabulary(own))):
+        assert found.tolist() == [own.get(p, -1) for w in text.split() if (p := decontaminate.plain(w))]
+
+
 def test_language(spark, docs, none):
     text = {"en": "the cat and the dog of the house ", "de": "der hund und die katze das haus ", "fr": "le chien et la maison du chat "}
     rows = [(i, text[lang] * (1 + i % 5), lang) for i, lang in enumerate(list(text) * 30)]
@@ -678,6 +686,22 @@ def test_candidates_that_hold_no_leak_are_told_by_their_words():
         assert (t, k, first, end) in left or there.mean() < 1 or not answered
 
 
+def test_words_that_a_leak_must_hold_one_of():
+    """Whatever has ANSWER of the last sentence has one of the words asked for; places are those of these words."""
+    rng = np.random.default_rng(7)
+    idf = rng.uniform(0.5, 4, 40)
+    lasts = [rng.integers(0, 40, n).tolist() for n in (1, 2, 5, 9, 30)] + [[]]
+    rule = decontaminate.Rule([rng.integers(0, 40, 20) for _ in lasts], lasts, idf)
+    text = rng.integers(-1, 40, 200)
+    asked = [set(rule.asked(k).tolist()) for k in range(len(lasts))]
+    assert rule.where_asked(text).tolist() == [k * 201 + i for k in range(len(lasts)) for i in range(200) if text[i] in asked[k]]
+    for k, last in enumerate(lasts[:-1]):
+        assert asked[k] and asked[k] <= set(last)
+        there = np.ones(41, bool)
+        there[list(asked[k])] = False
+        assert not rule.answered(k, there)
+
+
 def test_grammar_expands_as_its_rules_say():
     """Rules within rules; a rank among counts as sorting gives it."""
     rng = np.random.default_rng(6)
